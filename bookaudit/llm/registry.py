@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, sharding, topk
+from . import exact_dedup, quality, sharding, topk, toxicity
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (exact_dedup.op1_counting_quotient, topk.op9_norm_buckets, sharding.op10_sampled_splitters)}
+    found = (exact_dedup.op1_counting_quotient, toxicity.op4_weak_supervision, quality.op8_rule_ensemble, topk.op9_norm_buckets, sharding.op10_sampled_splitters)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
