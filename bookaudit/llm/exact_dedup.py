@@ -88,7 +88,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     row = F.struct(F.col("doc_id").isNotNull(), "doc_id", "uid")
     groups = digests.join(repeated, "fp").groupBy("text_sha256").agg(F.max(row).alias("last"), F.count("*").alias("n"), F.count("doc_id").alias("ids"), F.min("doc_id").alias("low"))
     groups = groups.join(texts, "text_sha256").where("verified").where("n > 1").select("text_sha256", "last", "n")
-    out = digests.join(groups, "text_sha256", "left")
+    # Written first, so that both sides of the join are plain shuffles and a hot digest's rows can be split.
+    out = digests.join(staged(groups, "exact-classes"), "text_sha256", "left")
     keep = F.coalesce(F.col("last.doc_id"), F.when(F.col("last").isNull(), F.col("doc_id")))
     return out.select(
         "doc_id",
