@@ -12,8 +12,8 @@ both in the sample. Only equality of 200-byte prefixes matters here, so it stops
    are named by all their 200 bytes; the names are merged by ranges and adjacent ones compared.
 3. Windows with an equal neighbour mark their bytes; runs of marked bytes are removed.
 
-Names are 64-bit polynomial hashes: of n windows that are compared, about n * n / 2**65 would be taken for repeats by
-chance (1e-5 for 30 million). Names move between tasks as packed sorted arrays, one row for each piece of text
+Names are 64-bit polynomial hashes; a window's is sent with 56 bits beside its range of about a million names, so
+the chance that a window is taken for a repeat of another is about 1e-11, at any size of the corpus. Names move between tasks as packed sorted arrays, one row for each piece of text
 and range, and answers come back as bit masks; texts are written once in a bucketed table, which every pass
 reads without a shuffle.
 
@@ -42,6 +42,8 @@ MODULUS = PRIME * PRIME + PRIME + 1
 TUPLE = LENGTH - MODULUS + 1
 #: Bytes of text a row of the bucketed table holds (one document at least), and names a range aims at.
 PIECE, NAMES_PER_RANGE = 2 << 20, 1 << 20
+#: Bytes of a name that are sent, beside its range: a sampled name only has to rule out, a window's decides.
+SAMPLE_WIDTH, WINDOW_WIDTH = 5, 7
 
 
 def difference_cover(q: int = PRIME) -> list[int]:
@@ -95,25 +97,46 @@ class Text:
         return np.flatnonzero((np.cumsum(steps[:-1]) > 0) & (self.left >= LENGTH))
 
 
-def _ranges(names: np.ndarray, bits: int, chunk: int) -> pa.RecordBatch:
-    """Sorted distinct names by range, with a flag for those that occur more than once in this piece."""
-    values, counts = np.unique(names, return_counts=True)
-    part = (values >> np.uint64(64 - bits)).astype(np.int64)
+def _folded(names: np.ndarray, bits: int, width: int) -> np.ndarray:
+    """The name's range (its first `bits` bits) above its last `width` bytes, or what is left beside the range."""
+    low = min(8 * width, 64 - bits)
+    return ((names >> np.uint64(64 - bits)) << np.uint64(low)) | (names & np.uint64((1 << low) - 1))
+
+
+def _part(values: np.ndarray, bits: int, width: int) -> np.ndarray:
+    return (values >> np.uint64(min(8 * width, 64 - bits))).astype(np.int64)
+
+
+def _unpacked(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<u8")[:, 0]
+
+
+def _ranges(names: np.ndarray, bits: int, width: int, chunk: int) -> pa.RecordBatch:
+    """Sorted distinct names by range, `width` bytes each, with a flag for those that occur more than once in this piece."""
+    values, counts = np.unique(_folded(names, bits, width), return_counts=True)
+    part = _part(values, bits, width)
+    packed = (values & np.uint64((1 << min(8 * width, 64 - bits)) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
     cuts = np.flatnonzero(np.diff(part, prepend=-1)) if len(part) else np.zeros(0, np.int64)
     ends = np.append(cuts[1:], len(part)).astype(np.int64)
     return pa.RecordBatch.from_pydict(
         {
             "part": pa.array(part[cuts], pa.int64()),
             "chunk": pa.array(np.full(len(cuts), chunk), pa.int64()),
-            "names": pa.array([values[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            "names": pa.array([packed[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
             "twice": pa.array([np.packbits(counts[a:b] > 1).tobytes() for a, b in zip(cuts, ends)], pa.binary()),
         }
     )
 
 
-def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+def _merge(width: int):
+    return lambda pdf: _merged_range(pdf, width)
+
+
+def _merged_range(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
     """All of one range: which names of each piece have an equal one anywhere."""
-    parts = [np.frombuffer(x, np.uint64) for x in pdf["names"]]
+    parts = [_unpacked(x, width) for x in pdf["names"]]
     twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=len(p)).astype(bool) for t, p in zip(pdf["twice"], parts)])
     every = np.concatenate(parts)
     order = np.argsort(every, kind="stable")
@@ -129,10 +152,10 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     return out[out["mask"].notna()]
 
 
-def _repeated(names: np.ndarray, bits: int, answers: list[dict]) -> np.ndarray:
+def _repeated(names: np.ndarray, bits: int, width: int, answers: list[dict]) -> np.ndarray:
     """Which of these names are repeated, by the answers of the ranges (those without one: none)."""
-    values, back = np.unique(names, return_inverse=True)
-    part = values >> np.uint64(64 - bits)
+    values, back = np.unique(_folded(names, bits, width), return_inverse=True)
+    part = _part(values, bits, width)
     found = np.zeros(len(values), bool)
     for a in answers or []:
         lo, hi = np.searchsorted(part, [a["part"], a["part"] + 1])
@@ -152,20 +175,20 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 def _sample_names(bits: int):
     def run(batches):
         for _, chunk, text in _texts(batches):
-            yield _ranges(_names(text.h, text.sampled(), TUPLE), bits, chunk)
+            yield _ranges(_names(text.h, text.sampled(), TUPLE), bits, SAMPLE_WIDTH, chunk)
 
     return run
 
 
 def _candidates(row: pa.RecordBatch, text: Text, bits: int) -> np.ndarray:
     at = text.sampled()
-    return text.windows_over(at[_repeated(_names(text.h, at, TUPLE), bits, row.column("sample")[0].as_py())])
+    return text.windows_over(at[_repeated(_names(text.h, at, TUPLE), bits, SAMPLE_WIDTH, row.column("sample")[0].as_py())])
 
 
 def _window_names(bits: int, bits_w: int):
     def run(batches):
         for row, chunk, text in _texts(batches):
-            yield _ranges(_names(text.h, _candidates(row, text, bits), LENGTH), bits_w, chunk)
+            yield _ranges(_names(text.h, _candidates(row, text, bits), LENGTH), bits_w, WINDOW_WIDTH, chunk)
 
     return run
 
@@ -174,7 +197,7 @@ def _removed(bits: int, bits_w: int):
     def run(batches):
         for row, _, text in _texts(batches):
             at = _candidates(row, text, bits)
-            at = at[_repeated(_names(text.h, at, LENGTH), bits_w, row.column("windows")[0].as_py())]
+            at = at[_repeated(_names(text.h, at, LENGTH), bits_w, WINDOW_WIDTH, row.column("windows")[0].as_py())]
             steps = np.zeros(len(text.data) + 1, np.int64)
             np.add.at(steps, at, 1)
             np.add.at(steps, at + LENGTH, -1)
@@ -236,16 +259,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     total = texts.agg(F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()[0]
     answer = "part long, chunk long, mask binary, n int"
 
-    def answers(names: DataFrame, label: str) -> DataFrame:
-        merged = staged(names.groupBy("part").applyInPandas(_merge, answer), f"suffix-{label}")
+    def answers(names: DataFrame, label: str, width: int) -> DataFrame:
+        merged = staged(names.groupBy("part").applyInPandas(_merge(width), answer), f"suffix-{label}")
         return merged.repartition(buckets, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("part", "mask", "n")).alias(label))
 
     bits = _bits(total * int(COVER.sum()) // MODULUS)
     named = "part long, chunk long, names binary, twice binary"
-    sample = answers(texts.select("chunk", "sizes", "data").mapInArrow(_sample_names(bits), named), "sample")
+    sample = answers(texts.select("chunk", "sizes", "data").mapInArrow(_sample_names(bits), named), "sample", SAMPLE_WIDTH)
     sampled = texts.join(sample, "chunk", "left")
     bits_w = _bits(total // 8)
-    windows = answers(sampled.select("chunk", "sizes", "data", "sample").mapInArrow(_window_names(bits, bits_w), named), "windows")
+    windows = answers(sampled.select("chunk", "sizes", "data", "sample").mapInArrow(_window_names(bits, bits_w), named), "windows", WINDOW_WIDTH)
     both = sampled.join(windows, "chunk", "left").select("chunk", "doc_ids", "sizes", "data", "sample", "windows")
     return both.mapInArrow(_removed(bits, bits_w), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary")
 
