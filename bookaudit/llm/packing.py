@@ -55,7 +55,7 @@ class WordTokenizer:
     the pattern differ, go to the tokenizer whole.
     """
 
-    LIMIT = 600_000
+    LIMIT = 800_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -68,13 +68,27 @@ class WordTokenizer:
         self.white = {c for c in every if c.isspace()}
         self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
         self.known: dict[str, bytes] = {}
+        self.signs = {c: self._word(c) for c in ".,;:!?"}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one match of the word pattern."""
+        text = word.replace(" ", "\u0120") if word.isascii() and word.replace(" ", "").isalpha() else word.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.model.tokenize(text)]).tobytes()  # little-endian machines
+
     def _stretch(self, text: str) -> bytes:
-        words = [w.encode().decode("latin-1").translate(self.letters) for w in self.plain.findall(text)]
-        return array("H", [t.id for w in words for t in self.model.tokenize(w)]).tobytes()  # little-endian machines
+        return b"".join(map(self._word, self.plain.findall(text)))
+
+    def _after_space(self, w: str) -> bytes:
+        """Ids of a space and w: most are letters, or letters and one sign, which are two words of the pattern."""
+        if w.isalpha():
+            return self._word(" " + w)
+        if w[-1:] in self.signs and w[:-1].isalpha():
+            body = self.known.get(w[:-1])
+            return (self._word(" " + w[:-1]) if body is None else body) + self.signs[w[-1]]
+        return self._stretch(" " + w)
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian 16-bit numbers."""
@@ -85,10 +99,12 @@ class WordTokenizer:
         known = self.known
         for w in set(rest):
             if w not in known:
-                known[w] = self._stretch(" " + w)
+                known[w] = self._after_space(w)
         out = self._stretch(first) + b"".join(map(known.__getitem__, rest))
-        if len(known) > self.LIMIT:
-            known.clear()
+        if len(known) > self.LIMIT:  # long ones seldom come again
+            self.known = {w: ids for w, ids in known.items() if len(w) <= 8}
+            if len(self.known) > self.LIMIT // 2:
+                self.known = {}
         return out
 
 
