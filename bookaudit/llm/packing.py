@@ -15,6 +15,8 @@ own; an empty table gives no rows; other columns aren't read.
 
 from __future__ import annotations
 
+import gc
+import os
 import re
 import unicodedata
 import zlib
@@ -47,6 +49,18 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(b): 256 + i for i, b in enumerate(other)}
 
 
+class _Known(dict):
+    """Ids by stretch; one that isn't known yet is asked for once."""
+
+    def __init__(self, ask) -> None:
+        super().__init__()
+        self.ask = ask
+
+    def __missing__(self, w: str) -> bytes:
+        self[w] = ids = self.ask(w)
+        return ids
+
+
 class WordTokenizer:
     """The ids of a byte-level BPE file, looked up by stretches between single spaces; what is known is kept.
 
@@ -67,7 +81,7 @@ class WordTokenizer:
         self.odd = {c for c in every if c.isalnum() and unicodedata.category(c)[0] == "N" and not c.isdecimal()} | set("\x1c\x1d\x1e\x1f")
         self.white = {c for c in every if c.isspace()}
         self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._after_space)
         self.signs = {c: self._word(c) for c in ".,;:!?"}
 
     def _whole(self, text: str) -> bytes:
@@ -96,15 +110,12 @@ class WordTokenizer:
         if not self.odd.isdisjoint(letters) or any(f" {c}" in text or f"{c} " in text for c in letters & self.white):
             return self._whole(text)
         first, *rest = text.split(" ")
-        known = self.known
-        for w in set(rest):
-            if w not in known:
-                known[w] = self._after_space(w)
-        out = self._stretch(first) + b"".join(map(known.__getitem__, rest))
-        if len(known) > self.LIMIT:  # long ones seldom come again
-            self.known = {w: ids for w, ids in known.items() if len(w) <= 8}
-            if len(self.known) > self.LIMIT // 2:
-                self.known = {}
+        out = self._stretch(first) + b"".join(map(self.known.__getitem__, rest))
+        if len(self.known) > self.LIMIT:  # long ones seldom come again
+            short = {w: ids for w, ids in self.known.items() if len(w) <= 8}
+            self.known.clear()
+            if len(short) < self.LIMIT // 2:
+                self.known.update(short)
         return out
 
 
@@ -120,15 +131,15 @@ def word_tokenizer(path: str) -> WordTokenizer:
 
 def _tokenized(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        gc.disable()  # the table of known words holds no cycles, and is walked in vain
         ids_of, end = word_tokenizer(path), END.to_bytes(2, "little")
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
                 ids = [ids_of(t or "") + end for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        gc.enable()
 
     return run
 
