@@ -153,6 +153,8 @@ def replay_book(events: DataFrame, bars: DataFrame, bar_seconds: int, n: int = 1
 
     types = dict(events.dtypes)
     schema = ", ".join([*[f"{k} {types[k]}" for k in keys], "segment long, bar long, bids array<struct<px: double, sz: double>>, asks array<struct<px: double, sz: double>>"])
+    # New column ids: both sides come from the same tables.
+    spans, rows = spans.toDF(*spans.columns), rows.toDF(*rows.columns)
     return spans.groupBy(*group).cogroup(rows.groupBy(*group)).applyInPandas(replay, schema)
 
 
