@@ -153,6 +153,29 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("i") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
 
 
+def _joined(comps: DataFrame, edges: DataFrame) -> DataFrame:
+    """comps (node, comp) after joining the classes at both ends of each edge (a, b)."""
+    A, B = (comps.select(F.col("node").alias(s), F.col("comp").alias(f"c{s}")) for s in "ab")
+    between = edges.join(A, "a").join(B, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    between = staged(between, "near-between")
+    if not between.limit(1).count():
+        return comps
+    found = components(between, "near").select(F.col("node").alias("comp"), F.col("comp").alias("_new"))
+    return staged(comps.join(found, "comp", "left").select("node", F.coalesce("_new", "comp").alias("comp")), "near-comps")
+
+
+def _leaders(active: DataFrame, n: int, first: bool) -> DataFrame:
+    """(bucket, node, comp) of n members a bucket, by a hash; after the first round those outside its largest class come first."""
+    order = [F.xxhash64("node"), F.col("node")]
+    if not first:
+        sizes = active.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("_top")).select("bucket", F.col("_top.comp").alias("_largest"))
+        active = active.join(largest, "bucket")
+        order = [F.col("comp") == F.col("_largest"), *order]
+    w = Window.partitionBy("bucket").orderBy(*order)
+    return staged(active.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).select("bucket", "node", "comp"), "near-leaders")
+
+
 def near_classes(docs: DataFrame, first_leaders: int = 8) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept."""
     rows = docs.select("doc_id", "text")
@@ -163,18 +186,17 @@ def near_classes(docs: DataFrame, first_leaders: int = 8) -> DataFrame:
     bands = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda b: F.xxhash64(F.substring("registers", b * (2 * BAND) + 1, F.lit(2 * BAND)), b))
     members = nodes.select("node", F.explode(bands).alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    active = staged(members.join(shared, "bucket"), "near-members")
-    comps, edges, sets, leaders, tested = None, [], None, first_leaders, None
+    active = staged(members.join(shared, "bucket").withColumn("comp", F.col("node")), "near-members")
+    comps = staged(active.select("node").distinct().withColumn("comp", F.col("node")), "near-comps")
+    leaders, first, sets = first_leaders, True, None
+    A, B = (nodes.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("registers").alias(f"r{s}")) for s in "ab")
     while active.limit(1).count():
-        w = Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node")
-        chosen = staged(active.withColumn("r", F.row_number().over(w)).where(F.col("r") <= leaders).select("bucket", "node"), "near-leaders")
-        listed = chosen.groupBy("bucket").agg(F.collect_list("node").alias("leaders"))  # at most `leaders` each
-        meets = active.join(listed, "bucket").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("others"))
-        pairs = meets.select("node", F.explode("others").alias("other")).where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        if comps is not None:
-            pairs = _apart(pairs, comps).join(tested, ["a", "b"], "left_anti")
-        info = nodes.select("node", "n", "registers")
-        A, B = (info.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("registers").alias(f"r{s}")) for s in "ab")
+        chosen = _leaders(active, leaders, first)
+        listed = chosen.groupBy("bucket").agg(F.collect_list(F.struct("node", "comp")).alias("leaders"))  # at most `leaders` each
+        others = F.transform(F.filter("leaders", lambda x: x["comp"] != F.col("comp")), lambda x: x["node"])
+        meets = active.join(listed, "bucket").select("node", others.alias("others")).where(F.size("others") > 0)
+        meets = meets.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+        pairs = meets.select("node", F.explode("others").alias("other")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         sized = pairs.join(A, "a").join(B, "b").where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
         likely = staged(sized.select("a", "b", likely_jaccard("ra", "rb", "na", "nb").alias("j")).where(F.col("j") >= PERCENT / 100 - MARGIN), "near-likely")
         need = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -182,42 +204,26 @@ def near_classes(docs: DataFrame, first_leaders: int = 8) -> DataFrame:
             need = need.join(sets.select("doc_id"), "doc_id", "left_anti")
         more = staged(rows.join(need, "doc_id", "left_semi").select("doc_id", full_set("text").alias("set")), "near-sets")
         sets = more if sets is None else sets.unionByName(more)
+        # The best pair of each text first; the others only while they'd join two classes.
         ends = likely.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "j")
-        first = ends.groupBy("node").agg(F.max(F.struct("j", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-        first = staged(first, "near-first")
-        edges.append(staged(_verified(first, sets), "near-links"))
-        comps = components(_all(edges), "near")
-        rest = _apart(likely.select("a", "b").join(first, ["a", "b"], "left_anti"), comps)
-        second = staged(_verified(rest, sets), "near-links")
-        if second.limit(1).count():
-            edges.append(second)
-            comps = components(_all(edges), "near")
-        tested = likely.select("a", "b") if tested is None else tested.unionByName(likely.select("a", "b"))
+        best = staged(ends.groupBy("node").agg(F.max(F.struct("j", "a", "b")).alias("p")).select("p.a", "p.b").distinct(), "near-first")
+        comps = _joined(comps, _verified(best, sets))
+        comps = _joined(comps, _verified(_apart(likely.join(best, ["a", "b"], "left_anti"), comps), sets))
         # Leaders have met all of their buckets; buckets with members of one class left are done.
-        left = active.join(chosen, ["bucket", "node"], "left_anti").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        left = active.drop("comp").join(chosen.drop("comp"), ["bucket", "node"], "left_anti").join(comps, "node")
         mixed = left.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-        active = staged(left.join(mixed, "bucket").select("bucket", "node"), "near-members")
-        leaders *= 4
-    classes = nodes.select(*digest, "node")
-    classes = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")) if comps is not None else classes.withColumn("comp", F.col("node"))
-    classes = staged(classes.select(*digest, "comp"), "near-classes")
-    out = sketches.drop("registers").join(classes, digest, "left")
+        active = staged(left.join(mixed, "bucket").select("bucket", "node", "comp"), "near-members")
+        leaders, first = 4 * leaders, False
+    classes = nodes.join(comps, "node", "left").select(*digest, F.coalesce("comp", "node").alias("comp"))
+    out = sketches.drop("registers").join(staged(classes, "near-classes"), digest, "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("comp")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs whose ends aren't known to be of one class."""
+    """Pairs whose ends aren't of one class."""
     A, B = (comps.select(F.col("node").alias(s), F.col("comp").alias(f"c{s}")) for s in "ab")
-    both = pairs.join(A, "a", "left").join(B, "b", "left")
-    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    return pairs.join(A, "a").join(B, "b").where("ca <> cb").select("a", "b")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
