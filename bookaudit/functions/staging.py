@@ -5,19 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df, written to spark.checkpoint.dir (a temporary folder where that is unset) and read back."""
-    spark = df.sparkSession
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new place in spark.checkpoint.dir (a temporary folder where that is unset)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not _LOCAL:
             _LOCAL.append(tempfile.mkdtemp(prefix="spark-audit-"))
         folder = _LOCAL[0]
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df, written once and read back."""
+    path = staged_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
