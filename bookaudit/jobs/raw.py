@@ -34,6 +34,6 @@ ORACLE = {
     "parse_capture": f"""WITH {ctes('e')} SELECT id, id % 23 = 0 AS json_error, CASE WHEN id % 23 = 0 THEN NULL WHEN id % 2 = 1 THEN 'binance' ELSE 'coinbase' END AS exchange, CASE WHEN id % 23 <> 0 THEN 'ws_trade' END AS kind,
         CASE WHEN id % 23 <> 0 AND id % 2 = 0 THEN CASE WHEN id % 5 = 0 THEN 'heartbeat' ELSE 'match' END END AS type, CASE WHEN id % 23 <> 0 AND id % 2 = 1 THEN us // 1000 END AS event_ms FROM e""",
     "read_trades": f"""WITH {ctes('e')} SELECT CASE WHEN id % 2 = 1 THEN 'binance' ELSE 'coinbase' END AS exchange, 'BTC' AS symbol, CASE WHEN id % 2 = 1 AND id % 3 = 0 THEN id + 7 ELSE id END AS trade_id, value AS price,
-        CASE WHEN id % 2 = 1 THEN 2.5 ELSE 1.0 END AS qty, CASE WHEN id % 2 = 0 THEN 'buy' END AS side, CASE WHEN id % 2 = 1 THEN us // 1000 END AS event_ms,
+        CAST(CASE WHEN id % 2 = 1 THEN 2.5 ELSE 1.0 END AS DOUBLE) AS qty, CASE WHEN id % 2 = 0 THEN 'buy' END AS side, CASE WHEN id % 2 = 1 THEN us // 1000 END AS event_ms,
         CASE WHEN id % 2 = 1 THEN 'ws_trade' WHEN id % 5 = 0 THEN 'ws_message' ELSE 'ws_match' END AS kind FROM e WHERE id % 23 <> 0""",
 }
