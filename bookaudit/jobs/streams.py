@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.fixtures import ctes
+from ..sources.fixtures import ctes, fixture
+from ..streaming import stateful
 from ..streaming import windows as W
+from .continuity import ORACLE as BATCH
 
 
-def _stream(spark: SparkSession, d: str) -> DataFrame:
+def _events(spark: SparkSession, d: str) -> DataFrame:
     schema = spark.read.parquet(f"{d}/events.parquet").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    return rows.select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("t"), F.when(F.col("event_id") % 2 == 0, "binance").otherwise("coinbase").alias("source"), "event_type", "user_id")
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+
+
+def _stream(spark: SparkSession, d: str) -> DataFrame:
+    return _events(spark, d).select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("t"), F.when(F.col("event_id") % 2 == 0, "binance").otherwise("coinbase").alias("source"), "event_type", "user_id")
 
 
 def stream_rotation_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -34,7 +39,17 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return out.select("id", "source")
 
 
-QUERIES = [stream_rotation_counts, stream_sessions, stream_control_counts, stream_dedup]
+def stream_seq_gaps(spark: SparkSession, d: str) -> DataFrame:
+    out = W.drained(stateful.stream_seq_gaps(fixture(spark, d, "cap", _events(spark, d))), "append")
+    return out.withColumn("d", F.col("d").cast("string"))
+
+
+def stream_snapshot_bridge(spark: SparkSession, d: str) -> DataFrame:
+    out = W.drained(stateful.stream_snapshot_bridge(fixture(spark, d, "cap", _events(spark, d))), "append")
+    return out.withColumn("d", F.col("d").cast("string"))
+
+
+QUERIES = [stream_rotation_counts, stream_sessions, stream_control_counts, stream_dedup, stream_seq_gaps, stream_snapshot_bridge]
 
 SRC = f"WITH {ctes('e')}, s AS (SELECT *, CASE WHEN id % 2 = 0 THEN 'binance' ELSE 'coinbase' END AS source FROM e)"
 ORACLE = {
@@ -42,5 +57,7 @@ ORACLE = {
     "stream_sessions": f"""{SRC}, p AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY source ORDER BY us) < 900000000 THEN 0 ELSE 1 END AS new FROM s),
         q AS (SELECT *, sum(new) OVER (PARTITION BY source ORDER BY us) AS session FROM p) SELECT min(us) AS start_us, max(us) + 900000000 AS end_us, source, count(*) AS n FROM q GROUP BY source, session""",
     "stream_control_counts": f"{SRC} SELECT us - us % 86400000000 AS start_us, source, CASE WHEN id % 3 = 0 THEN 'connection_closed' ELSE 'reconnect_sleep' END AS event, count(*) AS n FROM s WHERE event_type = 'error' GROUP BY ALL",
+    "stream_seq_gaps": BATCH["seq_gaps_arrival"],
+    "stream_snapshot_bridge": f"SELECT source, d, segment, snap_id, bridge_status FROM ({BATCH['snapshot_bridge']}) WHERE bridge_status <> 'none'",
     "stream_dedup": f"{SRC} SELECT id, source FROM s",
 }

@@ -50,7 +50,8 @@ def ctes(*names: str) -> str:
     return ",\n".join(ORDER[n] for n in ORDER if n in wanted).format(us=MICROS["duckdb"], events="events")
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+def fixture(spark: SparkSession, sf_dir: str, name: str, events: DataFrame | None = None) -> DataFrame:
+    """One of the tables; events: a stream of the events instead of the file."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet") if events is None else events
     text = ",\n".join(ORDER[n] for n in ORDER if n in {*NEEDS[name], name}).replace("//", "div")
     return spark.sql("WITH " + text.format(us=MICROS["spark"], events="{events}") + f" SELECT * FROM {name}", events=events)
