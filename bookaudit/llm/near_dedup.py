@@ -34,6 +34,8 @@ from .words import slices, word_bounds, word_hashes
 REGISTERS, BAND, WIDTH = 128, 4, 5
 SPACING, RATE, TOP = 1.001, 20.0, 65534  # base of the spacing, rate of the exponentials, largest register - 1
 PERCENT, MARGIN = 75, 0.2
+#: Turns in which leaders come from a bucket's largest class.
+TURNS = 4
 _rng = np.random.default_rng(20240607)
 MULTIPLIERS = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(0, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,6 +134,10 @@ def likely_jaccard(a: pa.Array, b: pa.Array, na: pa.Array, nb: pa.Array) -> pa.A
     return pa.array(at)
 
 
+#: Not moved into the filter on its result, where it would be worked out once more.
+likely_jaccard = likely_jaccard.asNondeterministic()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, comp): the smallest node reachable over edges (a, b); min labels with pointer jumps until nothing changes."""
     both = staged(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
@@ -164,14 +170,19 @@ def _joined(comps: DataFrame, edges: DataFrame) -> DataFrame:
     return staged(comps.join(found, "comp", "left").select("node", F.coalesce("_new", "comp").alias("comp")), "near-comps")
 
 
-def _leaders(active: DataFrame, n: int, first: bool) -> DataFrame:
-    """(bucket, node, comp) of n members a bucket, by a hash; after the first round those outside its largest class come first."""
+def _leaders(active: DataFrame, turn: int, n: int) -> DataFrame:
+    """(bucket, node, comp) of n members a bucket, by a hash.
+
+    In the first turns they come from the bucket's largest class, so that its other members find it at the cost of n
+    comparisons each; later from outside it, so that those that belong nowhere meet everyone and are done.
+    """
     order = [F.xxhash64("node"), F.col("node")]
-    if not first:
+    if turn:
         sizes = active.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
         largest = sizes.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("_top")).select("bucket", F.col("_top.comp").alias("_largest"))
         active = active.join(largest, "bucket")
-        order = [F.col("comp") == F.col("_largest"), *order]
+        outside = F.col("comp") != F.col("_largest")
+        order = [outside if turn < TURNS else ~outside, *order]
     w = Window.partitionBy("bucket").orderBy(*order)
     return staged(active.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).select("bucket", "node", "comp"), "near-leaders")
 
@@ -188,10 +199,10 @@ def near_classes(docs: DataFrame, first_leaders: int = 8) -> DataFrame:
     shared = members.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     active = staged(members.join(shared, "bucket").withColumn("comp", F.col("node")), "near-members")
     comps = staged(active.select("node").distinct().withColumn("comp", F.col("node")), "near-comps")
-    leaders, first, sets = first_leaders, True, None
+    leaders, turn, sets = first_leaders, 0, None
     A, B = (nodes.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("registers").alias(f"r{s}")) for s in "ab")
     while active.limit(1).count():
-        chosen = _leaders(active, leaders, first)
+        chosen = _leaders(active, turn, leaders)
         listed = chosen.groupBy("bucket").agg(F.collect_list(F.struct("node", "comp")).alias("leaders"))  # at most `leaders` each
         others = F.transform(F.filter("leaders", lambda x: x["comp"] != F.col("comp")), lambda x: x["node"])
         meets = active.join(listed, "bucket").select("node", others.alias("others")).where(F.size("others") > 0)
@@ -213,7 +224,7 @@ def near_classes(docs: DataFrame, first_leaders: int = 8) -> DataFrame:
         left = active.drop("comp").join(chosen.drop("comp"), ["bucket", "node"], "left_anti").join(comps, "node")
         mixed = left.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
         active = staged(left.join(mixed, "bucket").select("bucket", "node", "comp"), "near-members")
-        leaders, first = 4 * leaders, False
+        leaders, turn = 2 * leaders, turn + 1
     classes = nodes.join(comps, "node", "left").select(*digest, F.coalesce("comp", "node").alias("comp"))
     out = sketches.drop("registers").join(staged(classes, "near-classes"), digest, "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("comp")).otherwise(F.col("doc_id"))
