@@ -2,12 +2,17 @@
 
 1. Texts become token ids once; each document ends with id 0. Document frequencies of all ids are counted over
    the whole corpus (at most one number an id of the vocabulary).
-2. Documents are dealt into shards of bounded tokens where they lie. Each shard has a BM25 inverted index over
-   token ids, with the corpus's document frequencies and mean length.
-3. A window's seed - its first document, or the rest of one cut at the last window's end - asks the index for
-   its nearest unused documents, which fill the window greedily; where none is left, the next unused one does.
-   A document that doesn't fit is cut; its rest opens and seeds the next window. A window open at a shard's end
-   goes on with the next shard, so each task pads one window at most.
+2. Every document is routed by its BM25 weights, projected to `DIMENSIONS` numbers: to the nearest of k-means
+   centroids over the whole corpus, fitted on a sample and numbered so that near ones follow one another, then to
+   the second nearest, then by its ids. Ranges of this order over all files are the shards, of bounded tokens, so
+   that neighbours meet wherever they lie. A cluster of any size is split among tasks.
+3. Each shard has a BM25 inverted index over token ids, with the corpus's document frequencies and mean length.
+4. A window's seed - its first document, or the rest of one cut at the last window's end - asks the index for
+   its nearest unused documents, which fill the window greedily, and asks again when these run out; where none
+   is left, the next unused one does. A document that doesn't fit is cut; its rest opens and seeds the next
+   window. A window open at a shard's end goes on with the next shard, so each task pads one window at most.
+
+Neighbours that the routing sends to another shard aren't found; the README has the measured share.
 
 Defined cases: a null text is the empty text (the one id 0); any id, repeated rows too, is a document of its
 own; an empty table gives no rows; other columns aren't read.
@@ -33,7 +38,11 @@ from pyspark.sql import functions as F
 from .common import staged, table
 
 SEQUENCE, VOCABULARY, END = 1024, 50_257, 0
-SHARD_TOKENS, QUERY_TERMS, NEIGHBOURS = 1 << 20, 24, 64
+SHARD_TOKENS, QUERY_TERMS, NEIGHBOURS = 1 << 21, 24, 64
+#: Centroids a shard and at most (beyond, shards are ranges within a cluster); sampled documents a centroid; rounds of k-means.
+DIMENSIONS, CENTROIDS, MOST_CENTROIDS, SAMPLED, ROUNDS = 128, 2, 4096, 32, 10
+#: Shards a task.
+TASK_SHARDS = 2
 K1, B = 1.2, 0.75
 
 
@@ -166,6 +175,85 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"id": pa.array(some), "df": pa.array(df[some])})
 
 
+_PROJECTION: list[np.ndarray] = []
+
+
+def projected(docs: list[np.ndarray], idf: np.ndarray, mean: float) -> np.ndarray:
+    """One row a document: its BM25 weights by token id, projected at random."""
+    if not _PROJECTION:
+        _PROJECTION.append(np.random.default_rng(20240608).standard_normal((VOCABULARY, DIMENSIONS), np.float32))
+    out = np.zeros((len(docs), DIMENSIONS), np.float32)
+    for i, ids in enumerate(docs):
+        terms, tf = np.unique(ids, return_counts=True)
+        weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
+        out[i] = weight.astype(np.float32) @ _PROJECTION[0][terms]
+    return out
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+
+
+def centroids_of(sample: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, centroids): spherical k-means of the sample less its mean; each centroid is followed by the nearest one that is left."""
+    center = sample.mean(0)
+    vectors = _unit(sample - center)
+    rng = np.random.default_rng(7)
+    found = vectors[rng.choice(len(vectors), min(k, len(vectors)), replace=False)]
+    for _ in range(ROUNDS):
+        at = np.concatenate([(part @ found.T).argmax(1) for part in np.array_split(vectors, len(vectors) // 4096 + 1)])
+        order = np.argsort(at, kind="stable")
+        some, cuts = np.unique(at[order], return_index=True)
+        found[some] = _unit(np.add.reduceat(vectors[order], cuts))
+    left, chain = np.ones(len(found), bool), [0]
+    for _ in range(len(found) - 1):
+        left[chain[-1]] = False
+        chain.append(int(np.where(left, found @ found[chain[-1]], -np.inf).argmax()))
+    return center, found[chain]
+
+
+def _sampled(idf: np.ndarray, mean: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vectors = projected([np.frombuffer(x.as_buffer(), "<u2") for x in b.column(0)], idf, mean)
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in vectors], pa.binary())], names=["vector"])
+
+    return run
+
+
+def _routed(idf: np.ndarray, mean: float, center: np.ndarray, centroids: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, len(b), 256):
+                part = b.slice(at, 256)
+                vectors = projected([np.frombuffer(x.as_buffer(), "<u2") for x in part.column(1)], idf, mean)
+                near = _unit(vectors - center) @ centroids.T
+                rows = np.arange(len(near))
+                first = near.argmax(1)
+                near[rows, first] = -np.inf
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(first), pa.array(near.argmax(1))], names=["doc_id", "ids", "cluster", "second"])
+
+    return run
+
+
+def routed(tokens: DataFrame, n: int, total: int, idf: np.ndarray, mean: float) -> DataFrame:
+    """(doc_id, ids, cluster) in ranges of similar documents, in their order; n documents of total ids."""
+    shards = -(-total // SHARD_TOKENS)
+    k = min(max(1, CENTROIDS * shards), MOST_CENTROIDS) if shards > 1 else 1
+    out = tokens.select("doc_id", "ids")
+    if k == 1:
+        return out.select("doc_id", "ids", F.lit(0).cast("long").alias("cluster")).coalesce(1)
+    parts = max(1, n // (SAMPLED * k))
+    uneven = F.pmod(F.xxhash64("ids", "doc_id"), F.lit(parts)) == 0
+    sample = out.where(uneven).select("ids").mapInArrow(_sampled(idf, mean), "vector binary").collect()  # about SAMPLED a centroid
+    center, centroids = centroids_of(np.array([np.frombuffer(r["vector"], np.float32) for r in sample]).reshape(-1, DIMENSIONS), k)
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    out = out.mapInArrow(_routed(idf, mean, center, centroids), f"doc_id {kind}, ids binary, cluster long, second long")
+    order = ["cluster", "second", "h", "uid"]
+    out = staged(out.withColumns({"h": F.xxhash64("ids"), "uid": F.monotonically_increasing_id()}), "pack-routed")
+    return out.repartitionByRange(-(-shards // TASK_SHARDS), *order).sortWithinPartitions(*order).select("doc_id", "ids", "cluster")
+
+
 class Shard:
     """An inverted index over one shard's documents."""
 
@@ -179,12 +267,19 @@ class Shard:
         self.start = np.searchsorted(term, np.arange(VOCABULARY + 1))
 
     def nearest(self, ids: np.ndarray, used: np.ndarray) -> list[int]:
-        """Unused documents with the best BM25 score for the rarest terms of ids."""
+        """Unused documents with the best BM25 score for the rarest terms of ids that unused documents have."""
         terms = np.unique(ids)
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.idf[terms], QUERY_TERMS)[:QUERY_TERMS]]
-        spans = [slice(self.start[t], self.start[t + 1]) for t in terms]
-        scores = np.bincount(np.concatenate([self.doc[s] for s in spans]), weights=np.concatenate([self.weight[s] for s in spans]), minlength=self.n)
+        terms = terms[np.argsort(-self.idf[terms], kind="stable")]
+        chosen = []
+        for t in terms.tolist():
+            span = slice(self.start[t], self.start[t + 1])
+            if span.stop > span.start and not used[self.doc[span]].all():
+                chosen.append(span)
+                if len(chosen) == QUERY_TERMS:
+                    break
+        if not chosen:
+            return []
+        scores = np.bincount(np.concatenate([self.doc[s] for s in chosen]), weights=np.concatenate([self.weight[s] for s in chosen]), minlength=self.n)
         scores[used] = 0
         k = min(NEIGHBOURS, self.n)
         top = np.argpartition(-scores, k - 1)[:k]
@@ -217,10 +312,8 @@ class Packer:
         near: list[int] = []
         asked = None
         for _ in range(len(docs)):
-            if self.seed is not None and asked is not self.seed:
+            if self.seed is not None and (asked is not self.seed or not near):  # another seed, or its list has run out
                 near, asked = shard.nearest(self.seed, used)[::-1], self.seed
-            while near and used[near[-1]]:
-                near.pop()
             if self.seed is not None and near:
                 doc = near.pop()
             else:
@@ -232,27 +325,28 @@ class Packer:
         return out
 
 
+def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """(doc_ids, their token ids) a shard: cut between clusters once half full, else where it is full."""
+    doc_ids, docs, tokens, last = [], [], 0, None
+    for b in batches:
+        for i, (ids, cluster) in enumerate(zip(b.column(1), b.column(2).to_pylist())):
+            if tokens >= SHARD_TOKENS or (cluster != last and 2 * tokens >= SHARD_TOKENS):
+                yield pa.concat_arrays(doc_ids), docs
+                doc_ids, docs, tokens = [], [], 0
+            doc_ids.append(b.column(0).slice(i, 1))
+            docs.append(np.frombuffer(ids.as_buffer(), "<u2"))
+            tokens, last = tokens + len(docs[-1]), cluster
+    if docs:
+        yield pa.concat_arrays(doc_ids), docs
+
+
 def _packed(idf: np.ndarray, mean: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() << 40, idf, mean)
-        doc_ids, docs, tokens = [], [], 0
-
-        def flush() -> pa.RecordBatch:
+        for doc_ids, docs in shards_of(batches):
             rows = list(zip(*packer.pack(docs)))
-            columns = [pa.chunked_array([pa.concat_arrays(doc_ids)]).combine_chunks().take(pa.array(rows[0], pa.int64()))]
-            columns += [pa.array(r, pa.int64()) for r in rows[1:]]
-            return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], names=PIECE)
-
-        for b in batches:
-            for i, ids in enumerate(b.column(1)):
-                doc_ids.append(b.column(0).slice(i, 1))
-                docs.append(np.frombuffer(ids.as_buffer(), "<u2"))
-                tokens += len(docs[-1])
-                if tokens >= SHARD_TOKENS:
-                    yield flush()
-                    doc_ids, docs, tokens = [], [], 0
-        if docs:
-            yield flush()
+            columns = [doc_ids.take(pa.array(rows[0], pa.int64())), *(pa.array(r, pa.int64()) for r in rows[1:])]
+            yield pa.RecordBatch.from_arrays(columns, names=PIECE)
 
     return run
 
@@ -262,14 +356,20 @@ PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 
 def packed_pieces(tokens: DataFrame) -> DataFrame:
     """The pieces of every document; tokens is a result of token_ids that was written once."""
+    ways = corpus_weights(tokens)
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    return routed(tokens, *ways).mapInArrow(_packed(*ways[2:]), f"doc_id {kind}, " + ", ".join(f"{c} long" for c in PIECE[1:]))
+
+
+def corpus_weights(tokens: DataFrame) -> tuple[int, int, np.ndarray, float]:
+    """Documents, ids, each id's inverse document frequency, mean length."""
     n, total = tokens.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0)) / 2).first()
     counted = tokens.select("ids").mapInArrow(_frequencies, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).collect()
     df = np.zeros(VOCABULARY)  # one number an id of the vocabulary
     for r in counted:
         df[r["id"]] = r["df"]
     idf = np.log1p((n - df + 0.5) / (df + 0.5)) + 1e-9
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", "ids").mapInArrow(_packed(idf, total / max(n, 1)), f"doc_id {kind}, " + ", ".join(f"{c} long" for c in PIECE[1:]))
+    return n, int(total), idf, total / max(n, 1)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
