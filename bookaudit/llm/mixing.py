@@ -11,7 +11,7 @@ A topic is the group of a document's long words (by a hash into `TOPICS` groups)
 
 Defined cases: a null source or language is a value of its own (''); a null or wordless text counts 0 tokens,
 has topic -1 and, in a cell without tokens, probability keep_share; values without a target keep their share;
-an empty table gives no rows; repeated rows share their fate.
+an empty table gives no rows; rows equal in id and text share their place, and so their fate within a cell.
 """
 
 from __future__ import annotations
@@ -36,12 +36,12 @@ def topic_of(words: Column) -> Column:
     return F.when(top["n"] > 0, -top["k"]).otherwise(-1)
 
 
-def celled(docs: DataFrame) -> DataFrame:
-    """doc_id, the document's cell, its tokens and its place in [0, 1)."""
+def celled(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, the document's cell, its tokens and its place in [0, 1); further columns as they are."""
     words = F.filter(F.split(text_or_empty(), r"\s+"), lambda w: w != "")
     cell = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("source", "lang")]
-    rows = docs.select("doc_id", *cell, words.alias("words"), unit_hash(F.col("doc_id"), F.xxhash64(text_or_empty())).alias("place"))
-    return rows.select("doc_id", "source", "lang", topic_of(F.col("words")).cast("string").alias("topic"), F.size("words").cast("long").alias("tokens"), "place")
+    rows = docs.select("doc_id", *cell, words.alias("words"), unit_hash(F.col("doc_id"), F.xxhash64(text_or_empty())).alias("place"), *more)
+    return rows.select("doc_id", "source", "lang", topic_of(F.col("words")).cast("string").alias("topic"), F.size("words").cast("long").alias("tokens"), "place", *more)
 
 
 def _targets(cells: pd.DataFrame, margin: str, given: dict | None, temper: float) -> pd.Series:
@@ -109,12 +109,8 @@ def _raked_in_spark(cells: DataFrame, targets: dict | None, temper: float, round
     return out.select(*MARGINS, F.lit(hi).alias("factor"), ratio.alias("weight"), F.least(F.lit(1.0), hi * ratio).alias("probability")).drop("factor")
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep_share: float = 0.75, temper: float = 0.7, small_cells: int = SMALL_CELLS) -> DataFrame:
-    """One row per row of docs: doc_id, source, lang, topic, tokens, weight, probability, kept.
-
-    targets: shares wanted by margin and value, such as {"lang": {"en": 0.5}}.
-    """
-    rows = staged(celled(docs), "mix-rows")
+def _fitted(rows: DataFrame, targets: dict | None, keep_share: float, temper: float, small_cells: int) -> DataFrame:
+    """rows of celled() with weight, probability and kept."""
     cells = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
     n = cells.count()
     if n <= small_cells:
@@ -125,17 +121,27 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, k
             table_["probability"] = probabilities(table_["tokens"].to_numpy(float), mass.to_numpy(float), keep_share)
         else:
             table_["weight"], table_["probability"] = 1.0, keep_share
-        fitted = F.broadcast(docs.sparkSession.createDataFrame(table_[[*MARGINS, "weight", "probability"]], ", ".join(f"{m} string" for m in MARGINS) + ", weight double, probability double"))
+        fitted = F.broadcast(rows.sparkSession.createDataFrame(table_[[*MARGINS, "weight", "probability"]], ", ".join(f"{m} string" for m in MARGINS) + ", weight double, probability double"))
     else:
         fitted = _raked_in_spark(staged(cells, "mix-cells"), targets, temper, 20, keep_share)
     out = rows.join(fitted, list(MARGINS), "left").withColumns({"weight": F.coalesce("weight", F.lit(1.0)), "probability": F.coalesce("probability", F.lit(keep_share))})
-    return out.select("doc_id", *MARGINS, "tokens", "weight", "probability", (F.col("place") < F.col("probability")).alias("kept"))
+    return out.withColumn("kept", F.col("place") < F.col("probability"))
+
+
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep_share: float = 0.75, temper: float = 0.7, small_cells: int = SMALL_CELLS) -> DataFrame:
+    """One row per row of docs: doc_id, source, lang, topic, tokens, weight, probability, kept.
+
+    targets: shares wanted by margin and value, such as {"lang": {"en": 0.5}}.
+    """
+    rows = staged(celled(docs), "mix-rows")
+    return _fitted(rows, targets, keep_share, temper, small_cells).select("doc_id", *MARGINS, "tokens", "weight", "probability", "kept")
 
 
-def keep_mixed(docs: DataFrame, **options) -> DataFrame:
-    """docs without the rows that the sample leaves out."""
-    chosen = staged(mixed(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct(), "mix-gone")
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"]), "left_anti").select(*docs.columns)
+def keep_mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep_share: float = 0.75, temper: float = 0.7, small_cells: int = SMALL_CELLS) -> DataFrame:
+    """docs without the rows that the sample leaves out. Each row goes through with its own cell and place."""
+    whole = docs.select(*docs.columns, F.struct(*docs.columns).alias("_row"))
+    rows = staged(celled(whole, "_row"), "mix-rows")
+    return _fitted(rows, targets, keep_share, temper, small_cells).where("kept").select("_row.*")
 
 
 def op5_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
