@@ -27,6 +27,8 @@ TOPICS, LONG_WORD = 8, 7
 MARGINS = ("source", "lang", "topic")
 #: Up to so many cells are raked on the driver and joined by broadcast; more are raked in Spark.
 SMALL_CELLS = 100_000
+#: Raking ends when no cell's mass changes by more in a round, on both paths.
+ROUNDS, TOLERANCE = 100, 1e-9
 
 
 def topic_of(words: Column) -> Column:
@@ -57,7 +59,7 @@ def _targets(cells: pd.DataFrame, margin: str, given: dict | None, temper: float
     return share / share.sum()
 
 
-def rake(cells: pd.DataFrame, targets: dict | None = None, temper: float = 0.7, rounds: int = 100, tolerance: float = 1e-9) -> pd.Series:
+def rake(cells: pd.DataFrame, targets: dict | None = None, temper: float = 0.7, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> pd.Series:
     """The cells' masses after raking; they add up to 1."""
     mass = cells["tokens"] / cells["tokens"].sum()
     shares = {m: _targets(cells, m, (targets or {}).get(m), temper) for m in MARGINS}
@@ -81,10 +83,12 @@ def probabilities(tokens: np.ndarray, mass: np.ndarray, keep_share: float) -> np
     return np.where(tokens > 0, np.minimum(1, hi * ratio), keep_share)
 
 
-def _raked_in_spark(cells: DataFrame, targets: dict | None, temper: float, rounds: int, keep_share: float) -> DataFrame:
+def _raked_in_spark(cells: DataFrame, targets: dict | None, temper: float, keep_share: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """The same for many cells: masses by windows, the factor by repeated sums; nothing but sums on the driver."""
     spark = cells.sparkSession
     total = cells.agg(F.sum("tokens")).first()[0]
+    if not total:
+        return cells.select(*MARGINS, F.lit(1.0).alias("weight"), F.lit(keep_share).alias("probability"))
     out = cells.where("tokens > 0").withColumn("mass", F.col("tokens") / total)
     for m in MARGINS:
         own = cells.groupBy(m).agg((F.sum("tokens") / total).alias("own"))
@@ -92,21 +96,33 @@ def _raked_in_spark(cells: DataFrame, targets: dict | None, temper: float, round
         if given is None:
             own = own.withColumn("share", F.pow("own", F.lit(temper)))
         else:
-            wanted = spark.createDataFrame(list(given.items()), f"{m} string, wanted double")
+            wanted = spark.createDataFrame([(v, float(x)) for v, x in given.items()], f"{m} string, wanted double")
             own = own.join(wanted, m, "left").withColumn("share", F.coalesce("wanted", "own"))
         norm = own.agg(F.sum("share")).first()[0]
         out = out.join(own.select(m, (F.col("share") / norm).alias(f"_{m}")), m)
     for _ in range(rounds):
+        out = out.withColumn("before", F.col("mass"))
         for m in MARGINS:
-            out = out.withColumn("mass", F.col("mass") * F.col(f"_{m}") / F.sum("mass").over(Window.partitionBy(m)))
+            now = F.sum("mass").over(Window.partitionBy(m))
+            out = out.withColumn("mass", F.when(now > 0, F.col("mass") * F.col(f"_{m}") / now).otherwise(0.0))
         out = staged(out, "rake-round")
+        change = out.agg(F.max(F.abs(F.col("mass") - F.col("before")))).first()[0]
+        out = out.drop("before")
+        if change < tolerance:
+            break
     ratio = F.col("mass") * total / F.col("tokens")
-    lo, hi = 0.0, 1 / out.agg(F.min(ratio)).first()[0]
-    for _ in range(40):
-        mid = (lo + hi) / 2
-        got = out.agg(F.sum(F.least(F.lit(1.0), mid * ratio) * F.col("tokens"))).first()[0]
-        lo, hi = (mid, hi) if got < keep_share * total else (lo, mid)
-    return out.select(*MARGINS, F.lit(hi).alias("factor"), ratio.alias("weight"), F.least(F.lit(1.0), hi * ratio).alias("probability")).drop("factor")
+    least = out.where("mass > 0").agg(F.min(ratio)).first()[0]
+    lo, hi = 0.0, max(1.0, 1 / max(min(least, 1.0), 1e-12))
+    while True:  # 15 factors between the two a pass, until no number lies between them
+        factors = [f for f in (lo + (hi - lo) * k / 16 for k in range(1, 16)) if lo < f < hi]
+        if not factors:
+            break
+        got = out.agg(*(F.sum(F.least(F.lit(1.0), f * ratio) * F.col("tokens")).alias(f"f{k}") for k, f in enumerate(factors))).first()
+        short = [f for f, x in zip(factors, got) if x < keep_share * total]
+        lo, hi = max(short, default=lo), min((f for f in factors if f not in short), default=hi)
+        if hi <= lo:  # sums that differ by rounding
+            break
+    return out.select(*MARGINS, ratio.alias("weight"), F.least(F.lit(1.0), hi * ratio).alias("probability"))
 
 
 def _fitted(rows: DataFrame, targets: dict | None, keep_share: float, temper: float, small_cells: int) -> DataFrame:
@@ -123,7 +139,7 @@ def _fitted(rows: DataFrame, targets: dict | None, keep_share: float, temper: fl
             table_["weight"], table_["probability"] = 1.0, keep_share
         fitted = F.broadcast(rows.sparkSession.createDataFrame(table_[[*MARGINS, "weight", "probability"]], ", ".join(f"{m} string" for m in MARGINS) + ", weight double, probability double"))
     else:
-        fitted = _raked_in_spark(staged(cells, "mix-cells"), targets, temper, 20, keep_share)
+        fitted = _raked_in_spark(staged(cells, "mix-cells"), targets, temper, keep_share)
     out = rows.join(fitted, list(MARGINS), "left").withColumns({"weight": F.coalesce("weight", F.lit(1.0)), "probability": F.coalesce("probability", F.lit(keep_share))})
     return out.withColumn("kept", F.col("place") < F.col("probability"))
 

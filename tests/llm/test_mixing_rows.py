@@ -18,3 +18,18 @@ def test_rows_of_one_id_have_their_own_fate(spark):
     assert left.columns == docs.columns
     assert {i: n for (i, kept), n in want.items() if kept} == collections.Counter(r["doc_id"] for r in got)
     assert 250 < len(got) < 350 and not collections.Counter(map(tuple, got)) - collections.Counter([*rows, rows[0]])
+
+
+def test_many_cells_are_raked_like_few(spark):
+    """Sparse cells, whose margins take more than 20 rounds to agree."""
+    rng = np.random.default_rng(3)
+    docs = []
+    for i in range(240):
+        lang = f"l{min(i // 40 + int(rng.integers(0, 2)), 5)}"
+        docs.append((i, " ".join(["word", "extended"[: int(rng.integers(3, 9))]] * int(rng.integers(1, 300))), lang, f"s{i // 4}"))
+    docs = spark.createDataFrame(docs, DOCS)
+    few = {r["doc_id"]: r for r in mixing.mixed(docs, temper=0.2).collect()}
+    many = {r["doc_id"]: r for r in mixing.mixed(docs, temper=0.2, small_cells=0).collect()}
+    assert few.keys() == many.keys()
+    for i, r in few.items():
+        assert abs(many[i]["probability"] - r["probability"]) < 1e-6 and abs(many[i]["weight"] - r["weight"]) < 1e-6 * r["weight"] and many[i]["kept"] == r["kept"]
