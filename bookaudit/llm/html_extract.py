@@ -8,8 +8,11 @@
    gives the main text. Pages that match none use their own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments inside it are left out by tag, role and
-class words; a <header> inside an article stays. Defined cases: null html is empty and gives an empty text; a
-null url is the host ''; unclosed and stray tags are tolerated; pages without blocks give an empty text; repeated
+class words; a <header> inside an article stays. Words of a name after `with`, `no` and the like say nothing of the
+element, and one named as noise that holds the page's heading or article and over `WHOLE` of its text is its content.
+Defined cases: null html is empty and gives an empty text; a null url is the host ''; unclosed and stray tags are
+tolerated, self-closed ones are empty, and embedded ones (svg, iframe, ...) that aren't closed end at the next block or
+with their parent; pages without blocks give an empty text; repeated
 rows are rows of their own; an empty table gives no rows; other columns aren't read.
 """
 
@@ -17,7 +20,9 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
 from dataclasses import dataclass, field
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,10 +33,13 @@ from .common import staged, table
 
 _IN_TAG = r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*"""
 TOKEN = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(script|style|noscript|template|textarea|svg|iframe|select|object)\b" + _IN_TAG + r">.*?(?:</\1\s*>|\Z)"
+    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(?:(script|style)\b" + _IN_TAG + r"(?<!/)>.*?(?:</\1\s*>|\Z))"
+    r"|(?:(noscript|template|textarea|svg|iframe|select|object)\b" + _IN_TAG + r"(?<!/)>(?:(?!<\2\b).)*?</\2\s*>)"
     r"|(/?)([a-z][a-z0-9:-]*)(" + _IN_TAG + r")>)",
     re.S | re.I,
 )
+#: Of those above, the ones that reach the stack: self-closed, not closed, or around another one.
+EMBEDDED = set("noscript template textarea svg iframe select object".split())
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 # Fixed values of HTML: elements without an end tag, and elements that begin a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,6 +56,10 @@ NOISE_WORDS = set(
     " footer header masthead topbar comment comments disqus reply replies respond discussion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter"
     " subscribe subscription signup login social share sharing related recommended recommendations widget toolbar pagination pager search form copyright disclaimer skip tracking".split()
 )
+#: Of a name such as content-with-sidebar, only the words before these count.
+TURNS = set("has with without no not is".split())
+#: Share of a page's text.
+WHOLE = 0.9
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -56,6 +68,7 @@ class Element:
     tag: str
     noise: bool
     holder: int  # of its nearest container
+    named: int = -1  # where the outermost element above begins that is noise by its names alone
 
 
 @dataclass
@@ -76,13 +89,24 @@ def _is_noise(tag: str, attributes: dict[str, str], above: list[Element]) -> boo
         return False
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
     for words in ([w.lower() for w in WORD.findall(n)] for n in names):
-        if words and words[0] not in ("has", "with", "no", "is") and any(w in NOISE_WORDS for w in words):
+        if any(w in NOISE_WORDS for w in takewhile(lambda w: w not in TURNS, words)):
             return True
     return False
 
 
 def read_page(source: str) -> Page:
+    exempt: set[int] = set()
+    while True:
+        page, whole = _read(source, exempt)
+        if whole is None:
+            return page
+        exempt.add(whole)
+
+
+def _read(source: str, exempt: set[int]) -> tuple[Page, int | None]:
+    """The page, and where an element begins that is noise by its names but holds nearly all the text; exempt: such that aren't noise."""
     page, stack, parts, links, at = Page(), [], [], 0, 0
+    dropped, headed = Counter(), set()  # characters in elements that are noise by their names; those with a heading or article
 
     def close_block() -> None:
         nonlocal links
@@ -95,6 +119,8 @@ def read_page(source: str) -> Page:
 
     def add(piece: str) -> None:
         nonlocal links
+        if stack and stack[-1].named >= 0:
+            dropped[stack[-1].named] += len(piece.strip())
         if piece and not (stack and stack[-1].noise):
             parts.append(piece)
             if any(e.tag == "a" for e in stack[-4:]):
@@ -108,14 +134,14 @@ def read_page(source: str) -> Page:
     for m in TOKEN.finditer(source):
         add(source[at : m.start()])
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[4] or "").lower()
         if not tag or tag in VOID:
             if tag == "hr":
                 close_block()
             elif tag:
                 add(" ")
             continue
-        if m[2]:
+        if m[3]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].tag == tag:
                     pop_to(i)
@@ -124,6 +150,9 @@ def read_page(source: str) -> Page:
                     break
             continue
         if tag in BLOCK:
+            open_ = next((i for i, e in enumerate(stack) if e.tag in EMBEDDED), None)
+            if open_ is not None and tag not in ("option", "optgroup", "title"):
+                pop_to(open_)
             close_block()
             ends = CLOSES.get(tag, set()) | {"p"}
             for i in range(len(stack) - 1, -1, -1):
@@ -134,11 +163,16 @@ def read_page(source: str) -> Page:
                     break
                 if stack[i].tag in CONTAINER or stack[i].tag in ("ul", "ol", "dl", "table"):
                     break
-        if (m[4] or "").rstrip().endswith("/") and tag not in BLOCK:
+        if (m[5] or "").rstrip().endswith("/") and tag not in BLOCK:
             continue
-        attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[4] or "")}
+        attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[5] or "")}
         above = stack[-1] if stack else None
-        noise = bool(above and above.noise) or _is_noise(tag, attributes, stack)
+        named = above.named if above else -1
+        noise = bool(above and above.noise) or tag in EMBEDDED or _is_noise(tag, {"role": attributes.get("role", "")}, stack)
+        if not noise and m.start() not in exempt and _is_noise(tag, attributes, stack):
+            noise, named = True, m.start()
+        if named >= 0 and tag in ("h1", "main", "article"):
+            headed.add(named)
         holder = above.holder if above else 0
         if tag in CONTAINER and not noise:
             first = (attributes.get("class", "").split() or [""])[0]
@@ -146,10 +180,11 @@ def read_page(source: str) -> Page:
             page.parents.append(holder)
             page.paths.append(f"{page.paths[holder]}>{step}")
             holder = len(page.parents) - 1
-        stack.append(Element(tag, noise, holder))
+        stack.append(Element(tag, noise, holder, named))
     add(source[at:])
     close_block()
-    return page
+    whole = sum(len(text) for _, text, _ in page.blocks) + sum(dropped.values())
+    return page, next((k for k in sorted(headed) if dropped[k] > WHOLE * whole), None)
 
 
 def best_container(page: Page) -> tuple[str, float] | None:
