@@ -34,6 +34,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused_name(name: str, *frames: DataFrame) -> str:
+    """name, lengthened until no frame has a column that begins with it."""
+    taken = [c.lower() for f in frames for c in f.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name = f"{name}_"
+    return name
+
+
+#: Bits of a key bitmap: 2,048 pieces of 32,768 bits, 8 MB at most whatever the data.
+KEY_BITS = 1 << 26
+
+
+def with_flag(df: DataFrame, key: list[str], wanted: DataFrame, flag: str) -> DataFrame:
+    """df with a boolean column: false where no row of wanted (its first columns, in the order of key) can have this key.
+
+    A bitmap of hashed keys is broadcast; it has at most 8 MB. True only says maybe, so a join decides on what is left,
+    and need not shuffle the rest.
+    """
+    place = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(KEY_BITS)) + 1
+    p = place(map(F.col, wanted.columns[: len(key)]))
+    maps = wanted.select(F.bitmap_bucket_number(p).alias("_piece"), F.bitmap_bit_position(p).alias("_bit")).groupBy("_piece").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    q = place(map(F.col, key))
+    piece, bits, at = (unused_name(f"_{n}", df) for n in ("piece", "map", "at"))
+    maps = maps.withColumnsRenamed({"_piece": piece, "_map": bits})
+    out = df.withColumns({piece: F.bitmap_bucket_number(q), at: F.bitmap_bit_position(q)}).join(F.broadcast(maps), piece, "left")
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, (F.col(at) % 8).cast("int")) == 1
+    return out.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(piece, bits, at)
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -94,7 +94,7 @@ def test_near(docs, empty):
         for b in sets:
             if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                 parent[max(root(a), root(b))] = min(root(a), root(b))
-    got = near_dedup.near_classes(docs, first_leaders=2).collect()
+    got = near_dedup.near_classes(docs, leaders=1, block=2).collect()
     assert len(got) == docs.count()
     for r in got:
         if r["doc_id"] is not None:
