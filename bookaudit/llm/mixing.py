@@ -1,13 +1,14 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-1. Tokens (words) are summed by cell: source, language, topic.
-2. The cells' masses are raked: scaled to each margin's targets in turn until all margins agree.
-3. A cell's sampling probability is its raked over its present mass, times one factor that is calibrated so
+1. Topics: words are counted by hash over all documents; a document is the sum of its words' tf-idf weights,
+   projected at random to `DIMENSIONS` numbers of length 1; k-means over all documents gives `TOPICS` clusters.
+2. Tokens (words) are summed by cell: source, language, topic.
+3. The cells' masses are raked: scaled to each margin's targets in turn until all margins agree.
+4. A cell's sampling probability is its raked over its present mass, times one factor that is calibrated so
    that the expected tokens are `keep_share` of the corpus, with no probability over 1.
-4. Each document stays if a hash of its id and text is below its cell's probability.
+5. Each document stays if a hash of its id and text is below its cell's probability.
 
-Targets default to the corpus's own shares to the power `temper`, which lifts small sources and languages.
-A topic is the group of a document's long words (by a hash into `TOPICS` groups) that has the most of them.
+Targets default to the corpus's own shares to the power `temper`, which lifts small sources, languages and topics.
 
 Defined cases: a null source or language is a value of its own (''); a null or wordless text counts 0 tokens,
 has topic -1 and, in a cell without tokens, probability keep_share; values without a target keep their share;
@@ -16,14 +17,22 @@ an empty table gives no rows; rows equal in id and text share their place, and s
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import staged, table, text_or_empty, unit_hash
+from .words import slices, word_bounds, word_hashes
 
-TOPICS, LONG_WORD = 8, 7
+#: Clusters, numbers a document is projected to, places words are hashed to.
+TOPICS, DIMENSIONS, TERMS = 8, 32, 1 << 16
 MARGINS = ("source", "lang", "topic")
 #: Up to so many cells are raked on the driver and joined by broadcast; more are raked in Spark.
 SMALL_CELLS = 100_000
@@ -31,19 +40,72 @@ SMALL_CELLS = 100_000
 ROUNDS, TOLERANCE = 100, 1e-9
 
 
-def topic_of(words: Column) -> Column:
-    groups = F.transform(F.filter(words, lambda w: F.length(w) >= LONG_WORD), lambda w: F.pmod(F.xxhash64(w), F.lit(TOPICS)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(TOPICS - 1)), lambda k: F.struct(F.size(F.filter(groups, lambda g: g == k)).alias("n"), (-k).alias("k")))
-    top = F.array_max(counts)
-    return F.when(top["n"] > 0, -top["k"]).otherwise(-1)
+def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each row; then row, place and count of each of its different words."""
+    starts, ends, row = word_bounds(data, offsets)
+    n = len(offsets) - 1
+    key = row * TERMS + (word_hashes(data, starts, ends) % np.uint64(TERMS)).astype(np.int64) if len(starts) else np.zeros(0, np.int64)
+    key, count = np.unique(key, return_counts=True)
+    return np.bincount(row, minlength=n), key // TERMS, key % TERMS, count
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    df = np.zeros(TERMS, np.int64)
+    for b in batches:
+        for _, _, data, offsets in slices(b.column(0)):
+            df += np.bincount(_terms(data, offsets)[2], minlength=TERMS)
+    some = np.flatnonzero(df)
+    yield pa.RecordBatch.from_pydict({"term": pa.array(some), "df": pa.array(df[some])})
+
+
+def term_weights(docs: DataFrame) -> np.ndarray:
+    """Inverse document frequency of each place over all documents; at most TERMS numbers reach the driver."""
+    counted = docs.select("text").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    df, n = np.zeros(TERMS), docs.count()
+    for r in counted:
+        df[r["term"]] = r["df"]
+    return np.log1p(n / (df + 1)).astype(np.float32)
+
+
+def _projected(weights: np.ndarray):
+    """Arrow function: tokens and the projected unit vector of each text (null without words)."""
+
+    @F.arrow_udf(T.StructType([T.StructField("tokens", T.LongType()), T.StructField("vector", T.ArrayType(T.FloatType()))]))
+    def project(text: pa.Array) -> pa.Array:
+        signs = np.random.default_rng(20240609).choice(np.array([-1, 1], np.float32), (TERMS, DIMENSIONS)) * weights[:, None]
+        tokens, vectors = [np.zeros(0, np.int64)], [np.zeros((0, DIMENSIONS), np.float32)]
+        for _, _, data, offsets in slices(text):
+            words, row, place, count = _terms(data, offsets)
+            out = np.zeros((len(words), DIMENSIONS), np.float32)
+            if len(row):
+                some, cuts = np.unique(row, return_index=True)
+                out[some] = np.add.reduceat(signs[place] * (1 + np.log(count.astype(np.float32)))[:, None], cuts)
+            tokens.append(words)
+            vectors.append(out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9))
+        tokens, vectors = np.concatenate(tokens), np.concatenate(vectors)
+        ends = np.arange(len(tokens) + 1, dtype=np.int32) * DIMENSIONS
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(vectors.ravel()), mask=pa.array(tokens == 0))
+        return pa.StructArray.from_arrays([pa.array(tokens), lists], names=["tokens", "vector"])
+
+    return project
 
 
 def celled(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, the document's cell, its tokens and its place in [0, 1); further columns as they are."""
-    words = F.filter(F.split(text_or_empty(), r"\s+"), lambda w: w != "")
     cell = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("source", "lang")]
-    rows = docs.select("doc_id", *cell, words.alias("words"), unit_hash(F.col("doc_id"), F.xxhash64(text_or_empty())).alias("place"), *more)
-    return rows.select("doc_id", "source", "lang", topic_of(F.col("words")).cast("string").alias("topic"), F.size("words").cast("long").alias("tokens"), "place", *more)
+    rows = docs.select("doc_id", *cell, _projected(term_weights(docs))("text").alias("p"), unit_hash(F.col("doc_id"), F.xxhash64(text_or_empty())).alias("place"), *more)
+    rows = staged(rows.select("doc_id", "source", "lang", "p.tokens", "p.vector", "place", *more), "mix-vectors")
+    worded = rows.select(array_to_vector("vector").alias("features")).where("vector IS NOT NULL")
+    topic = F.lit(-1)
+    if worded.limit(1).count():
+        model = KMeans(k=TOPICS, seed=7, maxIter=10, tol=1e-3).fit(worded)
+        # The nearest centre: all vectors have length 1, so the one with the largest product less half its square.
+        near = []
+        for k, c in enumerate(model.clusterCenters()):
+            terms = [F.get("vector", F.lit(i)) * float(x) for i, x in enumerate(c)]
+            near.append(F.struct((sum(terms[1:], terms[0]) - float(c @ c) / 2).alias("fit"), F.lit(k).alias("k")))
+        topic = F.when(F.col("vector").isNotNull(), F.array_max(F.array(*near))["k"]).otherwise(-1)
+    return rows.select("doc_id", "source", "lang", topic.cast("string").alias("topic"), "tokens", "place", *more)
 
 
 def _targets(cells: pd.DataFrame, margin: str, given: dict | None, temper: float) -> pd.Series:
@@ -84,7 +146,7 @@ def probabilities(tokens: np.ndarray, mass: np.ndarray, keep_share: float) -> np
 
 
 def _raked_in_spark(cells: DataFrame, targets: dict | None, temper: float, keep_share: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """The same for many cells: masses by windows, the factor by repeated sums; nothing but sums on the driver."""
+    """The same for many cells: masses by sums of each margin, the factor by repeated sums; nothing but sums on the driver."""
     spark = cells.sparkSession
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
@@ -103,9 +165,9 @@ def _raked_in_spark(cells: DataFrame, targets: dict | None, temper: float, keep_
     for _ in range(rounds):
         out = out.withColumn("before", F.col("mass"))
         for m in MARGINS:
-            now = F.sum("mass").over(Window.partitionBy(m))
-            out = out.withColumn("mass", F.when(now > 0, F.col("mass") * F.col(f"_{m}") / now).otherwise(0.0))
-        out = staged(out, "rake-round")
+            now = out.groupBy(m).agg(F.sum("mass").alias("now"))
+            fitted = F.when(F.col("now") > 0, F.col("mass") * F.col(f"_{m}") / F.col("now")).otherwise(0.0)
+            out = staged(out.join(now, m).withColumn("mass", fitted).drop("now"), "rake-round")
         change = out.agg(F.max(F.abs(F.col("mass") - F.col("before")))).first()[0]
         out = out.drop("before")
         if change < tolerance:
@@ -149,14 +211,14 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, k
 
     targets: shares wanted by margin and value, such as {"lang": {"en": 0.5}}.
     """
-    rows = staged(celled(docs), "mix-rows")
+    rows = celled(docs)
     return _fitted(rows, targets, keep_share, temper, small_cells).select("doc_id", *MARGINS, "tokens", "weight", "probability", "kept")
 
 
 def keep_mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep_share: float = 0.75, temper: float = 0.7, small_cells: int = SMALL_CELLS) -> DataFrame:
     """docs without the rows that the sample leaves out. Each row goes through with its own cell and place."""
-    whole = docs.select(*docs.columns, F.struct(*docs.columns).alias("_row"))
-    rows = staged(celled(whole, "_row"), "mix-rows")
+    whole = docs.select("doc_id", "text", "source", "lang", F.struct(*docs.columns).alias("_row"))
+    rows = celled(whole, "_row")
     return _fitted(rows, targets, keep_share, temper, small_cells).where("kept").select("_row.*")
 
 
