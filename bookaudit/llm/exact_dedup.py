@@ -1,8 +1,8 @@
 """Exact dedup by counting quotient filters.
 
-1. Each partition builds a counting quotient filter of its texts' 64-bit fingerprints: the high bits
-   (quotient) name a run, a run holds its sorted remainders with counts.
-2. Filters merge without loss: runs of one quotient block are merged by sorted remainders, counts add up.
+1. Each partition builds a counting quotient filter of its texts' 64-bit fingerprints: the high bits are the
+   quotient, which names a run; the run holds the sorted remainders (the bits below, packed) with counts.
+2. Filters merge without loss: runs of one quotient are merged by sorted remainders, counts add up.
 3. Fingerprints counted more than once go to byte verification: their whole normalised texts are compared.
    Texts that only share a fingerprint part there.
 
@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, staged, table, text_or_empty
+from .common import ascii_lower, staged, table, text_or_empty, unused_name
 
-#: A quotient block holds about this many fingerprints; at least so many blocks.
-PER_BLOCK, MIN_BLOCKS = 500_000, 1024
+#: A run holds about this many fingerprints; at least so many quotients.
+PER_RUN, MIN_RUNS = 500_000, 1024
 
 
 def _run(fingerprints: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -33,41 +33,67 @@ def _run(fingerprints: np.ndarray, counts: np.ndarray | None = None) -> tuple[np
     return values, np.bincount(at, weights=counts, minlength=len(values)).astype(np.int64)
 
 
+def _merged(stack: list[tuple[np.ndarray, np.ndarray]], all_of_it: bool = False) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The stack of sorted values after merging its last ones while they are about as long, so that each value is merged a few times at most."""
+    while len(stack) > 1 and (all_of_it or len(stack[-2][0]) <= 2 * len(stack[-1][0])):
+        (v, c), (w, d) = stack.pop(), stack.pop()
+        stack.append(_run(np.concatenate([v, w]), np.concatenate([c, d])))
+    return stack
+
+
+def _packed(remainders: np.ndarray, bits: int) -> bytes:
+    """The low 64 - bits bits of each, in whole bytes."""
+    return remainders.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : (71 - bits) // 8].tobytes()
+
+
+def _unpacked(data: bytes, bits: int) -> np.ndarray:
+    width = (71 - bits) // 8
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<u8")[:, 0]
+
+
 def _partition_filter(bits: int):
-    """mapInArrow: one filter a partition; one row for each quotient block that isn't empty."""
+    """mapInArrow: one filter a partition; one row for each quotient that isn't empty."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        stack = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for b in batches:  # at most one entry a distinct text of the partition
-            new = b.column(0).to_numpy().view(np.uint64)
-            values, counts = _run(np.concatenate([values, new]), np.concatenate([counts, np.ones(len(new), np.int64)]))
-        block = (values >> np.uint64(64 - bits)).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(block, prepend=-1))
-        ends = np.append(cuts[1:], len(block))
+            stack = _merged([*stack, _run(b.column(0).to_numpy().view(np.uint64))])
+        values, counts = _merged(stack, True)[0]
+        quotient = (values >> np.uint64(64 - bits)).astype(np.int64)
+        remainder = values & np.uint64((1 << (64 - bits)) - 1)
+        cuts = np.flatnonzero(np.diff(quotient, prepend=-1))
+        ends = np.append(cuts[1:], len(quotient))
         yield pa.RecordBatch.from_pydict(
             {
-                "block": pa.array(block[cuts], pa.int64()),
-                "remainders": pa.array([values[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                "counts": pa.array([counts[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                "quotient": pa.array(quotient[cuts], pa.int64()),
+                "remainders": pa.array([_packed(remainder[a:b], bits) for a, b in zip(cuts, ends)], pa.binary()),
+                "counts": pa.array([counts[a:b].astype("<u4").tobytes() for a, b in zip(cuts, ends)], pa.binary()),
             }
         )
 
     return build
 
 
-def _merge_runs(pdf: pd.DataFrame) -> pd.DataFrame:
-    values = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["remainders"]])
-    counts = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["counts"]])
-    values, counts = _run(values, counts)
-    more = counts > 1
-    return pd.DataFrame({"fp": values[more].view(np.int64), "n": counts[more]})
+def _merge_runs(bits: int):
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Fingerprints with a count over one, from the runs of one quotient."""
+        remainders = np.concatenate([_unpacked(x, bits) for x in pdf["remainders"]])
+        counts = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["counts"]])
+        remainders, counts = _run(remainders, counts)
+        more = counts > 1
+        values = (np.uint64(pdf["quotient"].iloc[0]) << np.uint64(64 - bits)) | remainders[more]
+        return pd.DataFrame({"fp": values.view(np.int64), "n": counts[more]})
+
+    return merge
 
 
 def repeated_fingerprints(fingerprints: DataFrame, rows: int) -> DataFrame:
     """(fp, n) of all values of the one long column that occur more than once, by merged quotient filters."""
-    bits = max(MIN_BLOCKS, rows // PER_BLOCK).bit_length() - 1
-    filters = fingerprints.mapInArrow(_partition_filter(bits), "block long, remainders binary, counts binary")
-    return filters.groupBy("block").applyInPandas(_merge_runs, "fp long, n long")
+    bits = max(MIN_RUNS, rows // PER_RUN).bit_length() - 1
+    filters = fingerprints.mapInArrow(_partition_filter(bits), "quotient long, remainders binary, counts binary")
+    return filters.groupBy("quotient").applyInPandas(_merge_runs(bits), "fp long, n long")
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -86,7 +112,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     texts = texts.groupBy("text_sha256", "norm").agg(F.count("*").alias("n")).groupBy("text_sha256").agg(F.count("*").alias("texts"))
     texts = texts.select("text_sha256", F.when(F.col("texts") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("two texts with one SHA-256"))).alias("verified"))
     row = F.struct(F.col("doc_id").isNotNull(), "doc_id", "uid")
-    groups = digests.join(repeated, "fp").groupBy("text_sha256").agg(F.max(row).alias("last"), F.count("*").alias("n"), F.count("doc_id").alias("ids"), F.min("doc_id").alias("low"))
+    groups = digests.join(repeated, "fp").groupBy("text_sha256").agg(F.max(row).alias("last"), F.count("*").alias("n"))
     groups = groups.join(texts, "text_sha256").where("verified").where("n > 1").select("text_sha256", "last", "n")
     # Written first, so that both sides of the join are plain shuffles and a hot digest's rows can be split.
     out = digests.join(staged(groups, "exact-classes"), "text_sha256", "left")
@@ -106,10 +132,12 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     groups = staged(exact_groups(docs), "exact-groups")
     norm = ascii_lower(text_or_empty())
     gone = groups.where("NOT kept AND NOT repeated_id").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    marked = docs.withColumn("_own", F.sha2(norm.cast("binary"), 256))
-    left = marked.join(gone, marked["doc_id"].eqNullSafe(gone["_id"]) & (marked["_own"] == gone["_sha"]), "left_anti")
+    own = unused_name("_own", docs)
+    gone = gone.withColumnsRenamed({"_id": f"{own}i", "_sha": f"{own}s"})
+    marked = docs.withColumn(own, F.sha2(norm.cast("binary"), 256))
+    left = marked.join(gone, marked["doc_id"].eqNullSafe(gone[f"{own}i"]) & (marked[own] == gone[f"{own}s"]), "left_anti")
     if groups.where("repeated_id").limit(1).count():  # rows with one id and one text: one of them stays
-        left = left.dropDuplicates(["doc_id", "_own"])
+        left = left.dropDuplicates(["doc_id", own])
     return left.select(*docs.columns)
 
 

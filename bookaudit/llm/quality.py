@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, staged, table
+from .common import fold, staged, table, unused_name
 from .words import slices, word_bounds, word_hashes
 
 #: Bytes of each class.
@@ -170,7 +170,7 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, reject_below: float = 0.5)
     """docs without the rows whose score is under reject_below: those where label 0 is likelier."""
     measured = staged(measure(docs), "quality-stats")
     score = fitted_score(measured, labels)
-    name = "_quality_stats"
+    name = unused_name("_quality_stats", docs)
     return docs.withColumn(name, text_statistics("text")).where(score(lambda s: F.col(f"{name}.{s}")) >= reject_below).select(*docs.columns)
 
 
