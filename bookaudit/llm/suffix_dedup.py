@@ -12,10 +12,11 @@ both in the sample. Only equality of 200-byte prefixes matters here, so it stops
    are named by all their 200 bytes; the names are merged by ranges and adjacent ones compared.
 3. Windows with an equal neighbour mark their bytes; runs of marked bytes are removed.
 
-Names are 64-bit polynomial hashes; a window's is sent with 56 bits beside its range of about a million names, so
-the chance that a window is taken for a repeat of another is about 1e-11, at any size of the corpus. Names move between tasks as packed sorted arrays, one row for each piece of text
-and range, and answers come back as bit masks; texts are written once in a bucketed table, which every pass
-reads without a shuffle.
+Names are 64-bit hashes of all the bytes, mixed word by word with random keys that are drawn anew in each run, so no
+text can be made to collide; a window's is sent with 56 bits beside its range of about a million names, so the chance
+that a window is taken for a repeat of another is about 1e-11, at any size of the corpus. Names move between tasks as
+packed sorted arrays, one row for each piece of text and range, and answers come back as bit masks; texts are written
+once in a bucketed table, which every pass reads without a shuffle and which is dropped at the end.
 
 Defined cases: null text is the empty text; texts under 200 bytes keep all; matches never cross documents;
 repeated rows match each other; an empty table gives no rows; other columns aren't read.
@@ -24,6 +25,7 @@ repeated rows match each other; an empty table gives no rows; other columns aren
 from __future__ import annotations
 
 import hashlib
+import secrets
 import uuid
 from collections.abc import Iterator
 
@@ -34,8 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_bytes, mix64, shared_dir, staged, table
-from .words import powers, prefix_hash
+from .common import batch_bytes, mix64, remove, shared_dir, staged, table
 
 LENGTH, PRIME = 200, 11
 MODULUS = PRIME * PRIME + PRIME + 1
@@ -68,8 +69,18 @@ COVER = np.zeros(MODULUS, bool)
 COVER[difference_cover()] = True
 
 
-def _names(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    return mix64((h[at + size] - h[at]) * powers(len(h))[1][at])
+def new_keys() -> list[int]:
+    """One random 64-bit number for each word of a window."""
+    return [secrets.randbits(64) for _ in range(LENGTH // 8 + 1)]
+
+
+def _names(text: Text, at: np.ndarray, size: int, keys: list[int]) -> np.ndarray:
+    """Keyed hash of the `size` bytes from each place on; the last word may overlap the one before it."""
+    h = np.full(len(at), keys[-1] ^ size, np.uint64)
+    for k, i in zip(keys, [*range(0, size - 7, 8), *([size - 8] if size % 8 else [])]):
+        h = (h ^ text.words[at + i] ^ np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return mix64(h)
 
 
 class Text:
@@ -79,7 +90,10 @@ class Text:
         self.data = np.frombuffer(data, np.uint8)
         self.sizes = sizes
         self.first = np.cumsum(sizes) - sizes
-        self.h = prefix_hash(self.data)
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)]).astype(np.uint64)
+        self.words = np.zeros(len(self.data), np.uint64)  # the 8 bytes from each place on
+        for k in range(8):
+            self.words |= padded[k : k + len(self.data)] << np.uint64(8 * k)
         size = np.repeat(sizes, sizes)
         self.place = np.arange(len(self.data)) - np.repeat(self.first, sizes)
         self.left = size - self.place
@@ -172,32 +186,32 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield row, row.column("chunk")[0].as_py(), Text(row.column("data")[0].as_buffer(), np.array(row.column("sizes")[0].as_py(), np.int64))
 
 
-def _sample_names(bits: int):
+def _sample_names(bits: int, keys: list[int]):
     def run(batches):
         for _, chunk, text in _texts(batches):
-            yield _ranges(_names(text.h, text.sampled(), TUPLE), bits, SAMPLE_WIDTH, chunk)
+            yield _ranges(_names(text, text.sampled(), TUPLE, keys), bits, SAMPLE_WIDTH, chunk)
 
     return run
 
 
-def _candidates(row: pa.RecordBatch, text: Text, bits: int) -> np.ndarray:
+def _candidates(row: pa.RecordBatch, text: Text, bits: int, keys: list[int]) -> np.ndarray:
     at = text.sampled()
-    return text.windows_over(at[_repeated(_names(text.h, at, TUPLE), bits, SAMPLE_WIDTH, row.column("sample")[0].as_py())])
+    return text.windows_over(at[_repeated(_names(text, at, TUPLE, keys), bits, SAMPLE_WIDTH, row.column("sample")[0].as_py())])
 
 
-def _window_names(bits: int, bits_w: int):
+def _window_names(bits: int, bits_w: int, keys: list[int]):
     def run(batches):
         for row, chunk, text in _texts(batches):
-            yield _ranges(_names(text.h, _candidates(row, text, bits), LENGTH), bits_w, WINDOW_WIDTH, chunk)
+            yield _ranges(_names(text, _candidates(row, text, bits, keys), LENGTH, keys), bits_w, WINDOW_WIDTH, chunk)
 
     return run
 
 
-def _removed(bits: int, bits_w: int):
+def _removed(bits: int, bits_w: int, keys: list[int]):
     def run(batches):
         for row, _, text in _texts(batches):
-            at = _candidates(row, text, bits)
-            at = at[_repeated(_names(text.h, at, LENGTH), bits_w, WINDOW_WIDTH, row.column("windows")[0].as_py())]
+            at = _candidates(row, text, bits, keys)
+            at = at[_repeated(_names(text, at, LENGTH, keys), bits_w, WINDOW_WIDTH, row.column("windows")[0].as_py())]
             steps = np.zeros(len(text.data) + 1, np.int64)
             np.add.at(steps, at, 1)
             np.add.at(steps, at + LENGTH, -1)
@@ -254,7 +268,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"suffix_texts_{uuid.uuid4().hex}"
     pieces = docs.select("doc_id", "text").mapInArrow(_pieces, f"chunk long, doc_ids array<{kind}>, sizes array<long>, data binary")
-    pieces.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").bucketBy(buckets, "chunk").saveAsTable(name)
+    folder, keys = f"{shared_dir(spark)}/{name}", new_keys()
+    pieces.write.format("parquet").option("compression", "zstd").option("path", folder).bucketBy(buckets, "chunk").saveAsTable(name)
     texts = spark.table(name)
     total = texts.agg(F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()[0]
     answer = "part long, chunk long, mask binary, n int"
@@ -265,12 +280,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     bits = _bits(total * int(COVER.sum()) // MODULUS)
     named = "part long, chunk long, names binary, twice binary"
-    sample = answers(texts.select("chunk", "sizes", "data").mapInArrow(_sample_names(bits), named), "sample", SAMPLE_WIDTH)
+    sample = answers(texts.select("chunk", "sizes", "data").mapInArrow(_sample_names(bits, keys), named), "sample", SAMPLE_WIDTH)
     sampled = texts.join(sample, "chunk", "left")
     bits_w = _bits(total // 8)
-    windows = answers(sampled.select("chunk", "sizes", "data", "sample").mapInArrow(_window_names(bits, bits_w), named), "windows", WINDOW_WIDTH)
+    windows = answers(sampled.select("chunk", "sizes", "data", "sample").mapInArrow(_window_names(bits, bits_w, keys), named), "windows", WINDOW_WIDTH)
     both = sampled.join(windows, "chunk", "left").select("chunk", "doc_ids", "sizes", "data", "sample", "windows")
-    return both.mapInArrow(_removed(bits, bits_w), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary")
+    out = staged(both.mapInArrow(_removed(bits, bits_w, keys), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"), "suffix-removed")
+    spark.sql(f"DROP TABLE {name}")
+    remove(spark, folder)
+    return out
 
 
 def op7_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:

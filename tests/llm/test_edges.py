@@ -5,7 +5,7 @@ import collections
 import numpy as np
 from pyspark.sql import functions as F
 
-from bookaudit.llm import exact_dedup, near_dedup, quality, topk
+from bookaudit.llm import exact_dedup, near_dedup, quality, suffix_dedup, topk
 from bookaudit.llm.common import with_flag
 
 
@@ -72,3 +72,19 @@ def test_with_flag_never_misses(spark):
     wanted = spark.range(0, 3000, 3).select((F.col("id") * 7919).alias("k"), F.lit("x").alias("other"))
     got = with_flag(spark.range(3000).select((F.col("id") * 7919).alias("key")), ["key"], wanted, "hit").where("hit").count()
     assert 1000 <= got < 1020
+
+
+def test_texts_made_to_collide_are_kept(spark):
+    """Thue-Morse words collide under every polynomial hash modulo 2**64; they aren't repeats."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    head, tail = "".join(chr(65 + i % 26) for i in range(40)), "-" * 20
+    texts = [(1, head + word[:1024] + tail), (2, head[::-1] + other[:1024] + tail)]
+    seen = collections.Counter(t[i : i + 200] for _, t in texts for i in range(len(t) - 199))
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.repeated_spans(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for i, t in texts:
+        gone = {k + j for k in range(len(t) - 199) if seen[t[k : k + 200]] > 1 for j in range(200)}
+        assert got[i] == len(gone)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("suffix_texts")]
