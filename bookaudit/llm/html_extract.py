@@ -4,11 +4,12 @@
    counts in full for its container, half for the next one up, a quarter for the one above.
 2. The page's best container votes for its generalised path: tags and first classes from the body down, digits
    as `#`. Spark sums the votes by host and path.
-3. Every page's blocks are read again with its host's paths, strongest first; the first path that has text here
-   gives the main text. Pages that match none use their own best container.
+3. Every page's blocks are read again with its host's `PATHS` strongest paths; the first path whose text here is at
+   least `SHARE` of the page's own best score gives the main text. Pages of other templates, under none of these, use
+   their own best container, the one they voted for.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments inside it are left out by tag, role and
-class words; a <header> inside an article stays. Words of a name after `with`, `no` and the like say nothing of the
+class words; a <header> inside an article stays, and there names with other words too (related-work) aren't noise. Words of a name after `with`, `no` and the like say nothing of the
 element, and one named as noise that holds the page's heading or article and over `WHOLE` of its text is its content.
 Defined cases: null html is empty and gives an empty text; a null url is the host ''; unclosed and stray tags are
 tolerated, self-closed ones are empty, and embedded ones (svg, iframe, ...) that aren't closed end at the next block or
@@ -31,11 +32,13 @@ from pyspark.sql import types as T
 
 from .common import staged, table
 
-_IN_TAG = r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*"""
+#: By the rules of HTML: a quote opens a value only after `=`, and a tag that isn't closed runs to the end. No part is
+#: ever given back, so each character is read once or twice, whatever the page.
+_IN_TAG = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+"""
 TOKEN = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(?:(script|style)\b" + _IN_TAG + r"(?<!/)>.*?(?:</\1\s*>|\Z))"
+    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+(?:>|\Z)|(?:(script|style)\b" + _IN_TAG + r"(?<!/)>.*?(?:</\1\s*>|\Z))"
     r"|(?:(noscript|template|textarea|svg|iframe|select|object)\b" + _IN_TAG + r"(?<!/)>(?:(?!<\2\b).)*?</\2\s*>)"
-    r"|(/?)([a-z][a-z0-9:-]*)(" + _IN_TAG + r")>)",
+    r"|(/?)([a-z][a-z0-9:-]*+)(" + _IN_TAG + r")(?:>|\Z))",
     re.S | re.I,
 )
 #: Of those above, the ones that reach the stack: self-closed, not closed, or around another one.
@@ -56,10 +59,20 @@ NOISE_WORDS = set(
     " footer header masthead topbar comment comments disqus reply replies respond discussion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter"
     " subscribe subscription signup login social share sharing related recommended recommendations widget toolbar pagination pager search form copyright disclaimer skip tracking".split()
 )
+#: Words that say where or how large an element is. Inside an article a name is noise only if all its words are of
+#: these or of those above: related-posts is, related-work isn't.
+PLACE_WORDS = set(
+    "area article articles bar block body bottom box button buttons card cards container content center column entry entries first footer global group headline header inner item items"
+    " label last left link links list main media module news outer page pages panel post posts row right section site slot stories story text title top unit user users view wrap wrapper zone".split()
+)
 #: Of a name such as content-with-sidebar, only the words before these count.
 TURNS = set("has with without no not is".split())
 #: Share of a page's text.
 WHOLE = 0.9
+#: Elements within each other; deeper ones count as part of the one above them, as browsers do it.
+DEPTH = 512
+#: Paths a host, and the share of the page's best score that the text under one must have.
+PATHS, SHARE = 64, 0.25
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -88,8 +101,10 @@ def _is_noise(tag: str, attributes: dict[str, str], above: list[Element]) -> boo
     if tag in ("html", "body", "main", "article"):
         return False
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    inside = any(e.tag in ("article", "main") for e in above)
     for words in ([w.lower() for w in WORD.findall(n)] for n in names):
-        if any(w in NOISE_WORDS for w in takewhile(lambda w: w not in TURNS, words)):
+        words = list(takewhile(lambda w: w not in TURNS, words))
+        if any(w in NOISE_WORDS for w in words) and not (inside and any(w not in NOISE_WORDS and w not in PLACE_WORDS for w in words)):
             return True
     return False
 
@@ -163,7 +178,7 @@ def _read(source: str, exempt: set[int]) -> tuple[Page, int | None]:
                     break
                 if stack[i].tag in CONTAINER or stack[i].tag in ("ul", "ol", "dl", "table"):
                     break
-        if (m[5] or "").rstrip().endswith("/") and tag not in BLOCK:
+        if (m[5] or "").rstrip().endswith("/") and tag not in BLOCK or len(stack) >= DEPTH:
             continue
         attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[5] or "")}
         above = stack[-1] if stack else None
@@ -226,7 +241,7 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1), F.lit(""))
 
 
-def host_paths(read: DataFrame, keep: int = 8) -> DataFrame:
+def host_paths(read: DataFrame, keep: int = PATHS) -> DataFrame:
     """(host, paths): each host's most voted generalised paths, strongest first; read: host, best, score."""
     votes = read.where("best IS NOT NULL").groupBy("host", "best").agg(F.count("*").alias("pages"), F.sum("score").alias("score"))
     w = Window.partitionBy("host").orderBy(F.desc("pages"), F.desc("score"), "best")
@@ -243,7 +258,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     def under(path: Column) -> Column:
         return F.filter("blocks", lambda b: (b["path"] == path) | F.startswith(b["path"], F.concat(path, F.lit(">"))))
 
-    here = F.filter("paths", lambda p: F.exists("blocks", lambda b: (b["path"] == p) | F.startswith(b["path"], F.concat(p, F.lit(">")))))
+    length = lambda p: F.aggregate(under(p), F.lit(0), lambda n, b: n + F.char_length(b["text"]))
+    here = F.filter("paths", lambda p: F.greatest(F.lit(1.0), SHARE * F.col("score")) <= length(p))
     chosen = read.join(paths, "host", "left").withColumn("chosen", F.coalesce(F.get(here, F.lit(0)), "best"))
     text = F.coalesce(F.array_join(F.transform(under(F.col("chosen")), lambda b: b["text"]), "\n"), F.lit(""))
     return chosen.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

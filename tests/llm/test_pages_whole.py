@@ -1,5 +1,7 @@
 """Main text is not swallowed by self-closed or unclosed elements or by names of wrappers."""
 
+import time
+
 import pytest
 
 from bookaudit.llm.html_extract import read_page
@@ -29,3 +31,24 @@ def test_names_of_wrappers():
         assert texts(f"<body><div class='{name}'>{ARTICLE}</div></body>") == WANT
     for name in ("sidebar", "post-comments", "cookie-notice with-image"):
         assert texts(f"<body>{ARTICLE}<div class='{name}'><p>no</p></div></body>") == WANT
+
+
+def test_tags_are_scanned_by_the_rules():
+    for tag in ("<div class=a data-t=it's>", '<div title=5" wide>', "<div class='x' \" id=y>", "<div a = 'b>c' d>"):
+        assert texts(f"<body>{tag}{ARTICLE}</div></body>") == WANT
+    assert texts(f"<body>{ARTICLE}<p>end <a href='x") == [*WANT, "end"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a b='", '<a b="', "<!x ", "<svg ", "<svg><g>", "<!--", "</a ", "<script ", "<div><p>x", "<b =", "&amp", "<select><object>"])
+def test_hostile_pages_take_linear_time(piece):
+    began = time.process_time()
+    read_page(ARTICLE + piece * (200_000 // len(piece)))
+    assert time.process_time() - began < 6
+
+
+def test_words_alone_drop_no_article_text():
+    for tag in ('section class="related-work"', 'div class="form-factor"', 'div id="banner-year"'):
+        got = texts(f"<body><article><h1>Title</h1><{tag}><p>{WANT[1]}</p></{tag.split()[0]}></article></body>")
+        assert got == WANT
+    for name in ("related-posts", "share", "ad-slot", "comments", "newsletter-box", "relatedArticles"):
+        assert texts(f"<body><article><h1>Title</h1><p>{WANT[1]}</p><div class='{name}'><p>no</p></div></article></body>") == WANT
