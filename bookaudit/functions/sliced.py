@@ -55,3 +55,18 @@ def running_max(df: DataFrame, keys: list[str], order: str, value: Column, name:
     w = Window.partitionBy(*keys, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     out = _joined(df.withColumn("_local", F.max("_value").over(w)), _carried(df, keys, F.max("_value"), F.max), keys)
     return out.withColumn(name, F.greatest("_local", "_before")).drop("_local", "_before", "_value", "_slice")
+
+
+def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], befores: dict[str, Column], width: int = ARRIVALS) -> DataFrame:
+    """Adds several columns in one pass: sums up to and with the row, and last non-null values of earlier rows."""
+    cut = _cut(df, order, width).withColumns({f"_v{i}": v for i, v in enumerate([*sums.values(), *befores.values()])})
+    added, last = range(len(sums)), range(len(sums), len(sums) + len(befores))
+    w = Window.partitionBy(*keys, "_slice").orderBy(order)
+    upto, earlier = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumns({f"_l{i}": F.sum(f"_v{i}").over(upto) for i in added} | {f"_l{i}": F.last(f"_v{i}", ignorenulls=True).over(earlier) for i in last})
+    ends = cut.groupBy(*keys, "_slice").agg(*(F.sum(f"_v{i}").alias(f"_c{i}") for i in added), *(F.max_by(f"_v{i}", F.when(F.col(f"_v{i}").isNotNull(), F.col(order))).alias(f"_c{i}") for i in last))
+    w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.struct(*(F.sum(f"_c{i}").over(w).alias(f"b{i}") for i in added), *(F.last(f"_c{i}", ignorenulls=True).over(w).alias(f"b{i}") for i in last))
+    out = _joined(local, ends.select(*keys, "_slice", before.alias("_before")), keys)
+    found = {n: F.coalesce(f"_l{i}", F.lit(0)) + F.coalesce(f"_before.b{i}", F.lit(0)) for i, n in zip(added, sums)} | {n: F.coalesce(f"_l{i}", f"_before.b{i}") for i, n in zip(last, befores)}
+    return out.withColumns(found).drop("_before", "_slice", *(f"{k}{i}" for i in range(len(sums) + len(befores)) for k in ("_v", "_l")))

@@ -5,6 +5,8 @@ Updates: arrival, us. Changes: arrival, us, pos, side, price, size. Snapshots: a
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -134,21 +136,28 @@ def replay_book(events: DataFrame, bars: DataFrame, bar_seconds: int, n: int = 1
             lo, hi, chunk = int(span["lo"].iloc[0]), int(span["hi"].iloc[0]), key[-1]
             begin = max(lo, lo + -(-(chunk * chunk_bars * step - lo) // step) * step)
             end = min(hi, (chunk + 1) * chunk_bars * step - 1)
-            sides: dict[str, dict[float, float]] = {"buy": {}, "sell": {}}
+            # A side: its sorted prices (bids negated, so that the best come first), sizes by price, and the best n once read.
+            sides: dict[str, list] = {"buy": [[], {}, None], "sell": [[], {}, None]}
             changes = changes.sort_values("bar", kind="stable")
             at, book = 0, list(zip(changes["bar"], changes["side"], changes["price"], changes["size"]))
             for bar in range(begin, end + 1, step):
                 while at < len(book) and book[at][0] <= bar:
                     _, side, price, size = book[at]
+                    prices, sizes, _ = sides[side]
+                    place = -price if side == "buy" else price
                     if size > 0:
-                        sides[side][price] = size
-                    else:
-                        sides[side].pop(price, None)
+                        if place not in sizes:
+                            insort(prices, place)
+                        sizes[place] = size
+                    elif sizes.pop(place, None) is not None:
+                        del prices[bisect_left(prices, place)]
+                    sides[side][2] = None
                     at += 1
-                if sides["buy"] and sides["sell"]:
-                    bids = sorted(sides["buy"].items(), reverse=True)[:n]
-                    asks = sorted(sides["sell"].items())[:n]
-                    out.append((*key[:-1], bar, [{"px": p, "sz": s} for p, s in bids], [{"px": p, "sz": s} for p, s in asks]))
+                if sides["buy"][0] and sides["sell"][0]:
+                    for name, side in sides.items():
+                        if side[2] is None:
+                            side[2] = [{"px": -p if name == "buy" else p, "sz": side[1][p]} for p in side[0][:n]]
+                    out.append((*key[:-1], bar, sides["buy"][2], sides["sell"][2]))
         return pd.DataFrame(out, columns=[*keys, "segment", "bar", "bids", "asks"])
 
     types = dict(events.dtypes)

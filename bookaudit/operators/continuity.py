@@ -11,17 +11,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import seconds
-from ..functions.sliced import ARRIVALS, MICROS, previous, running_sum
+from ..functions.sliced import ARRIVALS, MICROS, previous, running, running_sum
 
 KEY = ["source", "d"]
 
 
+def followed(messages: DataFrame, keys: list[str] = KEY, width: int = ARRIVALS) -> DataFrame:
+    """Snapshots and updates with their segment, the last id-bearing row since the segment's snapshot, and is_gap."""
+    rows = messages.where("msg IN ('update', 'snapshot')").select(*keys, "msg", "arrival", "us", "first_id", "last_id", "snap_id")
+    snapshot = F.col("msg") == "snapshot"
+    none = F.lit(None).cast("long")
+    seen = F.when(snapshot, F.struct(none.alias("last_id"), none.alias("us"))).when(F.col("last_id").isNotNull(), F.struct("last_id", "us"))
+    rows = running(rows, keys, "arrival", {"segment": snapshot.cast("long")}, {"_seen": seen}, width)
+    return rows.withColumn("is_gap", F.coalesce(~snapshot & (F.col("first_id") != F.col("_seen.last_id") + 1), F.lit(False)))
+
+
 def seq_gaps_arrival(messages: DataFrame, keys: list[str] = KEY, width: int = ARRIVALS) -> DataFrame:
     """Updates whose first id isn't the last seen id + 1, in arrival order; missing may be zero or less."""
-    rows = messages.where("msg IN ('update', 'snapshot')").select(*keys, "msg", "arrival", "us", "first_id", "last_id")
-    rows = running_sum(rows, keys, "arrival", (F.col("msg") == "snapshot").cast("long"), "segment", width)
-    seen = F.when((F.col("msg") == "update") & F.col("last_id").isNotNull(), F.struct("segment", "last_id", "us"))
-    rows = previous(rows, keys, "arrival", seen, "_seen", width).where("msg = 'update' AND _seen.segment = segment AND first_id <> _seen.last_id + 1")
+    rows = followed(messages, keys, width).where("is_gap")
     return rows.select(*keys, "segment", "arrival", F.col("_seen.last_id").alias("prev_last_id"), "first_id", "last_id", (F.col("first_id") - F.col("_seen.last_id") - 1).alias("missing"), F.col("_seen.us").alias("prev_us"), "us")
 
 
@@ -91,16 +98,19 @@ def numbered_segments(messages: DataFrame, keys: list[str] = KEY, width: int = A
 
 def segment_summary(messages: DataFrame, keys: list[str] = KEY, width: int = ARRIVALS) -> DataFrame:
     """Each snapshot's segment: updates with both ids, whether the first of them bridges the snapshot, sequence gaps."""
-    rows = numbered_segments(messages, keys, width)
+    rows = followed(messages, keys, width)
+    return summed_segments(rows, keys).where("segment > 0")
+
+
+def summed_segments(rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """segment_summary of rows that are followed(), with segment 0 for what comes before the first snapshot."""
     with_ids = (F.col("msg") == "update") & F.col("first_id").isNotNull() & F.col("last_id").isNotNull()
     first = F.min_by(F.struct("first_id", "last_id"), F.when(with_ids, F.col("arrival")))
     of_snapshot = lambda c: F.max(F.when(F.col("msg") == "snapshot", F.col(c)))
-    segments = rows.where("segment > 0").groupBy(*keys, "segment").agg(of_snapshot("us").alias("snapshot_us"), of_snapshot("snap_id").alias("snap_id"), F.count_if(with_ids).alias("updates"), first.alias("f"))
-    gaps = seq_gaps_arrival(messages, keys, width).groupBy(*keys, "segment").agg(F.count("*").alias("sequence_gaps"))
+    out = rows.groupBy(*keys, "segment").agg(of_snapshot("us").alias("snapshot_us"), of_snapshot("snap_id").alias("snap_id"), F.count_if(with_ids).alias("updates"), first.alias("f"), F.count_if("is_gap").alias("sequence_gaps"))
     target = F.col("snap_id") + 1
     bridge = F.when(F.col("updates") > 0, F.coalesce((F.col("f.first_id") <= target) & (target <= F.col("f.last_id")), F.lit(False)))
-    out = segments.join(gaps, [*keys, "segment"], "left")
-    return out.select(*keys, "segment", "snapshot_us", "snap_id", "updates", bridge.alias("bridges_snapshot"), F.coalesce("sequence_gaps", F.lit(0)).cast("long").alias("sequence_gaps"))
+    return out.select(*keys, "segment", "snapshot_us", "snap_id", "updates", bridge.alias("bridges_snapshot"), "sequence_gaps")
 
 
 def bad_segments(segments: DataFrame) -> DataFrame:

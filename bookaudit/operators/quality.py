@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import grade
-from .continuity import KEY, bad_segments, gap_stats, segment_summary, seq_gaps_arrival, time_gaps_sorted
+from ..functions.scalars import grade, seconds
+from .continuity import KEY, followed, summed_segments, time_gaps_sorted
 
 
 def event_us(source: Column, event_ms: Column, data_us: Column, recv_us: Column) -> Column:
@@ -73,12 +73,17 @@ def grade_capture(messages: DataFrame, threshold: float = 2.0, keys: list[str] =
     """One graded row a stream and day: totals, gaps over the threshold, sequence gaps, bad segments, status."""
     totals = capture_totals(messages, keys)
     updates = messages.where("msg = 'update'")
-    gaps = gap_stats(time_gaps_sorted(updates, keys), totals, [threshold], keys).select(*keys, F.col("gaps").alias("time_gaps"), F.col("total_seconds").alias("gap_seconds"), F.col("max_seconds").alias("max_gap_seconds"))
-    seq = seq_gaps_arrival(messages, keys).groupBy(*keys).agg(F.count("*").alias("seq_gaps"))
-    bad = bad_segments(segment_summary(messages, keys)).groupBy(*keys).agg(F.count("*").alias("bad_segments"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    out = totals.join(gaps, keys, "left").join(seq, keys, "left").join(bad, keys, "left").join(time_bounds(updates, keys), keys, "left")
-    out = out.select(*keys, "lines", "json_errors", "updates", "snapshots", "control_events", "first_us", "last_us", zero("time_gaps"), "gap_seconds", "max_gap_seconds", zero("seq_gaps"), zero("bad_segments"))
+    # Micros are summed as integers and divided once, as in gap_stats.
+    over = time_gaps_sorted(updates, keys).where(F.col("seconds") >= threshold).withColumn("gap", F.round(F.col("seconds") * 1e6).cast("long"))
+    gaps = over.groupBy(*keys).agg(F.count("*").alias("time_gaps"), F.sum("gap").alias("_sum"), F.max("gap").alias("_max"))
+    bad = (F.col("segment") > 0) & (~F.col("bridges_snapshot") | (F.col("sequence_gaps") > 0))
+    segments = summed_segments(followed(messages, keys), keys).groupBy(*keys).agg(F.sum("sequence_gaps").alias("seq_gaps"), F.count_if(bad).alias("bad_segments"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    out = totals.join(gaps, keys, "left").join(segments, keys, "left").join(time_bounds(updates, keys), keys, "left")
+    out = out.select(
+        *keys, "lines", "json_errors", "updates", "snapshots", "control_events", "first_us", "last_us", zero("time_gaps").alias("time_gaps"), seconds(zero("_sum")).alias("gap_seconds"),
+        seconds(zero("_max")).alias("max_gap_seconds"), zero("seq_gaps").alias("seq_gaps"), zero("bad_segments").alias("bad_segments"),
+    )
     return out.withColumn("status", grade(F.col("source"), *map(F.col, ("json_errors", "updates", "seq_gaps", "bad_segments", "time_gaps"))))
 
 
