@@ -22,8 +22,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +31,8 @@ from .words import slices, word_bounds, word_hashes
 
 #: Clusters, numbers a document is projected to, places words are hashed to.
 TOPICS, DIMENSIONS, TERMS = 8, 32, 1 << 16
+#: Rounds of k-means at most, the move of a centre that ends it, and vectors to begin from.
+MEANS_ROUNDS, MEANS_MOVE, BEGIN = 10, 1e-2, 1024
 MARGINS = ("source", "lang", "topic")
 #: Up to so many cells are raked on the driver and joined by broadcast; more are raked in Spark.
 SMALL_CELLS = 100_000
@@ -60,10 +60,9 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def term_weights(docs: DataFrame) -> np.ndarray:
     """Inverse document frequency of each place over all documents; at most TERMS numbers reach the driver."""
-    counted = docs.select("text").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    counted = docs.select("text").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     df, n = np.zeros(TERMS), docs.count()
-    for r in counted:
-        df[r["term"]] = r["df"]
+    df[counted["term"].to_numpy()] = counted["df"].to_numpy()
     return np.log1p(n / (df + 1)).astype(np.float32)
 
 
@@ -90,18 +89,49 @@ def _projected(weights: np.ndarray):
     return project
 
 
+def _sums(centers: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centers), DIMENSIONS + 1))
+        for b in batches:
+            x = np.asarray(b.column(0).flatten(), np.float64).reshape(-1, DIMENSIONS)
+            at = (x @ centers.T - (centers**2).sum(1) / 2).argmax(1)
+            np.add.at(total, at, np.hstack([x, np.ones((len(x), 1))]))
+        yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(total.size)), "s": pa.array(total.ravel())})
+
+    return run
+
+
+def topic_centers(vectors: DataFrame) -> np.ndarray:
+    """k-means over all rows of vectors (one column of unit vectors): sums by cluster in Spark, TOPICS centres on the driver."""
+    begin = vectors.orderBy(F.xxhash64("vector"), "vector").limit(BEGIN).toArrow()["vector"].combine_chunks().flatten()
+    sample, rng = np.asarray(begin, np.float64).reshape(-1, DIMENSIONS), np.random.default_rng(7)
+    centers = sample[:1]
+    while len(centers) < TOPICS:  # far ones are likelier
+        far = np.maximum(((sample[:, None] - centers) ** 2).sum(2).min(1), 1e-12)
+        centers = np.vstack([centers, sample[rng.choice(len(sample), p=far / far.sum())]])
+    for _ in range(MEANS_ROUNDS):
+        sums = vectors.mapInArrow(_sums(centers), "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).toArrow()
+        total = np.zeros(TOPICS * (DIMENSIONS + 1))
+        total[sums["i"].to_numpy()] = sums["s"].to_numpy()
+        total = total.reshape(TOPICS, -1)
+        new = np.where(total[:, -1:] > 0, total[:, :-1] / np.maximum(total[:, -1:], 1), centers)
+        moved, centers = np.abs(new - centers).max(), new
+        if moved < MEANS_MOVE:
+            break
+    return centers
+
+
 def celled(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, the document's cell, its tokens and its place in [0, 1); further columns as they are."""
     cell = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("source", "lang")]
     rows = docs.select("doc_id", *cell, _projected(term_weights(docs))("text").alias("p"), unit_hash(F.col("doc_id"), F.xxhash64(text_or_empty())).alias("place"), *more)
     rows = staged(rows.select("doc_id", "source", "lang", "p.tokens", "p.vector", "place", *more), "mix-vectors")
-    worded = rows.select(array_to_vector("vector").alias("features")).where("vector IS NOT NULL")
+    worded = rows.select("vector").where("vector IS NOT NULL")
     topic = F.lit(-1)
     if worded.limit(1).count():
-        model = KMeans(k=TOPICS, seed=7, maxIter=10, tol=1e-3).fit(worded)
         # The nearest centre: all vectors have length 1, so the one with the largest product less half its square.
         near = []
-        for k, c in enumerate(model.clusterCenters()):
+        for k, c in enumerate(topic_centers(worded)):
             terms = [F.get("vector", F.lit(i)) * float(x) for i, x in enumerate(c)]
             near.append(F.struct((sum(terms[1:], terms[0]) - float(c @ c) / 2).alias("fit"), F.lit(k).alias("k")))
         topic = F.when(F.col("vector").isNotNull(), F.array_max(F.array(*near))["k"]).otherwise(-1)

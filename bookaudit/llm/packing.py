@@ -209,11 +209,11 @@ def routed(tokens: DataFrame, n: int, total: int, idf: np.ndarray, mean: float)
         return out.select("doc_id", "ids", F.lit(0).cast("long").alias("cluster")).coalesce(1)
     parts = max(1, n // (SAMPLED * k))
     uneven = F.pmod(F.xxhash64("ids", "doc_id"), F.lit(parts)) == 0
-    sample = out.where(uneven).select("ids").mapInArrow(_sampled(idf, mean), "vector binary, tokens long").collect()  # about SAMPLED a centroid
-    vectors = np.array([np.frombuffer(r["vector"], np.float32) for r in sample]).reshape(-1, DIMENSIONS)
+    sample = out.where(uneven).select("ids").mapInArrow(_sampled(idf, mean), "vector binary, tokens long").toArrow()  # about SAMPLED a centroid
+    vectors = np.frombuffer(b"".join(sample["vector"].to_pylist()), np.float32).reshape(-1, DIMENSIONS)
     center, centroids = centroids_of(vectors, k)
     at = np.concatenate([(x @ centroids.T).argmax(1) for x in np.array_split(_unit(vectors - center), len(vectors) // 4096 + 1)])
-    share = np.bincount(at, weights=[r["tokens"] for r in sample], minlength=len(centroids))
+    share = np.bincount(at, weights=sample["tokens"].to_numpy(), minlength=len(centroids))
     tasks = -(-shards // TASK_SHARDS)
     first, many = dealt(share / share.sum(), tasks)
     kind = tokens.schema["doc_id"].dataType.simpleString()
@@ -333,10 +333,9 @@ def packed_pieces(tokens: DataFrame) -> DataFrame:
 def corpus_weights(tokens: DataFrame) -> tuple[int, int, np.ndarray, float]:
     """Documents, ids, each id's inverse document frequency, mean length."""
     n, total = tokens.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0)) / 2).first()
-    counted = tokens.select("ids").mapInArrow(_frequencies, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).collect()
+    counted = tokens.select("ids").mapInArrow(_frequencies, "id long, df long").groupBy("id").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(VOCABULARY)  # one number an id of the vocabulary
-    for r in counted:
-        df[r["id"]] = r["df"]
+    df[counted["id"].to_numpy()] = counted["df"].to_numpy()
     idf = np.log1p((n - df + 0.5) / (df + 0.5)) + 1e-9
     return n, int(total), idf, total / max(n, 1)
 
