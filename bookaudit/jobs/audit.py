@@ -209,6 +209,6 @@ ORACLE = {
     "badges": ALL_GRADED + f""", g AS (SELECT *, CASE WHEN day(CAST(d AS DATE)) % 11 <> 0 THEN status END AS st FROM graded)
         SELECT source, d, CASE WHEN st IS NULL THEN 'n/a' WHEN st = 'OK' THEN 'GOOD: OK' WHEN st = 'SEGMENTED' THEN 'WATCH: SEGMENTED' ELSE 'CHECK: ' || st END AS badge, CASE WHEN day(CAST(d AS DATE)) % 5 <> 0 THEN left(sha256(source || d), 16) ELSE 'n/a' END AS hash,
         {GB.format('CASE WHEN day(CAST(d AS DATE)) <> 3 THEN updates * 12345678 END')} AS gb FROM g""",
-    "summary_lines": BASE + f""", {ALERTS}, l AS (SELECT d, 1 AS section, {LINE} AS line FROM graded UNION ALL SELECT d, 2, '- [' || severity || '] ' || message FROM alerts)
+    "summary_lines": BASE + f""", {ALERTS}, l AS (SELECT d, 1 AS section, {LINE} AS line FROM graded UNION ALL SELECT d, 2, '- ' || severity || ': ' || message FROM alerts)
         SELECT d, section, line, CAST(row_number() OVER (PARTITION BY d, section ORDER BY line) AS INTEGER) AS place FROM l""",
 }

@@ -147,8 +147,7 @@ def run_summary(results: DataFrame) -> DataFrame:
 
 def summary_lines(graded_lines: DataFrame, alerts: DataFrame) -> DataFrame:
     """Lines of the daily summary with their order: quality by source, then alerts."""
-    w = Window.partitionBy("d").orderBy("line")
-    a = alerts.select("d", F.lit(2).alias("section"), F.concat(F.lit("- ["), "severity", F.lit("] "), "message").alias("line"))
+    a = alerts.select("d", F.lit(2).alias("section"), F.concat(F.lit("- "), "severity", F.lit(": "), "message").alias("line"))
     q = graded_lines.select("d", F.lit(1).alias("section"), "line")
     w = Window.partitionBy("d", "section").orderBy("line")
     return q.unionByName(a).withColumn("place", F.row_number().over(w))
