@@ -131,9 +131,19 @@ def audit_headline(spark: SparkSession, d: str) -> DataFrame:
     return _text_day(A.audit_headline(_files(spark, d), staged(_alerts(spark, d), "alerts")))
 
 
+def _decided(spark: SparkSession, d: str) -> DataFrame:
+    """Patch decisions of each exchange and day, by grades and by the raw files there are."""
+    raw = _files(spark, d).where("role LIKE 'raw:%'").select(F.split("role", ":")[1].alias("source"), "d")
+    return P.patchable(P.pair_quality(_graded(spark, d)), raw)
+
+
+def patch_decisions(spark: SparkSession, d: str) -> DataFrame:
+    return _text_day(_decided(spark, d).select("exchange", "d", "patchable", "reason"))
+
+
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
-    paired = P.patchable(P.pair_quality(_graded(spark, d)))
-    return _text_day(A.run_summary(paired.select("d", F.when(F.col("patchable"), "ok").otherwise("skipped").alias("status"))))
+    done = _files(spark, d).where("role = 'derived:features' AND day(d) % 2 = 0").select(F.lit("binance").alias("exchange"), "d")
+    return _text_day(A.run_summary(P.patch_outcomes(_decided(spark, d), done).select("d", F.col("outcome").alias("status"))))
 
 
 def threshold_count(spark: SparkSession, d: str) -> DataFrame:
@@ -154,13 +164,15 @@ def badges(spark: SparkSession, d: str) -> DataFrame:
 def summary_lines(spark: SparkSession, d: str) -> DataFrame:
     from ..operators.quality import status_line
 
-    graded = _graded(spark, d)
-    return _text_day(A.summary_lines(status_line(graded), _alerts(spark, d, graded)))
+    graded, artifacts, days = _graded(spark, d), _artifacts(spark, d), fixture(spark, d, "cap").select("d")
+    pick = lambda c: F.max(F.when(F.col("kind") == "config", F.col(c))).alias(f"config_{c}")
+    pipeline = artifacts.groupBy("d").agg(pick("path"), pick("status"), pick("sha256"), (F.dayofmonth("d") % 2 == 0).alias("git_available"), F.count_if(F.col("kind") == "script").alias("scripts_tracked"), F.count_if((F.col("kind") == "script") & (F.col("status") == "missing")).alias("missing_scripts"))
+    return _text_day(A.summary_lines(days, status_line(graded.where("dayofmonth(d) % 6 <> 1")), _patched(graded).where("dayofmonth(d) % 10 <> 2"), staged(_alerts(spark, d, graded), "alerts"), pipeline, SOURCES))
 
 
 QUERIES = [
     prune_files, discover_dates, pending_days, verify_checksums, expected_vs_present, raw_growth, pivot_daily, pivot_status, overall_status, grade_patch, build_alerts, alert_rows, quality_rows, gap_rows,
-    patch_rows, pipeline_rows, audit_headline, run_summary, threshold_count, badges, summary_lines,
+    patch_rows, pipeline_rows, audit_headline, patch_decisions, run_summary, threshold_count, badges, summary_lines,
 ]
 
 BASE = ALL_GRADED + f", {FILES}, {ARTIFACTS}, days AS (SELECT DISTINCT CAST(d AS VARCHAR) AS d FROM cap), ft AS (SELECT * REPLACE (CAST(d AS VARCHAR) AS d) FROM files) "
@@ -179,6 +191,10 @@ FILED = f"WITH {ctes('cap')}, {FILES}, {ARTIFACTS} "
 SCORE = "CASE status WHEN 'OK' THEN 0 WHEN 'PATCH_OK' THEN 0 WHEN 'SEGMENTED' THEN 1 WHEN 'PATCH_PARTIAL' THEN 1 WHEN 'CAPTURE_GAP_UNRESOLVED' THEN 2 WHEN 'PATCH_FAILED_OR_UNRESOLVED' THEN 2 WHEN 'DIAGNOSTIC_ONLY' THEN 2 WHEN 'REJECT_CORRUPT_JSON' THEN 3 WHEN 'REJECT_NO_SNAPSHOT' THEN 3 WHEN 'NO_UPDATES' THEN 3 ELSE 9 END"
 LINE = """'- ' || source || ': ' || status || ' | updates=' || updates || ' | snapshots=' || snapshots || ' | json_errors=' || json_errors || ' | gaps>=2s=' || time_gaps || ' | seq_gaps='
         || CASE WHEN source LIKE 'binance%' THEN CAST(seq_gaps AS VARCHAR) ELSE 'n/a' END"""
+DECIDED = """decided AS (SELECT p.source AS exchange, p.d, CASE WHEN NOT coalesce(p.status IN ('SEGMENTED', 'CAPTURE_GAP_UNRESOLVED') AND p.updates > 0 AND coalesce(b.updates, 0) > 0 AND (p.source NOT LIKE 'binance%' OR p.seq_gaps > 0), false)
+  THEN 'primary not patchable or backup unavailable' WHEN (SELECT count(DISTINCT role) FROM ft WHERE ft.d = p.d AND role IN ('raw:' || p.source || ':BTC', 'raw:' || p.source || '_backup:BTC')) < 2 THEN 'missing primary or backup files' ELSE '' END AS reason
+  FROM graded p LEFT JOIN graded b ON b.d = p.d AND b.source = p.source || '_backup' WHERE p.source NOT LIKE '%_backup')"""
+KINDS = "['quality_status', 'json_errors', 'patched_quality', 'missing_raw_files', 'missing_derived_files', 'missing_pipeline_config', 'missing_pipeline_script']"
 GB = "round(coalesce({}, 0) / 1073741824.0, 3)"
 
 ORACLE = {
@@ -203,12 +219,25 @@ ORACLE = {
     "pipeline_rows": FILED + "SELECT CAST(d AS VARCHAR) AS d, coalesce(left(max(CASE WHEN kind = 'config' THEN sha256 END), 16), 'n/a') AS config_sha256, count(*) FILTER (kind = 'script') AS scripts_tracked, count(*) FILTER (kind = 'script' AND status = 'missing') AS missing_scripts FROM artifacts GROUP BY d",
     "audit_headline": BASE + f""", {ALERTS}, l AS (SELECT max(d) AS d FROM ft) SELECT (SELECT count(DISTINCT d) FROM ft) AS days, l.d, (SELECT count(*) FROM alerts a WHERE a.d = l.d) AS alerts, (SELECT count(*) FROM ft WHERE ft.d = l.d AND role LIKE 'raw%') AS raw_files,
         (SELECT count(*) FROM ft WHERE ft.d = l.d AND role LIKE 'derived%') AS derived_files, (SELECT {GB.format('sum(bytes)')} FROM ft WHERE role LIKE 'raw%') AS raw_gb, (SELECT {GB.format('sum(bytes)')} FROM ft WHERE role LIKE 'derived%') AS derived_gb FROM l""",
-    "run_summary": ALL_GRADED + """, p AS (SELECT p.d, CASE WHEN coalesce(p.status IN ('SEGMENTED', 'CAPTURE_GAP_UNRESOLVED') AND p.updates > 0 AND coalesce(b.updates, 0) > 0 AND (p.source NOT LIKE 'binance%' OR p.seq_gaps > 0), false) THEN 'ok' ELSE 'skipped' END AS status
-        FROM graded p LEFT JOIN graded b ON b.d = p.d AND b.source = p.source || '_backup' WHERE p.source NOT LIKE '%_backup') SELECT d, status, count(*) AS n FROM p GROUP BY ALL""",
+    "patch_decisions": BASE + f", {DECIDED} SELECT exchange, d, reason = '' AS patchable, reason FROM decided",
+    "run_summary": BASE + f""", {DECIDED} SELECT d, CASE WHEN reason <> '' THEN 'skipped' WHEN exchange = 'binance' AND day(CAST(d AS DATE)) % 2 = 0 AND d IN (SELECT d FROM ft WHERE role = 'derived:features') THEN 'skipped_exists' ELSE 'ok' END AS status,
+        count(*) AS n FROM decided GROUP BY ALL""",
     "threshold_count": f"WITH {ctes('cap')}, c AS (SELECT source, d, count(*) AS n FROM cap WHERE msg = 'update' GROUP BY ALL) SELECT source, CAST(d AS VARCHAR) AS d, CASE day(d) % 3 WHEN 0 THEN n WHEN 1 THEN n + 2 ELSE 0 END AS count FROM c",
     "badges": ALL_GRADED + f""", g AS (SELECT *, CASE WHEN day(CAST(d AS DATE)) % 11 <> 0 THEN status END AS st FROM graded)
         SELECT source, d, CASE WHEN st IS NULL THEN 'n/a' WHEN st = 'OK' THEN 'GOOD: OK' WHEN st = 'SEGMENTED' THEN 'WATCH: SEGMENTED' ELSE 'CHECK: ' || st END AS badge, CASE WHEN day(CAST(d AS DATE)) % 5 <> 0 THEN left(sha256(source || d), 16) ELSE 'n/a' END AS hash,
         {GB.format('CASE WHEN day(CAST(d AS DATE)) <> 3 THEN updates * 12345678 END')} AS gb FROM g""",
-    "summary_lines": BASE + f""", {ALERTS}, l AS (SELECT d, 1 AS section, {LINE} AS line FROM graded UNION ALL SELECT d, 2, '- ' || severity || ': ' || message FROM alerts)
-        SELECT d, section, line, CAST(row_number() OVER (PARTITION BY d, section ORDER BY line) AS INTEGER) AS place FROM l""",
+    "summary_lines": BASE + f""", {ALERTS}, s AS (SELECT unnest({SOURCES}) AS source, unnest(range(4)) AS pos), ql AS (SELECT d, source, {LINE} AS line FROM graded WHERE day(CAST(d AS DATE)) % 6 <> 1),
+        pr AS (SELECT d, '- ' || name || ': ' || status || ' | records=' || records || ' | patch_records=' || patch_records || ' | patch_l2updates=None | backup_inside_gaps=None | seq_gaps=' || sequence_gaps || ' | gaps>=2s=' || time_gaps AS line
+          FROM patched WHERE day(CAST(d AS DATE)) % 10 <> 2),
+        cf AS (SELECT CAST(d AS VARCHAR) AS d, max(path) FILTER (kind = 'config') AS path, max(status) FILTER (kind = 'config') AS status, max(sha256) FILTER (kind = 'config') AS sha, count(*) FILTER (kind = 'script') AS n, count(*) FILTER (kind = 'script' AND status = 'missing') AS gone FROM artifacts GROUP BY ALL),
+        l AS (SELECT d, 0 AS section, unnest(['# LOB Daily Data Summary - ' || d, '', '## Quality']) AS line, unnest([1, 2, 3]) AS k, '' AS k2 FROM days
+         UNION ALL SELECT days.d, 1, coalesce(line, '- ' || s.source || ': no quality data'), s.pos, '' FROM days CROSS JOIN s LEFT JOIN ql ON ql.d = days.d AND ql.source = s.source
+         UNION ALL SELECT d, 2, unnest(['', '## Gap Patch Reports']), unnest([1, 2]), '' FROM days
+         UNION ALL SELECT d, 3, coalesce(line, '- none'), 1, '' FROM days LEFT JOIN pr USING (d)
+         UNION ALL SELECT d, 4, unnest(['', '## Alerts']), unnest([1, 2]), '' FROM days
+         UNION ALL SELECT d, 5, coalesce('- ' || severity || ': ' || message, '- none'), list_position({KINDS}, kind), coalesce(subject, '') || chr(1) || message FROM days LEFT JOIN alerts USING (d)
+         UNION ALL SELECT d, 6, unnest(['', '## Pipeline Version', '- config: ' || path || ' | status=' || status || ' | sha256=' || coalesce(sha, 'None'), '- config_version: None',
+           '- git_available: ' || CASE WHEN day(CAST(d AS DATE)) % 2 = 0 THEN 'True' ELSE 'False' END || ' | commit=None | dirty=None', '- scripts_tracked: ' || n || ' | missing_scripts=' || gone]), unnest(range(6)), '' FROM cf
+         UNION ALL SELECT d, 7, unnest(['', '## Interpretation', {', '.join(f"'- {x}'" for x in A.INTERPRETATION)}]), unnest(range(7)), '' FROM days)
+        SELECT d, section, line, CAST(row_number() OVER (PARTITION BY d, section ORDER BY k, k2, line) AS INTEGER) AS place FROM l""",
 }

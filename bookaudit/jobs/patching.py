@@ -156,6 +156,19 @@ def dedup_key(spark: SparkSession, d: str) -> DataFrame:
     return rec.select("source", "arrival", _key_of(rec).alias("k")).select("source", "arrival", "k.message", "k.product", "k.time", "k.hash")
 
 
+def payload_hash(spark: SparkSession, d: str) -> DataFrame:
+    """Canonical payload and its hash of update, snapshot and other records; some lists are null, empty or over ten long."""
+    k = fixture(spark, d, "m").select("source", "arrival", "id", "us", F.col("k").cast("long").alias("k"))
+    text = lambda c: c.cast("string")
+    change = F.array(F.when(F.col("id") % 2 == 0, "buy").otherwise("sell"), text(F.col("k")), text(F.col("id") % 29))
+    levels = lambda step: F.transform(F.sequence(F.lit(1), F.lit(13)), lambda j: F.array(text(F.col("k") + step * j), text(F.col("id") % 29)))
+    bids, asks = F.slice(levels(-1), F.lit(1), (F.col("id") % 14).cast("int")), F.slice(levels(1), F.lit(1), (F.col("id") % 5).cast("int"))
+    changes = F.when(F.col("id") % 3 == 1, F.array(change)).when(F.col("id") % 3 == 2, F.array(change, change))
+    type_ = F.when(F.col("id") % 4 == 1, "snapshot").when(F.col("id") % 4 == 2, "subscriptions").otherwise("l2update")
+    payload = G.canonical_payload(type_, changes, F.when(F.col("id") % 9 != 0, bids), asks, F.concat(F.lit('{"id":'), text(F.col("id")), F.lit("}")))
+    return k.select("source", "arrival", payload.alias("payload"), F.sha2(payload, 256).alias("hash"))
+
+
 def stream_counts(spark: SparkSession, d: str) -> DataFrame:
     return _text_day(G.stream_counts(_records(spark, d), ["source", "d"]))
 
@@ -182,7 +195,7 @@ def source_counts(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = [
     dedup_latest, gap_candidates, chain_cover, gap_reports, with_merge_meta, apply_patches, merge_order_by_id, patch_stats, pair_quality, patchable, in_gap, valid_change, dedup_changes,
-    patch_messages, interleave_patches, keep_mergeable, dedup_key, stream_counts, merge_streams, merge_order_by_time, source_counts,
+    patch_messages, interleave_patches, keep_mergeable, dedup_key, payload_hash, stream_counts, merge_streams, merge_order_by_time, source_counts,
 ]
 
 PRIMARY = """prim AS (SELECT * FROM cap WHERE source = 'binance' AND msg = 'update'),
@@ -239,6 +252,11 @@ ORACLE = {
         SELECT CAST(d AS VARCHAR) AS d, origin, arrival, us, CAST(row_number() OVER (PARTITION BY d ORDER BY at_us NULLS FIRST, own, arrival) AS INTEGER) AS place FROM x""",
     "keep_mergeable": REC + "SELECT source, CAST(d AS VARCHAR) AS d, kind, type, count(*) AS n FROM rec WHERE type IN ('snapshot', 'l2update', 'subscriptions') OR kind = 'control_event' GROUP BY ALL",
     "dedup_key": REC + "SELECT source, arrival, message, product, at_time AS time, hash FROM keyed",
+    "payload_hash": f"""WITH {ctes('m')}, x AS (SELECT source, arrival, id, [CASE WHEN id % 2 = 0 THEN 'buy' ELSE 'sell' END, CAST(k AS VARCHAR), CAST(id % 29 AS VARCHAR)] AS ch,
+        CASE WHEN id % 9 <> 0 THEN [[CAST(k - j AS VARCHAR), CAST(id % 29 AS VARCHAR)] FOR j IN range(1, 1 + id % 14)] ELSE [] END AS bids, [[CAST(k + j AS VARCHAR), CAST(id % 29 AS VARCHAR)] FOR j IN range(1, 1 + id % 5)] AS asks FROM m),
+        p AS (SELECT source, arrival, CASE id % 4 WHEN 1 THEN CAST(to_json({{'asks_len': len(asks), 'asks_top': asks[1:10], 'bids_len': len(bids), 'bids_top': bids[1:10]}}) AS VARCHAR) WHEN 2 THEN '{{"id":' || id || '}}'
+          ELSE CAST(to_json(CASE id % 3 WHEN 1 THEN [ch] WHEN 2 THEN [ch, ch] ELSE [] END) AS VARCHAR) END AS payload FROM x)
+        SELECT source, arrival, payload, sha256(payload) AS hash FROM p""",
     "stream_counts": REC + """SELECT source, CAST(d AS VARCHAR) AS d, count(*) AS records_seen, count(*) FILTER (type = 'l2update') AS l2updates, count(*) FILTER (type = 'snapshot') AS snapshots, count(*) FILTER (type = 'subscriptions') AS subscriptions,
         count(*) FILTER (coalesce(type NOT IN ('l2update', 'snapshot', 'subscriptions'), true) AND kind = 'control_event') AS controls FROM rec GROUP BY source, d""",
     "merge_streams": REC + f", {MERGED} SELECT * REPLACE (CAST(d AS VARCHAR) AS d) FROM mg",

@@ -145,9 +145,68 @@ def run_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("d", "status").agg(F.count("*").alias("n"))
 
 
-def summary_lines(graded_lines: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Lines of the daily summary with their order: quality by source, then alerts."""
-    a = alerts.select("d", F.lit(2).alias("section"), F.concat(F.lit("- "), "severity", F.lit(": "), "message").alias("line"))
-    q = graded_lines.select("d", F.lit(1).alias("section"), "line")
-    w = Window.partitionBy("d", "section").orderBy("line")
-    return q.unionByName(a).withColumn("place", F.row_number().over(w))
+#: The closing lines of a summary.
+INTERPRETATION = [
+    "Raw files are preserved. Derived files are written separately.",
+    "PATCH_OK means the patched output has no remaining detected gap under the current checks.",
+    "PATCH_PARTIAL means backup helped but some gap remains documented.",
+    "SEGMENTED means usable by segment or after conservative backup patching.",
+    "CAPTURE_GAP_UNRESOLVED means the capture did not observe a required continuity interval.",
+]
+#: Kinds of alerts in the order of a summary.
+ALERT_KINDS = ["quality_status", "json_errors", "patched_quality", "missing_raw_files", "missing_derived_files", "missing_pipeline_config", "missing_pipeline_script"]
+
+
+def _shown(name: str, frame: DataFrame) -> Column:
+    """A value as text: None where it is null or the frame lacks it, True and False for booleans."""
+    if name not in frame.columns:
+        return F.lit("None")
+    text = F.initcap(F.col(name).cast("string")) if frame.schema[name].dataType.typeName() == "boolean" else F.col(name).cast("string")
+    return F.coalesce(text, F.lit("None"))
+
+
+def summary_lines(days: DataFrame, graded_lines: DataFrame, patched: DataFrame, alerts: DataFrame, pipeline: DataFrame, sources: list[str]) -> DataFrame:
+    """Lines of each day's summary: d, section, place (from 1 within the section), line.
+
+    graded_lines: d, source, line. patched: d, name, status and counts; counts it lacks show as None. pipeline: one row a day with
+    config_path, config_status, config_sha256, scripts_tracked, missing_scripts, and config_version, git_available, git_commit and
+    git_dirty where known. A source without grades, a day without reports or alerts has a line that says so.
+    """
+    days = days.select("d").distinct()
+
+    def block(section: int, lines: list[str | Column], rows: DataFrame = days) -> DataFrame:
+        listed = F.array(*[F.lit(x) if isinstance(x, str) else x for x in lines])
+        return rows.select("d", F.lit(section).alias("section"), F.posexplode(listed).alias("at", "line")).select("d", "section", F.array(F.col("at").cast("string")).alias("order"), "line")
+
+    def listed(section: int, rows: DataFrame, order: list[Column], line: Column) -> DataFrame:
+        """A line a row, or "none" on days without rows."""
+        key = F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in order])
+        got = days.join(rows.select("d", key.alias("order"), line.alias("line")), "d", "left")
+        return got.select("d", F.lit(section).alias("section"), F.coalesce("order", F.array().cast("array<string>")).alias("order"), F.coalesce("line", F.lit("- none")).alias("line"))
+
+    wanted = days.select("d", F.posexplode(F.array(*map(F.lit, sources))).alias("at", "source"))
+    missing = F.concat(F.lit("- "), "source", F.lit(": no quality data"))
+    quality = wanted.join(graded_lines.select("d", "source", "line"), ["d", "source"], "left").select("d", F.lit(1).alias("section"), F.array(F.lpad(F.col("at").cast("string"), 4, "0")).alias("order"), F.coalesce("line", missing).alias("line"))
+    fields = {"records": "records", "patch_records": "patch_records", "patch_l2updates": "patch_l2updates", "backup_inside_gaps": "backup_inside_gaps", "seq_gaps": "sequence_gaps", "gaps>=2s": "time_gaps"}
+    report = F.concat(F.lit("- "), "name", F.lit(": "), _shown("status", patched), *[x for label, c in fields.items() for x in (F.lit(f" | {label}="), _shown(c, patched))])
+    rank = F.lpad(F.array_position(F.array(*map(F.lit, ALERT_KINDS)), F.col("kind")).cast("string"), 4, "0")
+    alert = F.concat(F.lit("- "), "severity", F.lit(": "), "message")
+    known = days.join(pipeline, "d", "left")
+    version = [
+        F.concat(F.lit("- config: "), _shown("config_path", known), F.lit(" | status="), _shown("config_status", known), F.lit(" | sha256="), _shown("config_sha256", known)),
+        F.concat(F.lit("- config_version: "), _shown("config_version", known)),
+        F.concat(F.lit("- git_available: "), _shown("git_available", known), F.lit(" | commit="), _shown("git_commit", known), F.lit(" | dirty="), _shown("git_dirty", known)),
+        F.concat(F.lit("- scripts_tracked: "), F.coalesce("scripts_tracked", F.lit(0)).cast("string"), F.lit(" | missing_scripts="), F.coalesce("missing_scripts", F.lit(0)).cast("string")),
+    ]
+    parts = [
+        block(0, [F.concat(F.lit("# LOB Daily Data Summary - "), F.col("d").cast("string")), "", "## Quality"]), quality,
+        block(2, ["", "## Gap Patch Reports"]), listed(3, patched, [F.col("name")], report),
+        block(4, ["", "## Alerts"]), listed(5, alerts, [rank, F.col("subject"), F.col("message")], alert),
+        block(6, ["", "## Pipeline Version", *version], known),
+        block(7, ["", "## Interpretation", *[f"- {x}" for x in INTERPRETATION]]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    w = Window.partitionBy("d", "section").orderBy("order", "line")
+    return out.select("d", "section", F.row_number().over(w).alias("place"), "line")

@@ -13,9 +13,14 @@ def keep_mergeable(records: DataFrame) -> DataFrame:
 
 
 def canonical_payload(type_: Column, changes: Column, bids: Column, asks: Column, data: Column) -> Column:
-    """JSON text that a record's hash is of: changes, the top ten and sizes of a snapshot, or the whole payload."""
-    top = F.to_json(F.struct(F.slice(asks, 1, 10).alias("asks_top"), F.size(asks).alias("asks_len"), F.slice(bids, 1, 10).alias("bids_top"), F.size(bids).alias("bids_len")))
-    return F.when(type_ == "l2update", F.to_json(F.coalesce(changes, F.array().cast("array<array<string>>")))).when(type_ == "snapshot", top).otherwise(data)
+    """JSON text that a record's hash is of: changes, the top ten and sizes of a snapshot, or the whole payload.
+
+    Null changes, bids and asks count as empty lists.
+    """
+    changes, bids, asks = (F.coalesce(c, F.array().cast("array<array<string>>")) for c in (changes, bids, asks))
+    # Names in order, as sorted JSON has them.
+    top = F.to_json(F.struct(F.size(asks).alias("asks_len"), F.slice(asks, 1, 10).alias("asks_top"), F.size(bids).alias("bids_len"), F.slice(bids, 1, 10).alias("bids_top")))
+    return F.when(type_ == "l2update", F.to_json(changes)).when(type_ == "snapshot", top).otherwise(data)
 
 
 def dedup_key(type_: Column, kind: Column, product: Column, symbol: Column, time: Column, recv_time: Column, payload: Column) -> Column:

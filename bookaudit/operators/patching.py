@@ -123,12 +123,26 @@ def pair_quality(graded: DataFrame) -> DataFrame:
     return p.join(b, ["exchange", "d"], "left")
 
 
-def patchable(paired: DataFrame) -> DataFrame:
-    """Whether the day is patched, and why not."""
+def patchable(paired: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Whether the day is patched, and why not. raw: source and d of the raw files there are; without it none is missed."""
     has = F.col("primary_status").isin("SEGMENTED", "CAPTURE_GAP_UNRESOLVED") & (F.col("primary_updates") > 0) & (F.coalesce("backup_updates", F.lit(0)) > 0)
     ids = ~F.col("exchange").startswith("binance") | (F.coalesce("primary_seq_gaps", F.lit(0)) > 0)
-    ok = F.coalesce(has & ids, F.lit(False))
-    return paired.withColumn("patchable", ok).withColumn("reason", F.when(ok, "").otherwise("primary not patchable or backup unavailable"))
+    ok, there = F.coalesce(has & ids, F.lit(False)), F.lit(True)
+    if raw is not None:
+        both = raw.select(F.regexp_replace("source", "_backup$", "").alias("exchange"), "d", F.col("source").endswith("_backup").alias("_backup")).groupBy("exchange", "d").agg((F.count_distinct("_backup") == 2).alias("_both"))
+        paired, there = paired.join(both, ["exchange", "d"], "left"), F.coalesce("_both", F.lit(False))
+    reason = F.when(~ok, "primary not patchable or backup unavailable").when(~there, "missing primary or backup files").otherwise("")
+    return paired.withColumns({"patchable": ok & there, "reason": reason}).drop("_both")
+
+
+def patch_outcomes(decided: DataFrame, outputs: DataFrame, force: bool = False) -> DataFrame:
+    """Adds the outcome of the patch run: skipped, skipped_exists (exchange and d are in outputs, unless force) or ok.
+
+    A failed run is a failed Spark job, and has no row.
+    """
+    done = outputs.select("exchange", "d").distinct().withColumn("_done", F.lit(not force))
+    outcome = F.when(~F.col("patchable"), "skipped").when(F.col("_done"), "skipped_exists").otherwise("ok")
+    return decided.join(done, ["exchange", "d"], "left").withColumn("outcome", outcome).drop("_done")
 
 
 def gap_seconds(start: str, end: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Row
 import __spark_entry__ as entry
 
 DATA = "/root/testdata/sf0.001"
-NAMES = ["grade_capture", "gap_stats", "segment_summary", "snapshot_bridge", "chain_cover", "merge_order_by_id", "interleave_patches", "merge_streams", "flag_bar_gaps", "book_features", "build_alerts", "parse_capture", "read_trades", "stream_sessions"]
+NAMES = ["grade_capture", "gap_stats", "segment_summary", "snapshot_bridge", "chain_cover", "merge_order_by_id", "interleave_patches", "merge_streams", "flag_bar_gaps", "book_features", "build_alerts", "parse_capture", "read_trades", "stream_sessions", "payload_hash", "patch_decisions", "run_summary", "summary_lines"]
 
 
 def plain(v):
