@@ -235,7 +235,7 @@ ORACLE = {
          UNION ALL SELECT d, 2, unnest(['', '## Gap Patch Reports']), unnest([1, 2]), '' FROM days
          UNION ALL SELECT d, 3, coalesce(line, '- none'), 1, '' FROM days LEFT JOIN pr USING (d)
          UNION ALL SELECT d, 4, unnest(['', '## Alerts']), unnest([1, 2]), '' FROM days
-         UNION ALL SELECT d, 5, coalesce('- ' || severity || ': ' || message, '- none'), list_position({KINDS}, kind), coalesce(subject, '') || chr(1) || message FROM days LEFT JOIN alerts USING (d)
+         UNION ALL SELECT d, 5, coalesce('- ' || severity || ': ' || message, '- none'), CASE kind WHEN 'json_errors' THEN 1 ELSE list_position({KINDS}, kind) END, coalesce(subject, '') || chr(1) || list_position({KINDS}, kind) || message FROM days LEFT JOIN alerts USING (d)
          UNION ALL SELECT d, 6, unnest(['', '## Pipeline Version', '- config: ' || path || ' | status=' || status || ' | sha256=' || coalesce(sha, 'None'), '- config_version: None',
            '- git_available: ' || CASE WHEN day(CAST(d AS DATE)) % 2 = 0 THEN 'True' ELSE 'False' END || ' | commit=None | dirty=None', '- scripts_tracked: ' || n || ' | missing_scripts=' || gone]), unnest(range(6)), '' FROM cf
          UNION ALL SELECT d, 7, unnest(['', '## Interpretation', {', '.join(f"'- {x}'" for x in A.INTERPRETATION)}]), unnest(range(7)), '' FROM days)

@@ -190,6 +190,7 @@ def summary_lines(days: DataFrame, graded_lines: DataFrame, patched: DataFrame,
     fields = {"records": "records", "patch_records": "patch_records", "patch_l2updates": "patch_l2updates", "backup_inside_gaps": "backup_inside_gaps", "seq_gaps": "sequence_gaps", "gaps>=2s": "time_gaps"}
     report = F.concat(F.lit("- "), "name", F.lit(": "), _shown("status", patched), *[x for label, c in fields.items() for x in (F.lit(f" | {label}="), _shown(c, patched))])
     rank = F.lpad(F.array_position(F.array(*map(F.lit, ALERT_KINDS)), F.col("kind")).cast("string"), 4, "0")
+    by_source = F.when(F.col("kind") == "json_errors", F.lit("0001")).otherwise(rank)  # a source's status and errors stand together
     alert = F.concat(F.lit("- "), "severity", F.lit(": "), "message")
     known = days.join(pipeline, "d", "left")
     version = [
@@ -201,7 +202,7 @@ def summary_lines(days: DataFrame, graded_lines: DataFrame, patched: DataFrame,
     parts = [
         block(0, [F.concat(F.lit("# LOB Daily Data Summary - "), F.col("d").cast("string")), "", "## Quality"]), quality,
         block(2, ["", "## Gap Patch Reports"]), listed(3, patched, [F.col("name")], report),
-        block(4, ["", "## Alerts"]), listed(5, alerts, [rank, F.col("subject"), F.col("message")], alert),
+        block(4, ["", "## Alerts"]), listed(5, alerts, [by_source, F.col("subject"), rank, F.col("message")], alert),
         block(6, ["", "## Pipeline Version", *version], known),
         block(7, ["", "## Interpretation", *[f"- {x}" for x in INTERPRETATION]]),
     ]
