@@ -89,13 +89,15 @@ bars AS (SELECT source, segment, unnest(range(lo, hi + 1, 600000000)) AS bar FRO
 lead0 AS (SELECT *, lead(bar) OVER (PARTITION BY source, segment, side, price ORDER BY bar) AS until FROM ev),
 state AS (SELECT b.source, b.segment, b.bar, l.side, CAST(l.price AS DOUBLE) AS price, CAST(l.size AS DOUBLE) AS size FROM bars b JOIN lead0 l ON l.source = b.source AND l.segment = b.segment AND l.bar <= b.bar AND (l.until IS NULL OR l.until > b.bar) WHERE l.size > 0),
 top AS (SELECT *, CAST(row_number() OVER (PARTITION BY source, segment, bar, side ORDER BY CASE WHEN side = 'buy' THEN -price ELSE price END) AS INTEGER) AS level FROM state)"""
+#: Without the open bar of the last segment too.
+CLOSED = LEVELS.replace("CASE WHEN segment = max(segment) OVER () THEN hi ELSE hi - 600000000 END AS hi", "hi - 600000000 AS hi")
 BASE = f"WITH {ctes('m', 'chg', 'snap')},\n{SEGMENTED} "
 
 
-def _features_sql() -> str:
+def features_sql(levels: str = LEVELS) -> str:
     one = lambda side, what, i: f"max(CASE WHEN side = '{side}' AND level = {i} THEN {what} END)"
     cols = [f"round({one(side, what, i)}, 9) AS {name}_{label}_{i}" for i in range(1, N + 1) for side, name in (("buy", "bid"), ("sell", "ask")) for what, label in (("price", "px"), ("size", "sz"))]
-    return f"""{BASE}, {LEVELS}, t AS (SELECT source, segment, bar, {one('buy', 'price', 1)} AS bb, {one('sell', 'price', 1)} AS ba, {one('buy', 'size', 1)} AS bs, {one('sell', 'size', 1)} AS az,
+    return f"""{BASE}, {levels}, t AS (SELECT source, segment, bar, {one('buy', 'price', 1)} AS bb, {one('sell', 'price', 1)} AS ba, {one('buy', 'size', 1)} AS bs, {one('sell', 'size', 1)} AS az,
         sum(CASE WHEN side = 'buy' THEN size END) AS bd, sum(CASE WHEN side = 'sell' THEN size END) AS ad, {', '.join(cols)} FROM top WHERE level <= {N} GROUP BY ALL)
         SELECT * EXCLUDE (bb, ba, bs, az, bd, ad), bb AS best_bid, ba AS best_ask, bs AS best_bid_size, az AS best_ask_size, (bb + ba) / 2 AS mid, ba - bb AS spread, round((ba * bs + bb * az) / (bs + az), 9) AS microprice,
         round(bd, 9) AS bid_depth_top10, round(ad, 9) AS ask_depth_top10, round((bd - ad) / (bd + ad), 9) AS imbalance_top10 FROM t WHERE bb IS NOT NULL AND ba IS NOT NULL"""
@@ -114,5 +116,5 @@ ORACLE = {
         count(DISTINCT b.arrival) AS updates FROM bar b LEFT JOIN chg c ON c.source = b.source AND c.arrival = b.arrival AND c.parts >= 3 GROUP BY ALL) SELECT * FROM a""",
     "book_asof": f"{BASE}, {LEVELS} SELECT * FROM state",
     "book_top_n": f"{BASE}, {LEVELS} SELECT * FROM top WHERE level <= {N}",
-    "book_features": _features_sql(),
+    "book_features": features_sql(),
 }

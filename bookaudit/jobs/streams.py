@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.fixtures import ctes, fixture
+from ..operators import book as B
 from ..streaming import stateful
+from ..streaming.book import stream_book_bars as book_bars
 from ..streaming import windows as W
+from .book import BAR, CLOSED, N, features_sql
 from .continuity import ORACLE as BATCH
 
 
@@ -49,10 +52,30 @@ def stream_snapshot_bridge(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("d", F.col("d").cast("string"))
 
 
-QUERIES = [stream_rotation_counts, stream_sessions, stream_control_counts, stream_dedup, stream_seq_gaps, stream_snapshot_bridge]
+def _messages(spark: SparkSession, d: str) -> DataFrame:
+    """Stream of updates with their changes and of snapshots with their levels."""
+    change = """transform(sequence(0, CAST(id % 3 AS INT)), j -> named_struct('j', j, 'side', IF((id + j) % 2 = 0, 'buy', 'sell'),
+      'price', IF((id + j) % 2 = 0, 100D - ((k + 7 * j) % 20) * 0.5D, 100.5D + ((k + 7 * j) % 20) * 0.5D), 'size', IF((id + j) % 4 = 0, 0D, value)))"""
+    level = "flatten(transform(sequence(0, 9), i -> array(named_struct('side', 'buy', 'price', 100D - 0.5D * i, 'size', 1D + i), named_struct('side', 'sell', 'price', 100.5D + 0.5D * i, 'size', 1D + i))))"
+    updates = fixture(spark, d, "m", _events(spark, d)).where("source = 'coinbase'").withColumn("c", F.expr(change))
+    updates = updates.select("source", "arrival", "us", F.lit(False).alias("is_snapshot"), F.expr("transform(filter(c, x -> (id + x.j) % 31 <> 0), x -> named_struct('side', x.side, 'price', x.price, 'size', x.size))").alias("levels"))
+    snaps = fixture(spark, d, "snap", _events(spark, d)).select(F.lit("coinbase").alias("source"), "arrival", "us", F.lit(True).alias("is_snapshot"), F.expr(level).alias("levels"))
+    return updates.unionByName(snaps)
+
+
+def stream_book_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Features of every closed bar, as book_features has them."""
+    with W.rocksdb(spark):
+        rows = W.drained(book_bars(_messages(spark, d), BAR, N), "append")
+    rows = B.book_features(rows, N)
+    return rows.withColumns({c: F.round(c, 9) for c, t in rows.dtypes if t == "double"})
+
+
+QUERIES = [stream_book_bars, stream_rotation_counts, stream_sessions, stream_control_counts, stream_dedup, stream_seq_gaps, stream_snapshot_bridge]
 
 SRC = f"WITH {ctes('e')}, s AS (SELECT *, CASE WHEN id % 2 = 0 THEN 'binance' ELSE 'coinbase' END AS source FROM e)"
 ORACLE = {
+    "stream_book_bars": features_sql(CLOSED),
     "stream_rotation_counts": f"{SRC} SELECT us - us % 43200000000 AS start_us, source, count(*) AS n FROM s GROUP BY ALL",
     "stream_sessions": f"""{SRC}, p AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY source ORDER BY us) < 900000000 THEN 0 ELSE 1 END AS new FROM s),
         q AS (SELECT *, sum(new) OVER (PARTITION BY source ORDER BY us) AS session FROM p) SELECT min(us) AS start_us, max(us) + 900000000 AS end_us, source, count(*) AS n FROM q GROUP BY source, session""",

@@ -121,6 +121,42 @@ def book_top_n(levels: DataFrame, n: int = 10, keys: list[str] = STREAM) -> Data
     return levels.withColumn("level", F.row_number().over(w)).where(F.col("level") <= n)
 
 
+class Book:
+    """Live levels of both sides by price. Prices are kept sorted (bids negated), so that the best come first."""
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+        self.clear()
+
+    def clear(self) -> None:
+        self.prices: dict[str, list[float]] = {"buy": [], "sell": []}
+        self.sizes: dict[str, dict[float, float]] = {"buy": {}, "sell": {}}
+        self.best: dict[str, list | None] = {"buy": None, "sell": None}
+
+    def set(self, side: str, price: float, size: float) -> None:
+        """A size of 0 or less removes the level."""
+        prices, sizes, place = self.prices[side], self.sizes[side], -price if side == "buy" else price
+        if size > 0:
+            if place not in sizes:
+                insort(prices, place)
+            sizes[place] = size
+        elif sizes.pop(place, None) is not None:
+            del prices[bisect_left(prices, place)]
+        self.best[side] = None
+
+    def top(self) -> tuple[list, list] | None:
+        """The best n bids and asks; None while a side is empty."""
+        if not (self.prices["buy"] and self.prices["sell"]):
+            return None
+        for side, sign in (("buy", -1), ("sell", 1)):
+            if self.best[side] is None:
+                self.best[side] = [{"px": sign * p, "sz": self.sizes[side][p]} for p in self.prices[side][: self.n]]
+        return self.best["buy"], self.best["sell"]
+
+
+TOP = "bids array<struct<px: double, sz: double>>, asks array<struct<px: double, sz: double>>"
+
+
 def replay_book(events: DataFrame, bars: DataFrame, bar_seconds: int, n: int = 10, chunk_bars: int = 1800, keys: list[str] = STREAM) -> DataFrame:
     """(keys, segment, bar, bids, asks): the n best levels of both sides at the end of each emitted bar, chunk by chunk from its seeds."""
     step = bar_seconds * SECOND
@@ -136,32 +172,18 @@ def replay_book(events: DataFrame, bars: DataFrame, bar_seconds: int, n: int = 1
             lo, hi, chunk = int(span["lo"].iloc[0]), int(span["hi"].iloc[0]), key[-1]
             begin = max(lo, lo + -(-(chunk * chunk_bars * step - lo) // step) * step)
             end = min(hi, (chunk + 1) * chunk_bars * step - 1)
-            # A side: its sorted prices (bids negated, so that the best come first), sizes by price, and the best n once read.
-            sides: dict[str, list] = {"buy": [[], {}, None], "sell": [[], {}, None]}
             changes = changes.sort_values("bar", kind="stable")
-            at, book = 0, list(zip(changes["bar"], changes["side"], changes["price"], changes["size"]))
+            at, changed, book = 0, list(zip(changes["bar"], changes["side"], changes["price"], changes["size"])), Book(n)
             for bar in range(begin, end + 1, step):
-                while at < len(book) and book[at][0] <= bar:
-                    _, side, price, size = book[at]
-                    prices, sizes, _ = sides[side]
-                    place = -price if side == "buy" else price
-                    if size > 0:
-                        if place not in sizes:
-                            insort(prices, place)
-                        sizes[place] = size
-                    elif sizes.pop(place, None) is not None:
-                        del prices[bisect_left(prices, place)]
-                    sides[side][2] = None
+                while at < len(changed) and changed[at][0] <= bar:
+                    book.set(*changed[at][1:])
                     at += 1
-                if sides["buy"][0] and sides["sell"][0]:
-                    for name, side in sides.items():
-                        if side[2] is None:
-                            side[2] = [{"px": -p if name == "buy" else p, "sz": side[1][p]} for p in side[0][:n]]
-                    out.append((*key[:-1], bar, sides["buy"][2], sides["sell"][2]))
+                if top := book.top():
+                    out.append((*key[:-1], bar, *top))
         return pd.DataFrame(out, columns=[*keys, "segment", "bar", "bids", "asks"])
 
     types = dict(events.dtypes)
-    schema = ", ".join([*[f"{k} {types[k]}" for k in keys], "segment long, bar long, bids array<struct<px: double, sz: double>>, asks array<struct<px: double, sz: double>>"])
+    schema = ", ".join([*[f"{k} {types[k]}" for k in keys], "segment long, bar long", TOP])
     # New column ids: both sides come from the same tables.
     spans, rows = spans.toDF(*spans.columns), rows.toDF(*rows.columns)
     return spans.groupBy(*group).cogroup(rows.groupBy(*group)).applyInPandas(replay, schema)

@@ -1,15 +1,17 @@
 """Stateful checks of a stream of capture messages: running sequence gaps and snapshot bridges.
 
-State is a few numbers a key. Messages of one trigger are put in arrival order; files are streamed in order, so the
-results equal the batch forms.
+State is a few numbers a stream and day; it goes once the watermark has passed the day. Messages of one trigger are put
+in arrival order and compared as arrays; files are streamed in order, a bounded number a trigger (`stream_capture`), so
+the results equal the batch forms. Messages later than the watermark are left out; those without a time are not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 KEY = ["source", "d"]
@@ -18,51 +20,82 @@ GAPS = "source string, d date, segment long, arrival long, prev_last_id long, fi
 GAP_STATE = "segment long, last_id long, us long"
 BRIDGES = "source string, d date, segment long, snap_id long, bridge_status string"
 BRIDGE_STATE = "segment long, snap_id long, open boolean"
-ORDER = {"snapshot": 0, "update": 1}
+LATE = "2 days"
 
 
-def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-    pdf = pd.concat(list(batches))
-    pdf = pdf[pdf["msg"].isin(list(ORDER))]
-    pdf = pdf.astype({c: "Int64" for c in INPUT[1:]}).sort_values(["arrival"], kind="stable")
-    for row in zip(*(pdf[c] for c in INPUT)):
-        yield tuple(None if v is pd.NA else v for v in row)
+def _plain(values) -> tuple:
+    return tuple(None if v is None or v is pd.NA else int(v) for v in values)
 
 
-def _gaps(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    segment, last, last_us = state.get if state.exists else (0, None, None)
-    out = []
-    for msg, arrival, us, first_id, last_id, _ in _in_order(batches):
-        if msg == "snapshot":
-            segment, last, last_us = segment + 1, None, None
-            continue
-        if last is not None and first_id is not None and first_id != last + 1:
-            out.append((*key, segment, arrival, last, first_id, last_id, first_id - last - 1, last_us, us))
-        if last_id is not None:
-            last, last_us = last_id, us
-    state.update((segment, last, last_us))
-    yield pd.DataFrame(out, columns=[c.split()[0] for c in GAPS.split(", ")])
+def _in_order(batches: Iterator[pd.DataFrame], segment: int) -> pd.DataFrame:
+    """Snapshots and updates by arrival, each with its segment: the snapshots so far."""
+    rows = pd.concat(list(batches))[INPUT]
+    rows = rows[rows["msg"].isin(["snapshot", "update"])].astype({c: "Int64" for c in INPUT[1:]}).sort_values("arrival", kind="stable", ignore_index=True)
+    return rows.assign(segment=segment + (rows["msg"] == "snapshot").cumsum())
 
 
-def stream_seq_gaps(messages: DataFrame) -> DataFrame:
+def _by_day(step: Callable, schema: str) -> Callable:
+    """Runs step on a trigger's messages of one stream and day; the state is dropped when the day's time is over."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        found, after = step(batches, state.get if state.exists else None)
+        over = int((pd.Timestamp(key[1]) + pd.Timedelta(days=1)).value // 10**6)
+        if over > state.getCurrentWatermarkMs():
+            state.update(after)
+            state.setTimeoutTimestamp(over)
+        elif state.exists:
+            state.remove()
+        yield found.assign(source=key[0], d=key[1])[names]
+
+    return run
+
+
+def _gaps(batches: Iterator[pd.DataFrame], state: tuple | None) -> tuple[pd.DataFrame, tuple]:
+    segment, last, last_us = state or (0, None, None)
+    rows = _in_order(batches, segment)
+    carried = pd.DataFrame({"segment": [segment], "last_id": [last], "us": [last_us]}).astype("Int64")
+    updates = pd.concat([carried, rows[rows["msg"] == "update"]], ignore_index=True)
+    # The place of the last update with an id, up to each row and before it, in its segment.
+    seen = pd.Series(updates.index, dtype="Int64").where(updates["last_id"].notna()).groupby(updates["segment"]).ffill()
+    before = seen.groupby(updates["segment"]).shift()
+    now, prior = updates[before.notna()].reset_index(drop=True), updates.loc[before.dropna()].reset_index(drop=True)
+    now = now.assign(prev_last_id=prior["last_id"], prev_us=prior["us"], missing=now["first_id"] - prior["last_id"] - 1)
+    end = rows["segment"].iloc[-1] if len(rows) else segment
+    latest = seen[updates["segment"] == end].dropna()
+    after = updates.loc[latest.iloc[-1], ["last_id", "us"]] if len(latest) else (None, None)
+    return now[(now["missing"] != 0).fillna(False).astype(bool)], _plain([end, *after])
+
+
+def stream_seq_gaps(messages: DataFrame, late: str = LATE) -> DataFrame:
     """Updates whose first id doesn't follow the last one seen, restarted at each snapshot."""
-    return messages.select(*KEY, *INPUT).groupBy(*KEY).applyInPandasWithState(_gaps, GAPS, GAP_STATE, "append", GroupStateTimeout.NoTimeout)
+    return _grouped(messages, late).applyInPandasWithState(_by_day(_gaps, GAPS), GAPS, GAP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def _bridges(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    segment, snap, waiting = state.get if state.exists else (0, None, False)
-    out = []
-    for msg, _, _, first_id, last_id, snap_id in _in_order(batches):
-        if msg == "snapshot":
-            segment, snap, waiting = segment + 1, snap_id, True
-        elif waiting and not (last_id is not None and snap is not None and last_id <= snap):
-            holds = None not in (first_id, last_id, snap) and first_id <= snap + 1 <= last_id
-            out.append((*key, segment, snap, "ok" if holds else "gap"))
-            waiting = False
-    state.update((segment, snap, waiting))
-    yield pd.DataFrame(out, columns=[c.split()[0] for c in BRIDGES.split(", ")])
+def _bridges(batches: Iterator[pd.DataFrame], state: tuple | None) -> tuple[pd.DataFrame, tuple]:
+    segment, snap, waiting = state or (0, None, False)
+    rows = _in_order(batches, segment)
+    begun = rows.loc[rows["msg"] == "snapshot", ["segment", "snap_id"]]
+    if waiting:
+        begun = pd.concat([pd.DataFrame({"segment": [segment], "snap_id": [snap]}).astype("Int64"), begun])
+    updates = rows[rows["msg"] == "update"].drop(columns="snap_id").merge(begun, on="segment").sort_values("arrival", kind="stable")
+    stale = (updates["last_id"] <= updates["snap_id"]).fillna(False).astype(bool)
+    first = updates[~stale].drop_duplicates("segment")
+    holds = ((first["first_id"] <= first["snap_id"] + 1) & (first["snap_id"] + 1 <= first["last_id"])).fillna(False).astype(bool)
+    first = first.assign(bridge_status=holds.map({True: "ok", False: "gap"}))
+    if len(begun):
+        segment, snap = _plain(begun.iloc[-1])
+        waiting = segment not in set(first["segment"])
+    return first, (segment, snap, waiting)
 
 
-def stream_snapshot_bridge(messages: DataFrame) -> DataFrame:
+def stream_snapshot_bridge(messages: DataFrame, late: str = LATE) -> DataFrame:
     """For each snapshot, as soon as an update that isn't stale comes: whether it holds the snapshot's id + 1."""
-    return messages.select(*KEY, *INPUT).groupBy(*KEY).applyInPandasWithState(_bridges, BRIDGES, BRIDGE_STATE, "append", GroupStateTimeout.NoTimeout)
+    return _grouped(messages, late).applyInPandasWithState(_by_day(_bridges, BRIDGES), BRIDGES, BRIDGE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def _grouped(messages: DataFrame, late: str):
+    return messages.select(*KEY, *INPUT, F.timestamp_micros("us").alias("t")).withWatermark("t", late).groupBy(*KEY)

@@ -6,6 +6,8 @@ Only closed files are streamed (they appear whole); a trigger of availableNow dr
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +15,21 @@ from pyspark.sql import functions as F
 from ..functions.staging import staged_path
 
 
-def stream_capture(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Lines of closed capture files as they appear, with their path."""
-    return spark.readStream.option("pathGlobFilter", glob).text(folder).select("value", F.col("_metadata.file_path").alias("path"))
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, on disk beside the executors, as map states need it."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stream_capture(spark: SparkSession, folder: str, glob: str = "*", files: int = 16) -> DataFrame:
+    """Lines of closed capture files as they appear, with their path; at most `files` a trigger, the oldest first."""
+    return spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", files).text(folder).select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def rotation_counts(stream: DataFrame, hours: int = 12, late: str = "1 hour") -> DataFrame:
