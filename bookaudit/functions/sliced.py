@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .staging import staged
+
 #: Default width of a slice, in units of the order column.
 ARRIVALS, MICROS = 400_000, 3_600_000_000
 
@@ -18,6 +20,14 @@ def _cut(df: DataFrame, order: str, width: int) -> DataFrame:
     return df.withColumn("_slice", F.floor(F.col(order) / F.lit(width)))
 
 
+def by_range(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df by ranges of the order (about equal in rows, whatever the keys), each row with its range as slice.
+
+    Written once: ranges come from a sample, and a range that is worked out again has to be the same one.
+    """
+    return staged(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), "ranges")
+
+
 def _carried(df: DataFrame, keys: list[str], carry: Column, combine) -> DataFrame:
     """(keys, _slice, _before): carries of all earlier slices, combined."""
     w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,3 +80,25 @@ def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column],
     out = _joined(local, ends.select(*keys, "_slice", before.alias("_before")), keys)
     found = {n: F.coalesce(f"_l{i}", F.lit(0)) + F.coalesce(f"_before.b{i}", F.lit(0)) for i, n in zip(added, sums)} | {n: F.coalesce(f"_l{i}", f"_before.b{i}") for i, n in zip(last, befores)}
     return out.withColumns(found).drop("_before", "_slice", *(f"{k}{i}" for i in range(len(sums) + len(befores)) for k in ("_v", "_l")))
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Adds the row's place (from 1) in its key by the order, counted in ranges and moved on by the rows of earlier ranges."""
+    cut = by_range(df, [*map(F.col, keys), *order])
+    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    out = _joined(cut.withColumn("_local", F.row_number().over(w)), _carried(cut, keys, F.count("*"), F.sum), keys)
+    return out.withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0))).drop("_local", "_before", "_slice")
+
+
+def run_steps(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """Adds step (the row's place in its key by the order) and before (the value of the row before it), range by range."""
+    cut = by_range(df, [F.col(c) for c in [*keys, *order]])
+    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    rows = cut.withColumns({"_local": F.row_number().over(w), "_lag": F.lag(value).over(w)})
+    ends = cut.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"), F.max_by(value, F.struct(*order)).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = F.struct(F.sum("_n").over(earlier).alias("n"), F.last("_end").over(earlier).alias("end"))
+    out = _joined(rows, ends.select(*keys, "_slice", carry.alias("_before")), keys)
+    first = F.col("_local") == 1
+    out = out.withColumns({"step": F.col("_local") + F.coalesce("_before.n", F.lit(0)), "before": F.when(first, F.col("_before.end")).otherwise(F.col("_lag"))})
+    return out.drop("_local", "_lag", "_before", "_slice")

@@ -7,16 +7,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: list[str] = []
+_LOCAL: dict[str, str] = {}
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
-    """A new place in spark.checkpoint.dir (a temporary folder where that is unset)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """A new place in spark.checkpoint.dir; where that is unset a temporary folder, in local mode only."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not _LOCAL:
-            _LOCAL.append(tempfile.mkdtemp(prefix="spark-audit-"))
-        folder = _LOCAL[0]
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="spark-audit-")
+        folder = _LOCAL[context.applicationId]
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

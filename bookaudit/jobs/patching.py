@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sliced import numbered
 from ..operators import continuity as C
 from ..operators import merging as G
 from ..operators import patching as P
@@ -67,8 +68,7 @@ def apply_patches(spark: SparkSession, d: str) -> DataFrame:
 
 def merge_order_by_id(spark: SparkSession, d: str) -> DataFrame:
     patched = _patched(spark, d)
-    w = Window.partitionBy("d").orderBy(*P.merge_order_by_id(patched))
-    return _text_day(patched.withColumn("place", F.row_number().over(w))).select("d", "first_id", "last_id", "arrival", "us", F.col("merge_meta.source").alias("source"), "place")
+    return _text_day(numbered(patched.withColumn("origin", F.col("merge_meta.source")).drop("merge_meta"), DAY, P.merge_order_by_id(patched), "place")).select("d", "first_id", "last_id", "arrival", "us", F.col("origin").alias("source"), "place")
 
 
 def patch_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -129,8 +129,7 @@ def interleave_patches(spark: SparkSession, d: str) -> DataFrame:
     primary = fixture(spark, d, "m").where("source = 'coinbase'").select("d", "arrival", "us")
     patches = P.rebuilt_messages(P.dedup_changes(P.valid_change(_gap_changes(spark, d)), DAY), DAY).select("d", "arrival", "us")
     mixed = P.interleave_patches(primary, patches, DAY)
-    w = Window.partitionBy("d").orderBy(F.col("_at").asc_nulls_first(), "_own", "_seq")
-    return _text_day(mixed.withColumn("place", F.row_number().over(w))).select("d", "origin", "arrival", "us", "place")
+    return _text_day(numbered(mixed, DAY, [F.col("_at").asc_nulls_first(), F.col("_own"), F.col("_seq")], "place")).select("d", "origin", "arrival", "us", "place")
 
 
 RECORDS = """rec AS (SELECT source, d, arrival, us, CASE WHEN id % 50 = 3 THEN 'control_event' ELSE 'ws_message' END AS kind,
@@ -185,8 +184,7 @@ def merge_streams(spark: SparkSession, d: str) -> DataFrame:
 
 def merge_order_by_time(spark: SparkSession, d: str) -> DataFrame:
     merged = _merged(spark, d)
-    w = Window.partitionBy("d").orderBy(*G.merge_order_by_time(merged))
-    return _text_day(merged.withColumn("place", F.row_number().over(w))).select("d", "us", "type", "source", "first", "place")
+    return _text_day(numbered(merged, DAY, G.merge_order_by_time(merged), "place")).select("d", "us", "type", "source", "first", "place")
 
 
 def source_counts(spark: SparkSession, d: str) -> DataFrame:

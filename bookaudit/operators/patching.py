@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import seconds
-from ..functions.sliced import ARRIVALS, MICROS, running_max
+from ..functions.sliced import ARRIVALS, MICROS, run_steps, running_max
 
 
 def dedup_latest(records: DataFrame, key: list[str], order: str = "arrival") -> DataFrame:
@@ -34,17 +34,17 @@ def gap_candidates(gaps: DataFrame, backup: DataFrame, keys: list[str], width: i
 def chain_cover(candidates: DataFrame, keys: list[str]) -> DataFrame:
     """Candidates with their gap's verdict: the run from missing_from without a break until missing_to is reached.
 
-    Adds step (place in the run), complete and kept; a gap is filled as a whole or not at all.
+    Adds step (place in the run), complete and kept; a gap is filled as a whole or not at all. A gap of a whole day is
+    worked on in ranges; what is put together is one row a gap: its first break and the first step that reaches its end.
     """
     gap = [*keys, "missing_from", "missing_to"]
-    w = Window.partitionBy(*gap).orderBy("first_id", "last_id")
-    rows = candidates.withColumn("step", F.row_number().over(w)).withColumn("_expected", F.coalesce(F.lag("last_id").over(w) + 1, "missing_from"))
-    every = Window.partitionBy(*gap)
-    broken = F.min(F.when(F.col("first_id") != F.col("_expected"), F.col("step"))).over(every)
-    reached = F.min(F.when(F.col("last_id") >= F.col("missing_to"), F.col("step"))).over(every)
-    rows = rows.withColumn("_broken", broken).withColumn("_reached", reached)
-    rows = rows.withColumn("complete", F.coalesce(F.col("_reached") < F.coalesce("_broken", F.col("_reached") + 1), F.lit(False)))
-    return rows.withColumn("kept", F.col("complete") & (F.col("step") <= F.col("_reached"))).drop("_expected", "_broken", "_reached")
+    rows = run_steps(candidates, gap, ["first_id", "last_id"], "last_id")
+    breaks = F.col("first_id") != F.coalesce(F.col("before") + 1, "missing_from")
+    reaches = F.col("last_id") >= F.col("missing_to")
+    verdict = rows.groupBy(*gap).agg(F.min(F.when(breaks, F.col("step"))).alias("_broken"), F.min(F.when(reaches, F.col("step"))).alias("_reached"))
+    complete = F.coalesce(F.col("_reached") < F.coalesce("_broken", F.col("_reached") + 1), F.lit(False))
+    out = rows.join(verdict, gap).withColumn("complete", complete)
+    return out.withColumn("kept", F.col("complete") & (F.col("step") <= F.col("_reached"))).select(*candidates.columns, "step", "complete", "kept")
 
 
 def gap_reports(gaps: DataFrame, chained: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,13 +79,15 @@ def merge_order_by_id(df: DataFrame) -> list[Column]:
 
 
 def in_gap(backup: DataFrame, gaps: DataFrame, keys: list[str], width: int = MICROS) -> DataFrame:
-    """Backup messages strictly inside a time gap, with the first such gap in detection order. Gaps are cut into time buckets."""
-    g = gaps.select(*keys, "gap_seq", "start_us", "end_us", _buckets(F.col("start_us"), F.col("end_us"), width).alias("_bucket"))
-    b = backup.where("us IS NOT NULL").withColumn("_bucket", F.floor(F.col("us") / width))
-    both = b.join(g, [*keys, "_bucket"]).where("start_us < us AND us < end_us").drop("_bucket")
-    rows = [c for c in backup.columns]
-    first = F.min_by(F.struct("gap_seq", "start_us", "end_us"), "gap_seq").alias("_gap")
-    return both.groupBy(*rows).agg(first).select(*rows, "_gap.*")
+    """Backup messages strictly inside a time gap, with the first such gap in detection order. Repeated rows stay.
+
+    Gaps are cut into time buckets; a message meets the list of its bucket's gaps, so no row is made for a pair.
+    """
+    g = gaps.select(*keys, F.struct("gap_seq", "start_us", "end_us").alias("_gap"), _buckets(F.col("start_us"), F.col("end_us"), width).alias("_bucket"))
+    g = g.groupBy(*keys, "_bucket").agg(F.collect_list("_gap").alias("_gaps"))
+    b = backup.where("us IS NOT NULL").withColumn("_bucket", F.floor(F.col("us") / width)).join(g, [*keys, "_bucket"])
+    first = F.array_min(F.filter("_gaps", lambda x: (x["start_us"] < F.col("us")) & (F.col("us") < x["end_us"])))
+    return b.withColumn("_gap", first).where("_gap IS NOT NULL").select(*backup.columns, "_gap.*")
 
 
 def valid_change(changes: DataFrame, parts: str = "parts") -> DataFrame:
