@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table, unused_name
-from .words import slices, word_bounds
+from .words import codes, slices, word_bounds
 
 LEAST_WORDS, MOST_REPEATED, MOST_LOST = 10, 20, 50
 WINDOW, BOILERPLATE_WORDS = 5, 40
@@ -43,19 +43,6 @@ PHRASES = (
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "lost_words", "lost_punctuation", "lost_navigation", "lost_boilerplate"]
 
 
-def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Equal spans have equal codes, by comparison of their bytes; and the span of each code. Spans are in order and don't overlap."""
-    size = ends - starts
-    edge = np.zeros(len(data) + 1, np.int8)
-    edge[starts[size > 0]] += 1
-    edge[ends[size > 0]] -= 1
-    offsets = np.zeros(len(size) + 1, np.int64)
-    np.cumsum(size, out=offsets[1:])
-    held = np.ascontiguousarray(data[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)])
-    spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(held)]).dictionary_encode()
-    return spans.indices.to_numpy().astype(np.int64), spans.dictionary
-
-
 def ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Codes of pairs of codes."""
     return np.unique(a * (b.max(initial=0) + 1) + b, return_inverse=True)[1].astype(np.int64)

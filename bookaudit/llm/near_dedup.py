@@ -2,7 +2,8 @@
 
 1. Sketch: each text's set of five-word shingles becomes 128 registers, the exponentially spaced truncated
    minima of independent hashes. Registers of unions are maxima of registers, so sketches merge. Equal sets are
-   one node from here on.
+   one node from here on. Words are hashed by a key drawn for the run, over all of their bytes, so that no text can
+   be made to look like another.
 2. Bands: four registers each; nodes that share a band are candidates. A pair at the threshold shares none with
    probability (1 - 0.75**4)**32 = 5e-6, the only loss there is.
 3. Leaders: `LEADERS` nodes of each bucket (the smallest by a hash, so mostly the same ones in all buckets of a
@@ -24,6 +25,7 @@ empty table gives no rows; other columns aren't read.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import mix64, staged, table, text_or_empty, unused_name, with_flag
-from .words import slices, word_bounds, word_hashes
+from .words import keyed_hashes, slices, word_bounds
 
 REGISTERS, BAND, WIDTH = 128, 4, 5
 SPACING, RATE, TOP = 1.001, 20.0, 65534  # base of the spacing, rate of the exponentials, largest register - 1
@@ -48,20 +50,20 @@ MULTIPLIERS = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 _PLACE = _rng.integers(0, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of each row, end to end, and how many each row has."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, key: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each row, end to end, and how many each row has. key: see keyed_hashes."""
     n = len(offsets) - 1
     starts, ends, row = word_bounds(data, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(n, np.int64)
-    h = word_hashes(data, starts, ends)
+    h = keyed_hashes(data, starts, ends, key)
     words = np.bincount(row, minlength=n)
     first = np.cumsum(words) - words
     left = first[row] + words[row] - np.arange(len(h))  # words from here to the end of the row
     value = np.zeros(len(h), np.uint64)
     for k, c in enumerate(_PLACE):  # short texts: the words there are
         part = np.zeros(len(h), np.uint64)
-        part[: len(h) - k] = h[k:] * c
+        part[: max(len(h) - k, 0)] = h[k:] * c
         value += np.where(left > k, part, np.uint64(0))
     keep = (left >= WIDTH) | ((words[row] < WIDTH) & (np.arange(len(h)) == first[row]))
     value, row = mix64(value[keep] ^ np.minimum(words[row[keep]], WIDTH).astype(np.uint64)), row[keep]
@@ -86,37 +88,42 @@ def registers_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, fp, text -> doc_id, fp, n, two digests of the set, registers."""
-    for b in batches:
-        for lo, hi, data, offsets in slices(b.column(2)):
-            values, counts = shingle_sets(data, offsets)
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            sums = np.concatenate([[0], np.cumsum(values, dtype=np.uint64)]).astype(np.uint64)
-            sums2 = np.concatenate([[0], np.cumsum(mix64(values ^ np.uint64(0xA5A5A5A5)), dtype=np.uint64)]).astype(np.uint64)
-            regs = registers_of(values, counts)
-            yield pa.RecordBatch.from_arrays(
-                [
+def _sketches(key: bytes):
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """doc_id, fp, text -> doc_id, fp, n, two digests of the set, registers."""
+        for b in batches:
+            for lo, hi, data, offsets in slices(b.column(2)):
+                values, counts = shingle_sets(data, offsets, key)
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                sums = np.concatenate([[0], np.cumsum(values, dtype=np.uint64)]).astype(np.uint64)
+                sums2 = np.concatenate([[0], np.cumsum(mix64(values ^ np.uint64(0xA5A5A5A5)), dtype=np.uint64)]).astype(np.uint64)
+                columns = [
                     b.column(0).slice(lo, hi - lo),
                     b.column(1).slice(lo, hi - lo),
                     pa.array(counts.astype(np.int64)),
                     pa.array((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64)),
                     pa.array((sums2[ends[1:]] - sums2[ends[:-1]]).view(np.int64)),
-                    pa.array([r.tobytes() for r in regs], pa.binary()),
-                ],
-                names=["doc_id", "fp", "n", "d0", "d1", "registers"],
-            )
+                    pa.array([r.tobytes() for r in registers_of(values, counts)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "n", "d0", "d1", "registers"])
 
+    return sketched
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def full_set(text: pa.Array) -> pa.Array:
-    values, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for _, _, data, offsets in slices(text):
-        v, c = shingle_sets(data, offsets)
-        values.append(v)
-        counts.append(c)
-    ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values).view(np.int64)))
+
+def full_sets(key: bytes):
+    """A function of a text column: its set of shingle hashes."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def full_set(text: pa.Array) -> pa.Array:
+        values, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for _, _, data, offsets in slices(text):
+            v, c = shingle_sets(data, offsets, key)
+            values.append(v)
+            counts.append(c)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values).view(np.int64)))
+
+    return full_set
 
 
 @F.arrow_udf(T.DoubleType())
@@ -260,9 +267,10 @@ def packed(values: pa.Array) -> pa.Array:
 
 def row_classes(docs: DataFrame, leaders: int = LEADERS, **blocks: int) -> DataFrame:
     """doc_id, fp (hash of the text), n and rep of each row of docs; rep (doc_id, fp): the row that stands for the class, null where n is 0 or the id null."""
+    key = secrets.token_bytes(16)
     rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("fp"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    sketches = rows.mapInArrow(_sketch, f"doc_id {kind}, fp long, n long, d0 long, d1 long, registers binary")
+    sketches = rows.mapInArrow(_sketches(key), f"doc_id {kind}, fp long, n long, d0 long, d1 long, registers binary")
     sketches = staged(sketches.withColumn("uid", F.monotonically_increasing_id()), "near-sketches")
     digest = ["n", "d0", "d1"]
     own = F.min(F.struct("doc_id", "fp")).alias("rep")
@@ -275,7 +283,7 @@ def row_classes(docs: DataFrame, leaders: int = LEADERS, **blocks: int) -> DataF
     comps = staged(some.select("node", F.col("node").alias("comp")), "near-comps")
     wanted = some.select("rep.doc_id", "rep.fp", "node")
     texts = with_flag(rows, ["doc_id", "fp"], wanted, "_wanted").where("_wanted").select("doc_id", "fp", "text").dropDuplicates(["doc_id", "fp"])
-    sets = staged(texts.join(wanted, ["doc_id", "fp"]).select("node", full_set("text").alias("set")), "near-sets")
+    sets = staged(texts.join(wanted, ["doc_id", "fp"]).select("node", full_sets(key)("text").alias("set")), "near-sets")
     comps = settled(active, some, sets, led(active, some, sets, comps, leaders), **blocks)
     joined = staged(some.join(comps, "node").select(*digest, "comp", "rep"), "near-joined")
     top = joined.groupBy("comp").agg(F.min("rep").alias("_rep"))

@@ -5,9 +5,11 @@ Words are runs of bytes outside [\\x20\\x09-\\x0D]; letters A-Z count as a-z.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from .common import batch_bytes, mix64
 
@@ -66,6 +68,27 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For feature hashing only: texts can be made whose words collide."""
     h = prefix_hash(LOWER[data])
     inv = powers(len(data) + 1)[1]
     return mix64((h[ends] - h[starts]) * inv[starts] ^ (ends - starts).astype(np.uint64))
+
+
+def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Equal spans have equal codes, by comparison of their bytes; and the span of each code. Spans are in order and don't overlap."""
+    size = ends - starts
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts[size > 0]] += 1
+    edge[ends[size > 0]] -= 1
+    offsets = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offsets[1:])
+    held = np.ascontiguousarray(data[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)])
+    spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(held)]).dictionary_encode()
+    return spans.indices.to_numpy().astype(np.int64), spans.dictionary
+
+
+def keyed_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: bytes) -> np.ndarray:
+    """64-bit keyed hashes of the words, over all of their bytes; different words meet by chance only, whatever the texts."""
+    code, words = codes(LOWER[data], starts, ends)
+    each = b"".join(hashlib.blake2b(w, digest_size=8, key=key).digest() for w in words.to_pylist())
+    return np.frombuffer(each, np.uint64)[code]
