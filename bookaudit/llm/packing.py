@@ -208,16 +208,19 @@ def routed(tokens: DataFrame, n: int, total: int, idf: np.ndarray, mean: float)
     if k == 1:
         return out.select("doc_id", "ids", F.lit(0).cast("long").alias("cluster")).coalesce(1)
     parts = max(1, n // (SAMPLED * k))
-    uneven = F.pmod(F.xxhash64("ids", "doc_id"), F.lit(parts)) == 0
-    sample = out.where(uneven).select("ids").mapInArrow(_sampled(idf, mean), "vector binary, tokens long").toArrow()  # about SAMPLED a centroid
+    out = out.withColumn("h", F.xxhash64(F.monotonically_increasing_id(), F.lit(5)))  # by row: equal rows are drawn and dealt apart
+    some = out.where(F.pmod("h", F.lit(parts)) == 0).select("ids")  # about SAMPLED a centroid, and never over twice as many
+    sample = some.mapInArrow(_sampled(idf, mean), "vector binary, tokens long").limit(2 * SAMPLED * k).toArrow()
     vectors = np.frombuffer(b"".join(sample["vector"].to_pylist()), np.float32).reshape(-1, DIMENSIONS)
+    if not len(vectors):  # next to impossible: one cluster
+        vectors, sample = np.zeros((1, DIMENSIONS), np.float32), pa.table({"tokens": [1]})
     center, centroids = centroids_of(vectors, k)
     at = np.concatenate([(x @ centroids.T).argmax(1) for x in np.array_split(_unit(vectors - center), len(vectors) // 4096 + 1)])
     share = np.bincount(at, weights=sample["tokens"].to_numpy(), minlength=len(centroids))
     tasks = -(-shards // TASK_SHARDS)
     first, many = dealt(share / share.sum(), tasks)
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    out = out.withColumn("h", F.xxhash64("ids", "doc_id")).mapInArrow(_routed(idf, mean, center, centroids, first, many), f"doc_id {kind}, ids binary, h long, cluster long, second long, task int")
+    out = out.select("doc_id", "ids", "h").mapInArrow(_routed(idf, mean, center, centroids, first, many), f"doc_id {kind}, ids binary, h long, cluster long, second long, task int")
     return out.repartitionById(tasks, "task").sortWithinPartitions("cluster", "second", "h").select("doc_id", "ids", "cluster")
 
 
