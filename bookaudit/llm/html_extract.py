@@ -5,12 +5,14 @@
 2. The page's best container votes for its generalised path: tags and first classes from the body down, digits
    as `#`. Spark sums the votes by host and path.
 3. Every page's blocks are read again with its host's `PATHS` strongest paths; the first path whose text here is at
-   least `SHARE` of the page's own best score gives the main text. Pages of other templates, under none of these, use
-   their own best container, the one they voted for.
+   least `SHARE` of the page's own best score gives the main text. Pages of other templates, where no path of the host
+   holds that much, use their own best container, the one they voted for.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments inside it are left out by tag, role and
-class words; a <header> inside an article stays, and there names with other words too (related-work) aren't noise. Words of a name after `with`, `no` and the like say nothing of the
-element, and one named as noise that holds the page's heading or article and over `WHOLE` of its text is its content.
+class words; a <header> inside an article stays. Words of a name after `with`, `no` and the like say nothing of the
+element. A name with other words too (related-work, form-factor) is noise only outside articles and with a second
+sign: it holds under `DOUBTFUL` characters or a third of them in links. An element named as noise that holds the
+page's heading or article and over `WHOLE` of its text is its content.
 Defined cases: null html is empty and gives an empty text; a null url is the host ''; unclosed and stray tags are
 tolerated, self-closed ones are empty, and embedded ones (svg, iframe, ...) that aren't closed end at the next block or
 with their parent; pages without blocks give an empty text; repeated
@@ -59,8 +61,8 @@ NOISE_WORDS = set(
     " footer header masthead topbar comment comments disqus reply replies respond discussion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter"
     " subscribe subscription signup login social share sharing related recommended recommendations widget toolbar pagination pager search form copyright disclaimer skip tracking".split()
 )
-#: Words that say where or how large an element is. Inside an article a name is noise only if all its words are of
-#: these or of those above: related-posts is, related-work isn't.
+#: Words that say where or how large an element is. A name is surely noise only if all its words are of these or of
+#: those above: related-posts is, related-work isn't.
 PLACE_WORDS = set(
     "area article articles bar block body bottom box button buttons card cards container content center column entry entries first footer global group headline header inner item items"
     " label last left link links list main media module news outer page pages panel post posts row right section site slot stories story text title top unit user users view wrap wrapper zone".split()
@@ -71,8 +73,10 @@ TURNS = set("has with without no not is".split())
 WHOLE = 0.9
 #: Elements within each other; deeper ones count as part of the one above them, as browsers do it.
 DEPTH = 512
+#: Characters from which an element that a word of its name alone calls noise is text, unless a third of them are links.
+DOUBTFUL = 200
 #: Paths a host, and the share of the page's best score that the text under one must have.
-PATHS, SHARE = 64, 0.25
+PATHS, SHARE = 64, 0.8
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -82,6 +86,7 @@ class Element:
     noise: bool
     holder: int  # of its nearest container
     named: int = -1  # where the outermost element above begins that is noise by its names alone
+    inside: bool = False  # an article
 
 
 @dataclass
@@ -93,35 +98,38 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # container, text, characters in links
 
 
-def _is_noise(tag: str, attributes: dict[str, str], above: list[Element]) -> bool:
+def _is_noise(tag: str, attributes: dict[str, str], above: list[Element], inside: bool) -> tuple[bool, bool]:
+    """Is an element noise, and is that doubtful; inside: an article, or an element that was taken for one."""
     if tag in NOISE_TAGS or attributes.get("role", "").lower() in NOISE_ROLES:
-        return True
+        return True, False
     if tag == "header":
-        return not any(e.tag in ("article", "main") for e in above)
+        return not any(e.tag in ("article", "main") for e in above), False
     if tag in ("html", "body", "main", "article"):
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
-    inside = any(e.tag in ("article", "main") for e in above)
-    for words in ([w.lower() for w in WORD.findall(n)] for n in names):
+        return False, False
+    doubtful = False
+    for words in ([w.lower() for w in WORD.findall(n)] for n in f"{attributes.get('class', '')} {attributes.get('id', '')}".split()):
         words = list(takewhile(lambda w: w not in TURNS, words))
-        if any(w in NOISE_WORDS for w in words) and not (inside and any(w not in NOISE_WORDS and w not in PLACE_WORDS for w in words)):
-            return True
-    return False
+        if any(w in NOISE_WORDS for w in words):
+            if all(w in NOISE_WORDS or w in PLACE_WORDS for w in words):
+                return True, False
+            doubtful = not inside
+    return doubtful, doubtful
 
 
 def read_page(source: str) -> Page:
     exempt: set[int] = set()
     while True:
-        page, whole = _read(source, exempt)
-        if whole is None:
+        page, more = _read(source, exempt)
+        if not more:
             return page
-        exempt.add(whole)
+        exempt |= more
 
 
-def _read(source: str, exempt: set[int]) -> tuple[Page, int | None]:
-    """The page, and where an element begins that is noise by its names but holds nearly all the text; exempt: such that aren't noise."""
+def _read(source: str, exempt: set[int]) -> tuple[Page, set[int]]:
+    """The page, and where elements begin that are noise by their names but text by what they hold; exempt: such that aren't noise."""
     page, stack, parts, links, at = Page(), [], [], 0, 0
-    dropped, headed = Counter(), set()  # characters in elements that are noise by their names; those with a heading or article
+    # By where an element that is noise by its names begins: its characters, those in links; with a heading or article; unsure.
+    dropped, linked, headed, unsure = Counter(), Counter(), set(), set()
 
     def close_block() -> None:
         nonlocal links
@@ -136,6 +144,7 @@ def _read(source: str, exempt: set[int]) -> tuple[Page, int | None]:
         nonlocal links
         if stack and stack[-1].named >= 0:
             dropped[stack[-1].named] += len(piece.strip())
+            linked[stack[-1].named] += len(piece.strip()) * any(e.tag == "a" for e in stack[-4:])
         if piece and not (stack and stack[-1].noise):
             parts.append(piece)
             if any(e.tag == "a" for e in stack[-4:]):
@@ -183,9 +192,13 @@ def _read(source: str, exempt: set[int]) -> tuple[Page, int | None]:
         attributes = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[5] or "")}
         above = stack[-1] if stack else None
         named = above.named if above else -1
-        noise = bool(above and above.noise) or tag in EMBEDDED or _is_noise(tag, {"role": attributes.get("role", "")}, stack)
-        if not noise and m.start() not in exempt and _is_noise(tag, attributes, stack):
-            noise, named = True, m.start()
+        inside = bool(above and above.inside) or tag in ("article", "main") or m.start() in exempt
+        noise = bool(above and above.noise) or tag in EMBEDDED or _is_noise(tag, {"role": attributes.get("role", "")}, stack, inside)[0]
+        if not noise and m.start() not in exempt:
+            noise, doubtful = _is_noise(tag, attributes, stack, inside)
+            if noise:
+                named = m.start()
+                unsure |= {named} if doubtful else set()
         if named >= 0 and tag in ("h1", "main", "article"):
             headed.add(named)
         holder = above.holder if above else 0
@@ -195,11 +208,12 @@ def _read(source: str, exempt: set[int]) -> tuple[Page, int | None]:
             page.parents.append(holder)
             page.paths.append(f"{page.paths[holder]}>{step}")
             holder = len(page.parents) - 1
-        stack.append(Element(tag, noise, holder, named))
+        stack.append(Element(tag, noise, holder, named, inside))
     add(source[at:])
     close_block()
     whole = sum(len(text) for _, text, _ in page.blocks) + sum(dropped.values())
-    return page, next((k for k in sorted(headed) if dropped[k] > WHOLE * whole), None)
+    texts = {k for k in unsure if dropped[k] >= DOUBTFUL and 3 * linked[k] < dropped[k]}
+    return page, texts | {k for k in headed if dropped[k] > WHOLE * whole}
 
 
 def best_container(page: Page) -> tuple[str, float] | None:

@@ -4,6 +4,7 @@ import time
 
 import pytest
 
+from bookaudit.llm import html_extract
 from bookaudit.llm.html_extract import read_page
 
 ARTICLE = "<article><h1>Title</h1><p>" + "Main text of the page. " * 20 + "</p></article>"
@@ -52,3 +53,23 @@ def test_words_alone_drop_no_article_text():
         assert got == WANT
     for name in ("related-posts", "share", "ad-slot", "comments", "newsletter-box", "relatedArticles"):
         assert texts(f"<body><article><h1>Title</h1><p>{WANT[1]}</p><div class='{name}'><p>no</p></div></article></body>") == WANT
+
+
+def test_doubtful_names_need_a_second_sign():
+    for name in ("form-factor", "comment-on-policy", "header-image", "banner-year"):
+        assert texts(f"<body><div class='entry'><h1>Title</h1><div class='{name}'><p>{WANT[1]}</p></div></div></body>") == WANT
+        links = f"<div class='{name}'>" + "<a href=x>another story</a> " * 20 + "</div>"
+        assert texts(f"<body><div class='entry'><h1>Title</h1><p>{WANT[1]}</p></div>{links}<div class='{name}'><p>no</p></div></body>") == WANT
+    assert texts(f"<body><div class='header-image'><h1>Title</h1><div class='form-factor'><p>{WANT[1]}</p></div></div></body>") == WANT
+    assert texts(f"<body>{ARTICLE}<div class='comments'><p>{WANT[1]}</p></div></body>") == WANT
+
+
+def test_second_template_of_a_host(spark):
+    """A short block under the host's common path doesn't stand for a page whose article lies elsewhere."""
+    page = lambda cls, text: f"<body><div class='{cls}'><p>{text}</p></div>"
+    body = "This is the text of an ordinary page of this host. " * 12
+    rows = [(i, "https://h.example/a", page("box", body) + "</body>") for i in range(3)]
+    rows.append((3, "https://h.example/b", page("box", "A teaser of the other stories. " * 9) + "<div class='story'><p>" + "The article itself, elsewhere. " * 29 + "</p></div></body>"))
+    got = {r["page_id"]: r["text"] for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(3)] == [body.strip()] * 3
+    assert got[3] == ("The article itself, elsewhere. " * 29).strip()
