@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.intervals import CELL, overlapping
 from ..functions.scalars import seconds
 from ..functions.sliced import ARRIVALS, MICROS, run_steps, running_max
 
@@ -19,16 +20,16 @@ def _buckets(lo: Column, hi: Column, width: int) -> Column:
     return F.explode(F.sequence(F.floor(F.least(lo, hi) / width), F.floor(F.greatest(lo, hi) / width)))
 
 
-def gap_candidates(gaps: DataFrame, backup: DataFrame, keys: list[str], width: int = 1_000_000) -> DataFrame:
-    """Each gap with the backup messages whose ids overlap it.
+def gap_candidates(gaps: DataFrame, backup: DataFrame, keys: list[str], bits: int = CELL) -> DataFrame:
+    """Each gap with the backup messages whose ids overlap it; gaps of any length, and turned ones (from after to) too.
 
-    Both sides are cut into id buckets, so the join has an equal key; a pair is kept in the last bucket where both begin.
+    A turned gap is overlapped by what holds both of its ends, as the test on ids says.
     """
-    first = F.floor(F.least("missing_from", "missing_to") / width)
-    g = gaps.select(*keys, "missing_from", "missing_to", first.alias("_g"), _buckets(F.col("missing_from"), F.col("missing_to"), width).alias("_bucket"))
-    b = backup.where("first_id IS NOT NULL AND last_id IS NOT NULL").select(*keys, "first_id", "last_id", "arrival", "us", F.floor(F.least("first_id", "last_id") / width).alias("_b"), _buckets(F.col("first_id"), F.col("last_id"), width).alias("_bucket"))
-    both = g.join(b, [*keys, "_bucket"]).where("last_id >= missing_from AND first_id <= missing_to AND _bucket = greatest(_g, _b)")
-    return both.drop("_g", "_b", "_bucket")
+    span = lambda a, b: (F.least(a, b), F.greatest(a, b))
+    g = gaps.select(*keys, "missing_from", "missing_to").where("missing_from IS NOT NULL AND missing_to IS NOT NULL")
+    b = backup.where("first_id IS NOT NULL AND last_id IS NOT NULL").select(*keys, "first_id", "last_id", "arrival", "us")
+    both = overlapping(g, b, keys, span("missing_from", "missing_to"), span("first_id", "last_id"), bits)
+    return both.where("last_id >= missing_from AND first_id <= missing_to")
 
 
 def chain_cover(candidates: DataFrame, keys: list[str]) -> DataFrame:
