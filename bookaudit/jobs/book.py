@@ -89,8 +89,6 @@ bars AS (SELECT source, segment, unnest(range(lo, hi + 1, 600000000)) AS bar FRO
 lead0 AS (SELECT *, lead(bar) OVER (PARTITION BY source, segment, side, price ORDER BY bar) AS until FROM ev),
 state AS (SELECT b.source, b.segment, b.bar, l.side, CAST(l.price AS DOUBLE) AS price, CAST(l.size AS DOUBLE) AS size FROM bars b JOIN lead0 l ON l.source = b.source AND l.segment = b.segment AND l.bar <= b.bar AND (l.until IS NULL OR l.until > b.bar) WHERE l.size > 0),
 top AS (SELECT *, CAST(row_number() OVER (PARTITION BY source, segment, bar, side ORDER BY CASE WHEN side = 'buy' THEN -price ELSE price END) AS INTEGER) AS level FROM state)"""
-#: Without the open bar of the last segment too.
-CLOSED = LEVELS.replace("CASE WHEN segment = max(segment) OVER () THEN hi ELSE hi - 600000000 END AS hi", "hi - 600000000 AS hi")
 BASE = f"WITH {ctes('m', 'chg', 'snap')},\n{SEGMENTED} "
 
 

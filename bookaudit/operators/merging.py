@@ -39,19 +39,32 @@ def stream_counts(records: DataFrame, keys: list[str], start: int | None = None,
     )
 
 
-def _unique(records: DataFrame, key: list[str], side: str) -> DataFrame:
-    """One row a key: the last record wins, the first arrival keeps its place."""
-    got = records.groupBy(*key).agg(F.max_by(F.struct("type", "us", "arrival"), "arrival").alias("r"), F.min("arrival").alias("first"))
-    return got.select(*key, F.col("r.type").alias(f"{side}_type"), F.col("r.us").alias(f"{side}_us"), F.col("r.arrival").alias(f"{side}_arrival"), F.col("first").alias(f"{side}_first"))
+def sides(side: Column) -> list[Column]:
+    """Aggregates of a key's records: of each side the last record, which wins, and the first arrival, which keeps its place."""
+    out = []
+    for name in ("primary", "backup"):
+        arrival = F.when(side == name, F.col("arrival"))
+        last = F.max_by(F.struct("type", "us", "arrival"), arrival)
+        out.append(F.when(F.max(arrival).isNotNull(), F.struct(last.alias("last"), F.min(arrival).alias("first"))).alias(name))
+    return out
+
+
+def merge_sides(both: DataFrame, key: list[str]) -> DataFrame:
+    """One record a key from both sides' aggregates: the primary's, where there is one."""
+    here, there = F.col("primary").isNotNull(), F.col("backup").isNotNull()
+    source = F.when(here & there, "both").when(here, "primary").otherwise("backup")
+    pick = lambda c, name: F.when(here, F.col(f"primary.{c}")).otherwise(F.col(f"backup.{c}")).alias(name)
+    return both.select(*key, source.alias("source"), pick("last.type", "type"), pick("last.us", "us"), pick("first", "first"), F.col("primary.last.arrival").alias("primary_arrival"), F.col("backup.last.arrival").alias("backup_arrival"))
 
 
 def merge_streams(primary: DataFrame, backup: DataFrame, key: list[str]) -> DataFrame:
-    """Full outer merge on the dedup key; the primary's record wins. Payloads are joined back by arrival later."""
-    both = _unique(primary, key, "primary").join(_unique(backup, key, "backup"), key, "full_outer")
-    here, there = F.col("primary_arrival").isNotNull(), F.col("backup_arrival").isNotNull()
-    source = F.when(here & there, "both").when(here, "primary").otherwise("backup")
-    pick = lambda c: F.when(here, F.col(f"primary_{c}")).otherwise(F.col(f"backup_{c}")).alias(c)
-    return both.select(*key, source.alias("source"), pick("type"), pick("us"), pick("first"), "primary_arrival", "backup_arrival")
+    """Full outer merge on the dedup key; the primary's record wins. Payloads are joined back by arrival later.
+
+    Both sides meet in one aggregation, which combines a key's records before they are shuffled.
+    """
+    cols = [*key, "type", "us", "arrival"]
+    every = primary.select(*cols, F.lit("primary").alias("side")).unionByName(backup.select(*cols, F.lit("backup").alias("side")))
+    return merge_sides(every.groupBy(*key).agg(*sides(F.col("side"))), key)
 
 
 def merge_order_by_time(merged: DataFrame) -> list[Column]:

@@ -10,27 +10,33 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.scalars import SECOND
 from ..operators.book import TOP, Book
+from .windows import CLOSE_MS, with_close
+
+
+COLUMNS = ["source", "segment", "bar", "bids", "asks"]
 
 
 class BookBars(StatefulProcessor):
     """One stream's book. State: its live levels, one map entry each, and its segment and open bar.
 
-    A trigger reads the levels once and writes back those it changed.
+    A trigger reads the levels once and writes back those it changed. A timer set for the close of the stream makes the
+    open bar's row.
     """
 
     def __init__(self, bar_seconds: int, n: int) -> None:
         self.step, self.n = bar_seconds * SECOND, n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.levels = handle.getMapState("levels", "side string, price double", "size double")
         self.open = handle.getValueState("open", "segment long, bar long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        segment, bar = self.open.get() if self.open.exists() else (0, None)
-        book, out, changed, renewed = Book(self.n), [], {}, False
-        for (side, price), (size,) in self.levels.iterator():
-            book.set(side, price, size)
         pdf = pd.concat(list(rows)).sort_values("arrival", kind="stable")
+        if key[0] is None:  # a mark that closes the stream
+            return
+        segment, bar = self.open.get() if self.open.exists() else (0, None)
+        book, out, changed, renewed = self._book(), [], {}, False
         for us, is_snapshot, levels in zip(pdf["us"].astype("Int64"), pdf["is_snapshot"], pdf["levels"]):
             if is_snapshot:  # the open bar goes
                 segment, bar, changed, renewed = segment + 1, None, {}, True
@@ -55,7 +61,20 @@ class BookBars(StatefulProcessor):
             elif not renewed:
                 self.levels.removeKey(level)
         self.open.update((segment, bar))
-        yield pd.DataFrame(out, columns=["source", "segment", "bar", "bids", "asks"])
+        self.handle.registerTimer(CLOSE_MS)
+        yield pd.DataFrame(out, columns=COLUMNS)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        segment, bar = self.open.get()
+        top = self._book().top() if bar is not None else None
+        self.open.update((segment, None))
+        yield pd.DataFrame([(*key, segment, bar, *top)] if top else [], columns=COLUMNS)
+
+    def _book(self) -> Book:
+        book = Book(self.n)
+        for (side, price), (size,) in self.levels.iterator():
+            book.set(side, price, size)
+        return book
 
     def close(self) -> None:
         pass
@@ -66,7 +85,8 @@ def stream_book_bars(messages: DataFrame, bar_seconds: int = 1, n: int = 10) ->
 
     messages: source, arrival, us, is_snapshot, levels (side, price, size; a size of 0 removes). A late update falls in
     the open bar, as one without a time does; a snapshot begins a segment and drops the open bar; updates before the
-    first snapshot are skipped; a bar without both sides has no row. Needs the RocksDB state store.
+    first snapshot are skipped; a bar without both sides has no row. The last bar of a stream comes when it is closed
+    (see `windows.marked`). Needs the RocksDB state store.
     """
-    rows = messages.select("source", "arrival", "us", "is_snapshot", "levels").groupBy("source")
-    return rows.transformWithStateInPandas(BookBars(bar_seconds, n), f"source string, segment long, bar long, {TOP}", "append", "none")
+    rows = with_close(messages).select("source", "arrival", "us", "is_snapshot", "levels", "closes").groupBy("source")
+    return rows.transformWithStateInPandas(BookBars(bar_seconds, n), f"source string, segment long, bar long, {TOP}", "append", "eventTime")

@@ -1,8 +1,10 @@
 """Stateful checks of a stream of capture messages: running sequence gaps and snapshot bridges.
 
-State is a few numbers a stream and day; it goes once the watermark has passed the day. Messages of one trigger are put
-in arrival order and compared as arrays; files are streamed in order, a bounded number a trigger (`stream_capture`), so
-the results equal the batch forms. Messages later than the watermark are left out; those without a time are not.
+Files may come in any order. Messages of a source wait in its state until the latest event time seen is `late` beyond
+theirs, and are released in the order of arrival, so what comes out equals the batch forms as long as no message is
+further behind than that. One that is isn't dropped: it is taken when it comes. State: the messages of the last
+`late` of each source, and a few numbers a day. A stream that is closed (see `windows.marked`) releases what waits and
+answers what is open, by a timer set for that time. Needs the RocksDB state store.
 """
 
 from __future__ import annotations
@@ -12,51 +14,95 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from .windows import CLOSE_MS, with_close
 
-KEY = ["source", "d"]
 INPUT = ["msg", "arrival", "us", "first_id", "last_id", "snap_id"]
-GAPS = "source string, d date, segment long, arrival long, prev_last_id long, first_id long, last_id long, missing long, prev_us long, us long"
+WAITING = "d string, msg string, arrival long, us long, first_id long, last_id long, snap_id long"
+GAPS = "source string, d string, segment long, arrival long, prev_last_id long, first_id long, last_id long, missing long, prev_us long, us long"
 GAP_STATE = "segment long, last_id long, us long"
-BRIDGES = "source string, d date, segment long, snap_id long, bridge_status string"
+BRIDGES = "source string, d string, segment long, snap_id long, bridge_status string"
 BRIDGE_STATE = "segment long, snap_id long, open boolean"
-LATE = "2 days"
+LATE = 600.0
 
 
 def _plain(values) -> tuple:
     return tuple(None if v is None or v is pd.NA else int(v) for v in values)
 
 
-def _in_order(batches: Iterator[pd.DataFrame], segment: int) -> pd.DataFrame:
-    """Snapshots and updates by arrival, each with its segment: the snapshots so far."""
-    rows = pd.concat(list(batches))[INPUT]
-    rows = rows[rows["msg"].isin(["snapshot", "update"])].astype({c: "Int64" for c in INPUT[1:]}).sort_values("arrival", kind="stable", ignore_index=True)
+def _segmented(rows: pd.DataFrame, segment: int) -> pd.DataFrame:
+    """Snapshots and updates, each with its segment: the snapshots so far."""
+    rows = rows.loc[rows["msg"].isin(["snapshot", "update"]), INPUT].reset_index(drop=True)
     return rows.assign(segment=segment + (rows["msg"] == "snapshot").cumsum())
 
 
-def _by_day(step: Callable, schema: str) -> Callable:
-    """Runs step on a trigger's messages of one stream and day; the state is dropped when the day's time is over."""
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        found, after = step(batches, state.get if state.exists else None)
-        over = int((pd.Timestamp(key[1]) + pd.Timedelta(days=1)).value // 10**6)
-        if over > state.getCurrentWatermarkMs():
-            state.update(after)
-            state.setTimeoutTimestamp(over)
-        elif state.exists:
-            state.remove()
-        yield found.assign(source=key[0], d=key[1])[names]
+class InOrder(StatefulProcessor):
+    """Runs step on a source's messages in the order of arrival, a day at a time; end makes the last rows of a day."""
 
-    return run
+    def __init__(self, step: Callable, schema: str, state: str, late: float, end: Callable | None = None) -> None:
+        self.step, self.state, self.late, self.end = step, state, round(late * 1e6), end
+        self.names = [c.split()[0] for c in schema.split(", ")]
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", WAITING)
+        self.high = handle.getValueState("high", "us long")
+        self.days = handle.getMapState("days", "d string", self.state)
 
-def _gaps(batches: Iterator[pd.DataFrame], state: tuple | None) -> tuple[pd.DataFrame, tuple]:
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))[["d", *INPUT]]
+        if key[0] is None:  # a mark that closes the stream
+            return
+        every = pd.concat([self._held(), _typed(new)]).sort_values("arrival", kind="stable", ignore_index=True)
+        seen = [self.high.get()[0]] if self.high.exists() else []
+        seen += [] if every["us"].isna().all() else [int(every["us"].max())]
+        if seen:
+            self.high.update((max(seen),))
+        young = (every["us"] > max(seen) - self.late).fillna(False).astype(bool) if seen else pd.Series(False, index=every.index)
+        ready = (every["arrival"] < every.loc[young, "arrival"].min()) if young.any() else pd.Series(True, index=every.index)
+        self._hold(every[~ready])
+        self.handle.registerTimer(CLOSE_MS)
+        yield from self._stepped(key, every[ready])
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rest = self._held()
+        self._hold(rest[:0])
+        yield from self._stepped(key, rest.sort_values("arrival", kind="stable", ignore_index=True))
+        if self.end is not None:
+            for (d,), state in list(self.days.iterator()):
+                found, after = self.end(tuple(state))
+                self.days.updateValue((d,), after)
+                yield found.assign(source=key[0], d=d)[self.names]
+
+    def close(self) -> None:
+        pass
+
+    def _held(self) -> pd.DataFrame:
+        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        return _typed(pd.DataFrame(rows, columns=["d", *INPUT]))
+
+    def _hold(self, rows: pd.DataFrame) -> None:
+        if len(rows):
+            self.waiting.put([(r[0], r[1], *_plain(r[2:])) for r in rows.itertuples(index=False, name=None)])
+        else:
+            self.waiting.clear()
+
+    def _stepped(self, key: tuple, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for d, part in rows.groupby("d", sort=True):
+            state = tuple(self.days.getValue((d,))) if self.days.containsKey((d,)) else None
+            found, after = self.step(part, state)
+            self.days.updateValue((d,), after)
+            yield found.assign(source=key[0], d=d)[self.names]
+
+
+def _typed(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.astype({c: "Int64" for c in INPUT[1:]})
+
+
+def _gaps(messages: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple]:
     segment, last, last_us = state or (0, None, None)
-    rows = _in_order(batches, segment)
+    rows = _segmented(messages, segment)
     carried = pd.DataFrame({"segment": [segment], "last_id": [last], "us": [last_us]}).astype("Int64")
     updates = pd.concat([carried, rows[rows["msg"] == "update"]], ignore_index=True)
     # The place of the last update with an id, up to each row and before it, in its segment.
@@ -70,14 +116,14 @@ def _gaps(batches: Iterator[pd.DataFrame], state: tuple | None) -> tuple[pd.Data
     return now[(now["missing"] != 0).fillna(False).astype(bool)], _plain([end, *after])
 
 
-def stream_seq_gaps(messages: DataFrame, late: str = LATE) -> DataFrame:
-    """Updates whose first id doesn't follow the last one seen, restarted at each snapshot."""
-    return _grouped(messages, late).applyInPandasWithState(_by_day(_gaps, GAPS), GAPS, GAP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+def stream_seq_gaps(messages: DataFrame, late: float = LATE) -> DataFrame:
+    """Updates whose first id doesn't follow the last one seen, restarted at each snapshot. late: seconds."""
+    return _run(messages, InOrder(_gaps, GAPS, GAP_STATE, late), GAPS)
 
 
-def _bridges(batches: Iterator[pd.DataFrame], state: tuple | None) -> tuple[pd.DataFrame, tuple]:
+def _bridges(messages: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple]:
     segment, snap, waiting = state or (0, None, False)
-    rows = _in_order(batches, segment)
+    rows = _segmented(messages, segment)
     begun = rows.loc[rows["msg"] == "snapshot", ["segment", "snap_id"]]
     if waiting:
         begun = pd.concat([pd.DataFrame({"segment": [segment], "snap_id": [snap]}).astype("Int64"), begun])
@@ -85,17 +131,30 @@ def _bridges(batches: Iterator[pd.DataFrame], state: tuple | None) -> tuple[pd.D
     stale = (updates["last_id"] <= updates["snap_id"]).fillna(False).astype(bool)
     first = updates[~stale].drop_duplicates("segment")
     holds = ((first["first_id"] <= first["snap_id"] + 1) & (first["snap_id"] + 1 <= first["last_id"])).fillna(False).astype(bool)
-    first = first.assign(bridge_status=holds.map({True: "ok", False: "gap"}))
+    first = first.assign(bridge_status=holds.map({True: "ok", False: "gap"}))[["segment", "snap_id", "bridge_status"]]
     if len(begun):
         segment, snap = _plain(begun.iloc[-1])
         waiting = segment not in set(first["segment"])
+        passed = begun[~begun["segment"].isin([*first["segment"], segment])]
+        first = pd.concat([first, passed.assign(bridge_status="none")], ignore_index=True)
     return first, (segment, snap, waiting)
 
 
-def stream_snapshot_bridge(messages: DataFrame, late: str = LATE) -> DataFrame:
-    """For each snapshot, as soon as an update that isn't stale comes: whether it holds the snapshot's id + 1."""
-    return _grouped(messages, late).applyInPandasWithState(_by_day(_bridges, BRIDGES), BRIDGES, BRIDGE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+def _unanswered(state: tuple) -> tuple[pd.DataFrame, tuple]:
+    segment, snap, waiting = state
+    rows = [(segment, snap, "none")] if waiting else []
+    return pd.DataFrame(rows, columns=["segment", "snap_id", "bridge_status"]).astype({"segment": "Int64", "snap_id": "Int64"}), (segment, snap, False)
+
+
+def stream_snapshot_bridge(messages: DataFrame, late: float = LATE) -> DataFrame:
+    """For each snapshot, as soon as an update that isn't stale comes: whether it holds the snapshot's id + 1 (ok or gap).
+
+    none: the next snapshot came before one, or the stream was closed. late: seconds.
+    """
+    return _run(messages, InOrder(_bridges, BRIDGES, BRIDGE_STATE, late, _unanswered), BRIDGES)
 
 
-def _grouped(messages: DataFrame, late: str):
-    return messages.select(*KEY, *INPUT, F.timestamp_micros("us").alias("t")).withWatermark("t", late).groupBy(*KEY)
+def _run(messages: DataFrame, processor: InOrder, schema: str) -> DataFrame:
+    rows = with_close(messages).select("source", F.col("d").cast("string").alias("d"), *INPUT, "closes")
+    out = rows.groupBy("source").transformWithStateInPandas(processor, schema, "append", "eventTime")
+    return out.withColumn("d", F.col("d").cast("date"))

@@ -13,18 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.staging import staged_path
+from ..operators.merging import merge_sides, sides
+
+#: Timers for the close of a stream are set for this time (year 2200); the mark that closes it has a later one.
+CLOSE_MS, MARK = 7_258_118_400_000, "2201-01-01 00:00:00"
 
 
 @contextmanager
-def rocksdb(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB, on disk beside the executors, as map states need it."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def rocksdb(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, on disk beside the executors, as map states need it."""
+    return _setting(spark, "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def stream_capture(spark: SparkSession, folder: str, glob: str = "*", files: int = 16) -> DataFrame:
@@ -54,11 +61,59 @@ def dedup(stream: DataFrame, key: list[str], late: str = "1 hour") -> DataFrame:
     return stream.withWatermark("t", late).dropDuplicatesWithinWatermark(key)
 
 
-def drained(result: DataFrame, mode: str) -> DataFrame:
-    """Runs the stream over all that is there and reads the result back: the last state for complete, all rows for append."""
+def merged(records: DataFrame, key: list[str], late: str = "1 hour") -> DataFrame:
+    """Full outer merge of a primary and a backup stream, as merge_streams has it, each key once the watermark is past it.
+
+    records: side (primary or backup), t (the time in the key, so one for each key), the key, type, us, arrival. Both
+    sides meet in one aggregation: state is two records a key of the last `late`, whatever repeats. Records without a
+    time, and those more than `late` behind, are left out.
+    """
+    closes = "closes" if "closes" in records.columns else F.lit(None)
+    timed = records.withColumn("t", F.coalesce("t", closes)).withWatermark("t", late)
+    both = timed.groupBy("t", *key).agg(*sides(F.col("side"))).where("primary IS NOT NULL OR backup IS NOT NULL")
+    return merge_sides(both, key)
+
+
+def with_close(stream: DataFrame) -> DataFrame:
+    """stream with the column closes, and no watermark but that of the marks: no row is ever late."""
+    if "closes" not in stream.columns:
+        stream = stream.withColumn("closes", F.lit(None).cast("timestamp"))
+    return stream.withWatermark("closes", "0 seconds")
+
+
+def marked(stream: DataFrame) -> tuple[DataFrame, str]:
+    """stream with a column closes, null in its rows, and a folder: a file of `close` there is one more row, that closes it."""
+    spark = stream.sparkSession
+    folder = staged_path(spark, "marks")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    marks = spark.readStream.schema("closes timestamp").json(folder)
+    rows = stream.withColumn("closes", F.lit(None).cast("timestamp")).unionByName(marks, allowMissingColumns=True)
+    return rows, folder
+
+
+def close(spark: SparkSession, folder: str) -> None:
+    spark.sql(f"SELECT TIMESTAMP'{MARK}' AS closes").write.mode("append").json(folder)
+
+
+def drained(result: DataFrame, mode: str, marks: str | None = None) -> DataFrame:
+    """Runs the stream over all that is there and reads the result back: the last state for complete, all rows for append.
+
+    marks: the folder of `marked`; the stream is closed once it is drained. Each batch has a folder of its own, so one
+    that is run again replaces its rows.
+    """
     spark = result.sparkSession
     path = staged_path(spark, f"stream-{uuid.uuid4().hex}")
-    write = (lambda df, _: df.write.mode("overwrite").parquet(f"{path}/out")) if mode == "complete" else (lambda df, _: df.write.mode("append").parquet(f"{path}/out"))
-    query = result.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(write).start()
-    query.awaitTermination()
-    return spark.read.schema(result.schema).parquet(f"{path}/out")
+    part = (lambda i: "") if mode == "complete" else (lambda i: f"/stream_batch={i}")
+
+    def run() -> None:
+        write = lambda df, i: df.write.mode("overwrite").parquet(f"{path}/out{part(i)}")
+        result.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+
+    run()
+    if marks is not None:
+        close(spark, marks)
+        # Keys that are never null in the data may be so in a mark; that alone is no other state.
+        with _setting(spark, "spark.sql.streaming.stateStore.stateSchemaCheck", "false"):
+            run()
+    return spark.read.schema(result.schema).parquet(f"{path}/out").select(*result.columns)
