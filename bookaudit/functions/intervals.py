@@ -47,23 +47,19 @@ def overlapping(few: DataFrame, many: DataFrame, keys: list[str], few_span: tupl
     """
     names = [c for c in many.columns if c not in keys]
     levels = 63 - bits  # a shift by 64 would be none
-    one = F.struct(F.lit(0).alias("level"), over(few_span[0], bits).alias("node"))
-    spans = over(few_span[0], bits) == over(few_span[1], bits)
-    cells = F.when(spans, F.array(one)).otherwise(cover(over(few_span[0], bits), over(few_span[1], bits), levels))
-    kept = few.select(*keys, F.struct(*[c for c in few.columns if c not in keys]).alias("_few"), over(few_span[0], bits).alias("_first"), cells.alias("_cover"))
-    kept = staged(kept.where(few_span[0].isNotNull() & few_span[1].isNotNull()), "cover")
-    low, high = over(many_span[0], bits), over(many_span[1], bits)
-    rows = many.where(many_span[0].isNotNull() & many_span[1].isNotNull()).select(*keys, F.struct(*names).alias("_many"), low.alias("_low"), high.alias("_high"))
-
-    nodes = kept.select(*keys, "_few", F.explode("_cover").alias("_n")).select(*keys, "_few", F.col("_n.level").alias("_level"), F.col("_n.node").alias("_node"))
-    used = nodes.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))  # at most one a level
-    placed = rows.join(used, keys).select(*keys, "_many", "_low", F.explode("_levels").alias("_level")).select(*keys, "_many", "_level", over(F.col("_low"), F.col("_level")).alias("_node"))
-    begins_inside = nodes.join(placed, [*keys, "_level", "_node"])
-
-    # The other way round: few begins in a later cell of a row of many.
-    long = rows.where("_low < _high").select(*keys, "_many", F.explode(cover(F.col("_low") + 1, F.col("_high"), levels)).alias("_n")).select(*keys, "_many", F.col("_n.level").alias("_level"), F.col("_n.node").alias("_node"))
-    starts = kept.select(*keys, "_few", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_level"), "_first").select(*keys, "_few", "_level", over(F.col("_first"), F.col("_level")).alias("_node"))
-    holds = starts.join(long, [*keys, "_level", "_node"])
-
-    pick = [*keys, "_few.*", "_many.*"]
-    return begins_inside.select(*pick).unionByName(holds.select(*pick))
+    # Kind 0: the cover of few under the first cell of many; kind 1: the first cell of few under the cover of many.
+    key = lambda kind, level, node: F.struct(F.lit(kind).alias("_kind"), level.cast("int").alias("_level"), node.alias("_node"))
+    covered = lambda kind, first, last: F.transform(cover(first, last, levels), lambda x: key(kind, x["level"], x["node"]))
+    first, last = over(few_span[0], bits), over(few_span[1], bits)
+    cells = F.when(first == last, F.array(key(0, F.lit(0), first))).otherwise(covered(0, first, last))
+    starts = F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda k: key(1, k, over(first, k)))
+    nodes = few.where(few_span[0].isNotNull() & few_span[1].isNotNull()).select(*keys, F.struct(*[c for c in few.columns if c not in keys]).alias("_few"), F.inline(F.concat(cells, starts)))
+    nodes = staged(nodes, "cover")
+    used = nodes.where("_kind = 0").groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))  # at most one a level
+
+    rows = many.where(many_span[0].isNotNull() & many_span[1].isNotNull()).select(*keys, F.struct(*names).alias("_many"), over(many_span[0], bits).alias("_low"), over(many_span[1], bits).alias("_high"))
+    low, high = F.col("_low"), F.col("_high")
+    own = F.transform("_levels", lambda k: key(0, k, over(low, k)))
+    long = F.when(low < high, covered(1, low + 1, high)).otherwise(F.array().cast("array<struct<_kind: int, _level: int, _node: bigint>>"))
+    placed = rows.join(used, keys).select(*keys, "_many", F.inline(F.concat(own, long)))
+    return nodes.join(placed, [*keys, "_kind", "_level", "_node"]).select(*keys, "_few.*", "_many.*")

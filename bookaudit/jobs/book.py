@@ -70,7 +70,7 @@ def book_top_n(spark: SparkSession, d: str) -> DataFrame:
 
 def book_features(spark: SparkSession, d: str) -> DataFrame:
     events, bars = _events(spark, d)
-    rows = B.book_features(B.replay_book(events, bars, BAR, N, chunk_bars=144), N)
+    rows = B.book_features(B.replay_book(events, bars, BAR, N), N)
     doubles = [c for c, t in rows.dtypes if t == "double"]
     return rows.withColumns({c: F.round(c, 9) for c in doubles})
 

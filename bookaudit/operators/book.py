@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.intervals import cover, over
 from ..functions.scalars import SECOND, seconds
 from ..functions.sliced import ARRIVALS, previous, running_max, running_sum
+from ..functions.staging import staged
 
 STREAM = ["source"]
 
@@ -157,36 +158,81 @@ class Book:
 TOP = "bids array<struct<px: double, sz: double>>, asks array<struct<px: double, sz: double>>"
 
 
-def replay_book(events: DataFrame, bars: DataFrame, bar_seconds: int, n: int = 10, chunk_bars: int = 1800, keys: list[str] = STREAM) -> DataFrame:
-    """(keys, segment, bar, bids, asks): the n best levels of both sides at the end of each emitted bar, chunk by chunk from its seeds."""
+def _best(n: int):
+    """Of (place, px, sz) structs in a column: the n best by place, as (px, sz)."""
+    return lambda c: F.transform(F.slice(F.array_sort(c), 1, n), lambda x: F.struct(x["px"].alias("px"), x["sz"].alias("sz")))
+
+
+def _by_chunk(events: DataFrame, bars: DataFrame, n: int, chunk_bars: int, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What each chunk of bars needs to know its best levels: own sizes, sizes that hold for a whole chunk, and the worst place of use.
+
+    A level with changes in a chunk brings its size at the chunk's start. Between two chunks with changes a level keeps
+    its size; such a stretch is held by the nodes of its binary cover (see functions.intervals), so one that lasts for
+    weeks costs some tens of rows. All levels of a node live through all of its chunks, so only its n best are kept. Levels
+    that live through a whole chunk give it a bound: what is behind the n-th of them is never among the n best there.
+    """
+    level = [*keys, "segment", "side", "price"]
+    at = [*keys, "segment", "side", "chunk"]
+    placed = events.withColumn("chunk", F.floor(F.col("b") / F.lit(chunk_bars)))
+    ends = placed.groupBy(*level, "chunk").agg(F.max_by("size", "b").alias("size"), F.min("size").alias("least"))
+    w = Window.partitionBy(*level).orderBy("chunk")
+    ends = ends.withColumns({"before": F.lag("size").over(w), "next": F.lead("chunk").over(w)}).join(bars.select(*keys, "segment", F.floor(F.col("hi") / F.lit(chunk_bars)).alias("last")), [*keys, "segment"])
+    place = F.when(F.col("side") == "buy", -F.col("price")).otherwise(F.col("price"))
+    ends = staged(ends.withColumn("place", place).where("chunk <= last"), "book-ends")
+    own = placed.select(*at, "price", "b", "size", F.lit(1).alias("order")).unionByName(ends.where("before > 0").select(*at, "price", (F.col("chunk") * chunk_bars).cast("long").alias("b"), F.col("before").alias("size"), F.lit(0).alias("order")))
+
+    until = F.coalesce(F.col("next") - 1, F.col("last"))
+    quiet = ends.where("size > 0").withColumn("until", until).where("until > chunk")
+    nodes = quiet.select(*[c for c in at if c != "chunk"], "place", "price", "size", F.inline(cover(F.col("chunk") + 1, F.col("until"), 40)))
+    best = Window.partitionBy(*keys, "segment", "side", "level", "node").orderBy("place")
+    nodes = staged(nodes.withColumn("r", F.row_number().over(best)).where(F.col("r") <= n), "book-nodes")
+    used = nodes.groupBy(*keys, "segment").agg(F.collect_set("level").alias("levels"))  # at most one a level of the tree
+    span = bars.select(*keys, "segment", F.explode(F.sequence(F.floor(F.col("lo") / F.lit(chunk_bars)), F.floor(F.col("hi") / F.lit(chunk_bars)))).alias("chunk"))
+    under = span.join(used, [*keys, "segment"]).select(*keys, "segment", "chunk", F.explode("levels").alias("level")).withColumn("node", over(F.col("chunk"), F.col("level")))
+    whole = under.join(nodes, [*keys, "segment", "level", "node"]).select(*at, "place", "price", "size")
+    whole = staged(whole, "book-whole")
+
+    through = whole.select(*at, "place").unionByName(ends.where("before > 0 AND least > 0").select(*at, "place"))
+    # At most n of a chunk and side are gathered: the window leaves no more.
+    nth = through.withColumn("r", F.row_number().over(Window.partitionBy(*at).orderBy("place"))).where(F.col("r") == n).select(*at, F.col("place").alias("bound"))
+    return own, whole, nth
+
+
+def replay_book(events: DataFrame, bars: DataFrame, bar_seconds: int, n: int = 10, chunk_bars: int = 64, keys: list[str] = STREAM) -> DataFrame:
+    """(keys, segment, bar, bids, asks): the n best levels of both sides at the end of each emitted bar; none while a side is empty.
+
+    The best levels are worked out where one of them may change, and hold until the next such bar of the chunk. All
+    bars are multiples of bar_seconds, as assign_bars has them.
+    """
     step = bar_seconds * SECOND
-    placed, seeds = chunk_seeds(events, bars, chunk_bars * step, keys)
-    # Chunks without changes still have rows: each emitted bar span is cut by chunk.
-    spans = bars.select(*keys, "segment", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / (chunk_bars * step)), F.floor(F.col("hi") / (chunk_bars * step)))).alias("chunk"))
-    rows = placed.select(*keys, "segment", "chunk", "bar", "side", "price", "size").unionByName(seeds.withColumn("bar", F.lit(-1).cast("long")).select(*keys, "segment", "chunk", "bar", "side", "price", "size"))
-    group = [*keys, "segment", "chunk"]
-
-    def replay(key: tuple, span: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(span):
-            lo, hi, chunk = int(span["lo"].iloc[0]), int(span["hi"].iloc[0]), key[-1]
-            begin = max(lo, lo + -(-(chunk * chunk_bars * step - lo) // step) * step)
-            end = min(hi, (chunk + 1) * chunk_bars * step - 1)
-            changes = changes.sort_values("bar", kind="stable")
-            at, changed, book = 0, list(zip(changes["bar"], changes["side"], changes["price"], changes["size"])), Book(n)
-            for bar in range(begin, end + 1, step):
-                while at < len(changed) and changed[at][0] <= bar:
-                    book.set(*changed[at][1:])
-                    at += 1
-                if top := book.top():
-                    out.append((*key[:-1], bar, *top))
-        return pd.DataFrame(out, columns=[*keys, "segment", "bar", "bids", "asks"])
-
-    types = dict(events.dtypes)
-    schema = ", ".join([*[f"{k} {types[k]}" for k in keys], "segment long, bar long", TOP])
-    # New column ids: both sides come from the same tables.
-    spans, rows = spans.toDF(*spans.columns), rows.toDF(*rows.columns)
-    return spans.groupBy(*group).cogroup(rows.groupBy(*group)).applyInPandas(replay, schema)
+    number = lambda c: (F.col(c) / F.lit(step)).cast("long")
+    events = events.withColumn("b", number("bar")).drop("bar")
+    bars = bars.withColumns({"lo": number("lo"), "hi": number("hi")})
+    chunk, group = [*keys, "segment", "chunk"], [*keys, "segment", "chunk", "side"]
+    own, whole, nth = _by_chunk(events, bars, n, chunk_bars, keys)
+    place = F.when(F.col("side") == "buy", -F.col("price")).otherwise(F.col("price"))
+    near = own.withColumn("place", place).join(nth, group, "left").where("place <= coalesce(bound, place)")
+    w = Window.partitionBy(*group, "price").orderBy("b", "order")
+    end = (F.col("chunk") + 1) * chunk_bars
+    near = near.withColumn("until", F.coalesce(F.lead("b").over(w), end))
+
+    # Bars where a level begins or ends, and the first of each chunk.
+    spans = bars.select(*keys, "segment", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / F.lit(chunk_bars)), F.floor(F.col("hi") / F.lit(chunk_bars)))).alias("chunk"))
+    spans = spans.select(*chunk, F.greatest("lo", F.col("chunk") * chunk_bars).alias("begin"), F.least("hi", F.col("chunk") * chunk_bars + chunk_bars - 1).alias("end"))
+    size = F.struct("side", "place", "price", "size", "b", "until")
+    items = near.where("b < until").select(*chunk, size.alias("x")).unionByName(whole.select(*chunk, F.struct("side", "place", "price", "size", (F.col("chunk") * chunk_bars).cast("long").alias("b"), end.alias("until")).alias("x")))
+    found = near.groupBy(*chunk).agg(F.collect_set("b").alias("at"))  # at most a chunk's bars
+    points = spans.join(found, chunk, "left").withColumn("at", F.filter(F.coalesce("at", F.array().cast("array<bigint>")), lambda b: (b > F.col("begin")) & (b <= F.col("end"))))
+    points = points.withColumn("at", F.array_sort(F.concat(F.array("begin"), "at")))
+    stops = F.transform("at", lambda b, i: F.struct(b.alias("b"), F.coalesce(F.get("at", i + 1), F.col("end") + 1).alias("stop")))
+    points = points.select(*chunk, F.explode(stops).alias("p")).select(*chunk, "p.b", "p.stop")
+
+    live = points.join(items, chunk).where("x.size > 0 AND x.b <= b AND b < x.until")
+    one = F.struct(F.col("x.place").alias("place"), F.col("x.price").alias("px"), F.col("x.size").alias("sz"))
+    side = lambda s: F.collect_list(F.when(F.col("x.side") == s, one))
+    tops = live.groupBy(*chunk, "b", "stop").agg(side("buy").alias("bids"), side("sell").alias("asks")).where("size(bids) > 0 AND size(asks) > 0")
+    tops = tops.withColumns({"bids": _best(n)(F.col("bids")), "asks": _best(n)(F.col("asks"))})
+    return tops.select(*keys, "segment", F.explode(F.transform(F.sequence(F.col("b"), F.col("stop") - 1), lambda b: b * step)).alias("bar"), "bids", "asks")
 
 
 def book_features(top: DataFrame, n: int = 10) -> DataFrame:
