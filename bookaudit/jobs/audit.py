@@ -10,6 +10,7 @@ from ..functions.staging import staged
 from ..operators import audit as A
 from ..operators import patching as P
 from ..sources.fixtures import ctes, fixture
+from . import patching
 from .continuity import ALL_GRADED, _text_day
 from .continuity import _graded as _grades
 
@@ -42,17 +43,15 @@ def _artifacts(spark: SparkSession, d: str) -> DataFrame:
     return _sql(spark, d, ARTIFACTS, "artifacts")
 
 
-def _patched(graded: DataFrame) -> DataFrame:
-    """A patch report a day of the sequence capture, from its grade."""
-    g = graded.where("source = 'binance'")
-    reports = g.select("d", F.concat(F.lit("binance_"), F.col("d").cast("string")).alias("name"), F.col("updates").alias("records"), F.expr("IF(seq_gaps > 3, seq_gaps - 3, 0)").alias("sequence_gaps"), "time_gaps", F.least("seq_gaps", F.lit(3)).cast("long").alias("patch_records"))
-    return A.grade_patch(reports)
+def _patched(spark: SparkSession, d: str) -> DataFrame:
+    """The graded patch reports of every day, as the tables that the patch job leaves."""
+    return staged(A.grade_patch(patching.patch_counts(spark, d)), "patched")
 
 
-def _alerts(spark: SparkSession, d: str, graded: DataFrame | None = None) -> DataFrame:
+def _alerts(spark: SparkSession, d: str, graded: DataFrame | None = None, patched: DataFrame | None = None) -> DataFrame:
     cap = fixture(spark, d, "cap")
     graded = _graded(spark, d) if graded is None else graded
-    return A.build_alerts(graded, _patched(graded), staged(_files(spark, d), "files"), cap.select("d").distinct(), _artifacts(spark, d))
+    return A.build_alerts(graded, _patched(spark, d) if patched is None else patched, staged(_files(spark, d), "files"), cap.select("d").distinct(), _artifacts(spark, d))
 
 
 def prune_files(spark: SparkSession, d: str) -> DataFrame:
@@ -99,7 +98,7 @@ def overall_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def grade_patch(spark: SparkSession, d: str) -> DataFrame:
-    return _text_day(_patched(_graded(spark, d)))
+    return _text_day(_patched(spark, d))
 
 
 def build_alerts(spark: SparkSession, d: str) -> DataFrame:
@@ -120,7 +119,7 @@ def gap_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def patch_rows(spark: SparkSession, d: str) -> DataFrame:
-    return _text_day(A.patch_rows(_patched(_graded(spark, d))))
+    return _text_day(A.patch_rows(_patched(spark, d)))
 
 
 def pipeline_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -164,10 +163,10 @@ def badges(spark: SparkSession, d: str) -> DataFrame:
 def summary_lines(spark: SparkSession, d: str) -> DataFrame:
     from ..operators.quality import status_line
 
-    graded, artifacts, days = _graded(spark, d), _artifacts(spark, d), fixture(spark, d, "cap").select("d")
+    graded, patched, artifacts, days = _graded(spark, d), _patched(spark, d), _artifacts(spark, d), fixture(spark, d, "cap").select("d")
     pick = lambda c: F.max(F.when(F.col("kind") == "config", F.col(c))).alias(f"config_{c}")
     pipeline = artifacts.groupBy("d").agg(pick("path"), pick("status"), pick("sha256"), (F.dayofmonth("d") % 2 == 0).alias("git_available"), F.count_if(F.col("kind") == "script").alias("scripts_tracked"), F.count_if((F.col("kind") == "script") & (F.col("status") == "missing")).alias("missing_scripts"))
-    return _text_day(A.summary_lines(days, status_line(graded.where("dayofmonth(d) % 6 <> 1")), _patched(graded).where("dayofmonth(d) % 10 <> 2"), staged(_alerts(spark, d, graded), "alerts"), pipeline, SOURCES))
+    return _text_day(A.summary_lines(days, status_line(graded.where("dayofmonth(d) % 6 <> 1")), patched.where("dayofmonth(d) % 10 <> 2"), staged(_alerts(spark, d, graded, patched), "alerts"), pipeline, SOURCES))
 
 
 QUERIES = [
@@ -175,8 +174,10 @@ QUERIES = [
     patch_rows, pipeline_rows, audit_headline, patch_decisions, run_summary, threshold_count, badges, summary_lines,
 ]
 
-BASE = ALL_GRADED + f", {FILES}, {ARTIFACTS}, days AS (SELECT DISTINCT CAST(d AS VARCHAR) AS d FROM cap), ft AS (SELECT * REPLACE (CAST(d AS VARCHAR) AS d) FROM files) "
-PATCH = """pq AS (SELECT d, 'binance_' || d AS name, updates AS records, CASE WHEN seq_gaps > 3 THEN seq_gaps - 3 ELSE 0 END AS sequence_gaps, time_gaps, least(seq_gaps, 3) AS patch_records FROM graded WHERE source = 'binance'),
+BASE = ALL_GRADED.replace(ctes("cap"), ctes("cap", "m", "chg")) + f", {FILES}, {ARTIFACTS}, days AS (SELECT DISTINCT CAST(d AS VARCHAR) AS d FROM cap), ft AS (SELECT * REPLACE (CAST(d AS VARCHAR) AS d) FROM files) "
+PATCH = f"""{patching.PRIMARY}, {patching.CHAIN}, {patching.PATCHED}, {patching.PATCH_MEASURES}, {patching.TIMED}, {patching.INGAP}, {patching.TIME_MEASURES},
+pq AS (SELECT CAST(d AS VARCHAR) AS d, 'binance_' || d AS name, records, sequence_gaps, gaps_1 AS time_gaps, coalesce(patched, 0) AS patch_records, CAST(NULL AS BIGINT) AS patch_l2updates, CAST(NULL AS BIGINT) AS backup_inside_gaps FROM pms LEFT JOIN pgp USING (d) WHERE stream = 'merged'
+  UNION ALL SELECT CAST(d AS VARCHAR), 'coinbase_' || d, records, NULL, gaps_1, coalesce(tpn.n, 0), coalesce(tpn.n, 0), coalesce(tin.n, 0) FROM tms LEFT JOIN tpn USING (d) LEFT JOIN tin USING (d) WHERE stream = 'merged'),
 patched AS (SELECT *, CASE WHEN (sequence_gaps > 0 OR time_gaps > 0) AND patch_records > 0 THEN 'PATCH_PARTIAL' WHEN sequence_gaps > 0 OR time_gaps > 0 THEN 'PATCH_FAILED_OR_UNRESOLVED' ELSE 'PATCH_OK' END AS status FROM pq)"""
 ALERTS = PATCH + """,
 alerts AS (SELECT d, 'error' AS severity, 'quality_status' AS kind, source AS subject, source || ' quality status is ' || status AS message FROM graded WHERE status IN ('CAPTURE_GAP_UNRESOLVED', 'DIAGNOSTIC_ONLY', 'REJECT_CORRUPT_JSON', 'REJECT_NO_SNAPSHOT', 'NO_UPDATES')
@@ -215,7 +216,7 @@ ORACLE = {
     "quality_rows": BASE + f""", {ALERTS}, q AS (SELECT d, {', '.join(f"coalesce(max(CASE WHEN source = '{s}' THEN status END), 'n/a') AS {s}" for s in SOURCES[:3])} FROM graded GROUP BY d)
         SELECT q.*, (SELECT count(*) FROM ft WHERE ft.d = q.d AND role LIKE 'raw%') AS raw_files, (SELECT count(*) FROM ft WHERE ft.d = q.d AND role LIKE 'derived%') AS derived_files, (SELECT count(*) FROM alerts a WHERE a.d = q.d) AS alerts FROM q""",
     "gap_rows": ALL_GRADED + "SELECT d, source, status, updates, snapshots, json_errors, time_gaps AS gaps_ge, round(gap_seconds, 6) AS gap_seconds_ge, round(max_gap_seconds, 6) AS max_gap_seconds, CASE WHEN source LIKE 'binance%' THEN seq_gaps END AS sequence_gaps FROM graded",
-    "patch_rows": BASE + f", {PATCH} SELECT d, 'binance' AS exchange, status, records, patch_records, sequence_gaps, time_gaps, name AS report FROM patched",
+    "patch_rows": BASE + f", {PATCH} SELECT d, split_part(name, '_', 1) AS exchange, status, records, patch_records, sequence_gaps, time_gaps, name AS report FROM patched",
     "pipeline_rows": FILED + "SELECT CAST(d AS VARCHAR) AS d, coalesce(left(max(CASE WHEN kind = 'config' THEN sha256 END), 16), 'n/a') AS config_sha256, count(*) FILTER (kind = 'script') AS scripts_tracked, count(*) FILTER (kind = 'script' AND status = 'missing') AS missing_scripts FROM artifacts GROUP BY d",
     "audit_headline": BASE + f""", {ALERTS}, l AS (SELECT max(d) AS d FROM ft) SELECT (SELECT count(DISTINCT d) FROM ft) AS days, l.d, (SELECT count(*) FROM alerts a WHERE a.d = l.d) AS alerts, (SELECT count(*) FROM ft WHERE ft.d = l.d AND role LIKE 'raw%') AS raw_files,
         (SELECT count(*) FROM ft WHERE ft.d = l.d AND role LIKE 'derived%') AS derived_files, (SELECT {GB.format('sum(bytes)')} FROM ft WHERE role LIKE 'raw%') AS raw_gb, (SELECT {GB.format('sum(bytes)')} FROM ft WHERE role LIKE 'derived%') AS derived_gb FROM l""",
@@ -227,7 +228,7 @@ ORACLE = {
         SELECT source, d, CASE WHEN st IS NULL THEN 'n/a' WHEN st = 'OK' THEN 'GOOD: OK' WHEN st = 'SEGMENTED' THEN 'WATCH: SEGMENTED' ELSE 'CHECK: ' || st END AS badge, CASE WHEN day(CAST(d AS DATE)) % 5 <> 0 THEN left(sha256(source || d), 16) ELSE 'n/a' END AS hash,
         {GB.format('CASE WHEN day(CAST(d AS DATE)) <> 3 THEN updates * 12345678 END')} AS gb FROM g""",
     "summary_lines": BASE + f""", {ALERTS}, s AS (SELECT unnest({SOURCES}) AS source, unnest(range(4)) AS pos), ql AS (SELECT d, source, {LINE} AS line FROM graded WHERE day(CAST(d AS DATE)) % 6 <> 1),
-        pr AS (SELECT d, '- ' || name || ': ' || status || ' | records=' || records || ' | patch_records=' || patch_records || ' | patch_l2updates=None | backup_inside_gaps=None | seq_gaps=' || sequence_gaps || ' | gaps>=2s=' || time_gaps AS line
+        pr AS (SELECT d, '- ' || name || ': ' || status || ' | records=' || records || ' | patch_records=' || patch_records || ' | patch_l2updates=' || coalesce(CAST(patch_l2updates AS VARCHAR), 'None') || ' | backup_inside_gaps=' || coalesce(CAST(backup_inside_gaps AS VARCHAR), 'None') || ' | seq_gaps=' || coalesce(CAST(sequence_gaps AS VARCHAR), 'None') || ' | gaps>=2s=' || time_gaps AS line
           FROM patched WHERE day(CAST(d AS DATE)) % 10 <> 2),
         cf AS (SELECT CAST(d AS VARCHAR) AS d, max(path) FILTER (kind = 'config') AS path, max(status) FILTER (kind = 'config') AS status, max(sha256) FILTER (kind = 'config') AS sha, count(*) FILTER (kind = 'script') AS n, count(*) FILTER (kind = 'script' AND status = 'missing') AS gone FROM artifacts GROUP BY ALL),
         l AS (SELECT d, 0 AS section, unnest(['# LOB Daily Data Summary - ' || d, '', '## Quality']) AS line, unnest([1, 2, 3]) AS k, '' AS k2 FROM days

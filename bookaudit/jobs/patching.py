@@ -87,6 +87,41 @@ def patch_stats(spark: SparkSession, d: str) -> DataFrame:
     return _text_day(out.withColumn("sequence_gaps", F.coalesce("sequence_gaps", F.lit(0)).cast("long")))
 
 
+#: Fixture events are minutes apart: the threshold of a gap stands beside smaller and larger ones.
+REPORT_STEPS = [THRESHOLD / 10, float(THRESHOLD), 4.0 * THRESHOLD]
+
+
+def _reports(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Reports of the patches of every day, by ids and by time."""
+    primary, backup, gaps, chained = _chained(spark, d)
+    by_id = P.id_patch_report(primary, backup, _patched(spark, d), gaps, chained, DAY, REPORT_STEPS)
+    m = fixture(spark, d, "m").select("source", "d", "arrival", "us")
+    inside, timed = _gap_changes(spark, d), _time_gaps(spark, d)
+    kept = P.dedup_changes(P.valid_change(inside), DAY)
+    side = lambda s: m.where(F.col("source") == s).drop("source")
+    by_time = P.time_patch_report(side("coinbase"), side("coinbase_backup"), timed, inside, kept, P.rebuilt_messages(kept, DAY), DAY, REPORT_STEPS)
+    return by_id, by_time
+
+
+def id_patch_report(spark: SparkSession, d: str) -> DataFrame:
+    r = _reports(spark, d)[0]
+    stats = lambda s: [F.col(f"{s}.{c}").alias(f"{s}_{c}") for c in ("records", "depth_updates", "json_errors", "sequence_gaps")] + [F.col(f"{s}.temporal_gaps")[f"{t:g}"]["count"].alias(f"{s}_gaps_{i}") for i, t in enumerate(REPORT_STEPS)]
+    gaps = F.array_join(F.transform("patch.gaps", lambda g: F.concat_ws("-", g["missing_from"], g["missing_to"], g["patch_records"])), ",")
+    return _text_day(r.select("d", *stats("primary"), *stats("backup"), *stats("merged"), "patch.primary_sequence_gaps_detected", "patch.backup_patch_records", F.coalesce(gaps, F.lit("")).alias("gaps")))
+
+
+def time_patch_report(spark: SparkSession, d: str) -> DataFrame:
+    r = _reports(spark, d)[1]
+    stat = lambda s, i, c: F.col(f"{s}.gap_stats")[f"{REPORT_STEPS[i]:g}"][c].alias(f"{s}_{c}_{i}")
+    stats = [stat(s, i, c) for s in ("primary", "merged") for i in range(3) for c in ("count", "max_seconds")]
+    return _text_day(r.select("d", "primary.gaps_detected", F.col("primary.records").alias("before"), "backup.*", *[f"merged.{c}" for c in ("records", "primary_records", "backup_patch_records", "patch_l2updates", "first_us", "last_us")], *stats))
+
+
+def patch_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What grading reads of both kinds of reports."""
+    return P.report_counts(F.col("d").cast("string"), *_reports(spark, d), DAY, f"{THRESHOLD:g}")
+
+
 def pair_quality(spark: SparkSession, d: str) -> DataFrame:
     return _text_day(P.pair_quality(_graded(spark, d)))
 
@@ -192,7 +227,7 @@ def source_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = [
-    dedup_latest, gap_candidates, chain_cover, gap_reports, with_merge_meta, apply_patches, merge_order_by_id, patch_stats, pair_quality, patchable, in_gap, valid_change, dedup_changes,
+    dedup_latest, gap_candidates, chain_cover, gap_reports, with_merge_meta, apply_patches, merge_order_by_id, patch_stats, id_patch_report, time_patch_report, pair_quality, patchable, in_gap, valid_change, dedup_changes,
     patch_messages, interleave_patches, keep_mergeable, dedup_key, payload_hash, stream_counts, merge_streams, merge_order_by_time, source_counts,
 ]
 
@@ -219,7 +254,28 @@ REC = f"WITH {ctes('m')},\n{RECORDS},\n{KEYED} "
 PAIRS = """pq AS (SELECT p.source AS exchange, p.d, p.status AS primary_status, p.updates AS primary_updates, p.seq_gaps AS primary_seq_gaps, b.status AS backup_status, b.updates AS backup_updates, b.seq_gaps AS backup_seq_gaps
   FROM graded p LEFT JOIN graded b ON b.d = p.d AND b.source = p.source || '_backup' WHERE p.source NOT LIKE '%_backup')"""
 
+GAPS_AT = ", ".join(f"count(*) FILTER ((us - p) / 1e6 >= {t}) AS gaps_{i}, coalesce(max(us - p) FILTER ((us - p) / 1e6 >= {t}), 0) / 1e6 AS max_{i}" for i, t in enumerate(REPORT_STEPS))
+PATCH_MEASURES = f"""pev AS (SELECT 'primary' AS stream, d, arrival, us, first_id, last_id FROM prim UNION ALL SELECT 'backup', d, arrival, us, first_id, last_id FROM back UNION ALL SELECT 'merged', d, arrival, us, first_id, last_id FROM pat),
+psq AS (SELECT stream, d, count(*) AS records, count(*) FILTER (first_id <> p + 1) AS sequence_gaps FROM (SELECT *, lag(last_id) OVER (PARTITION BY stream, d ORDER BY first_id, last_id, arrival) AS p FROM pev) GROUP BY ALL),
+ptm AS (SELECT stream, d, {GAPS_AT} FROM (SELECT *, lag(us) OVER (PARTITION BY stream, d ORDER BY us) AS p FROM pev) GROUP BY ALL),
+pms AS (SELECT * FROM psq JOIN ptm USING (stream, d)),
+pgr AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY missing_from, missing_to) AS r FROM (SELECT g.d, g.missing_from, g.missing_to, count(*) FILTER (ch.kept) AS n FROM gaps g LEFT JOIN ch USING (d, missing_from, missing_to) GROUP BY g.d, g.missing_from, g.missing_to)),
+pgp AS (SELECT d, count(*) AS detected, CAST(sum(n) AS BIGINT) AS patched, string_agg(missing_from || '-' || missing_to || '-' || n, ',' ORDER BY r) FILTER (r <= 20) AS gaps FROM pgr GROUP BY d)"""
+TIME_MEASURES = f"""tpm AS (SELECT DISTINCT d, arrival, us FROM kc),
+tev AS (SELECT 'primary' AS stream, d, us FROM m WHERE source = 'coinbase' UNION ALL SELECT 'merged', d, us FROM m WHERE source = 'coinbase' UNION ALL SELECT 'merged', d, us FROM tpm),
+tms AS (SELECT stream, d, count(*) AS records, min(us) AS first_us, max(us) AS last_us, {GAPS_AT} FROM (SELECT *, lag(us) OVER (PARTITION BY stream, d ORDER BY us) AS p FROM tev) GROUP BY ALL),
+tin AS (SELECT d, count(*) AS n FROM m WHERE source = 'coinbase_backup' AND EXISTS (SELECT 1 FROM tg WHERE tg.d = m.d AND tg.start_us < m.us AND m.us < tg.end_us) GROUP BY d),
+tch AS (SELECT d, count(*) AS seen, count(*) FILTER (parts >= 3) AS valid FROM chg c WHERE source = 'coinbase_backup' AND EXISTS (SELECT 1 FROM tg WHERE tg.d = c.d AND tg.start_us < c.us AND c.us < tg.end_us) GROUP BY d),
+tkc AS (SELECT d, count(*) AS n FROM kc GROUP BY d), tpn AS (SELECT d, count(*) AS n FROM tpm GROUP BY d), tgn AS (SELECT d, count(*) AS n FROM tg GROUP BY d), tbk AS (SELECT d, count(*) AS n FROM m WHERE source = 'coinbase_backup' GROUP BY d)"""
+
 ORACLE = {
+    "id_patch_report": SEQ + f""", {PATCH_MEASURES} SELECT CAST(d AS VARCHAR) AS d, {", ".join(f"{s}.records AS {s}_records, {s}.records AS {s}_depth_updates, 0::BIGINT AS {s}_json_errors, {s}.sequence_gaps AS {s}_sequence_gaps, " + ", ".join(f"{s}.gaps_{i} AS {s}_gaps_{i}" for i in range(3)) for s in ("primary", "backup", "merged"))},
+        coalesce(detected, 0) AS primary_sequence_gaps_detected, coalesce(patched, 0) AS backup_patch_records, coalesce(gaps, '') AS gaps
+        FROM (SELECT * FROM pms WHERE stream = 'primary') AS primary LEFT JOIN (SELECT * FROM pms WHERE stream = 'backup') AS backup USING (d) LEFT JOIN (SELECT * FROM pms WHERE stream = 'merged') AS merged USING (d) LEFT JOIN pgp USING (d)""".replace("AS primary LEFT", "AS prime LEFT").replace("primary.", "prime."),
+    "time_patch_report": f"""WITH {ctes('m', 'chg')}, {TIMED}, {INGAP}, {TIME_MEASURES} SELECT CAST(d AS VARCHAR) AS d, coalesce(tgn.n, 0) AS gaps_detected, p.records AS before, coalesce(tbk.n, 0) AS l2updates_seen, coalesce(tin.n, 0) AS l2updates_inside_primary_gaps,
+        coalesce(seen, 0) AS changes_seen_inside_gaps, coalesce(tkc.n, 0) AS changes_kept_inside_gaps, coalesce(valid, 0) - coalesce(tkc.n, 0) AS changes_deduped_inside_gaps, g.records, p.records AS primary_records, coalesce(tpn.n, 0) AS backup_patch_records,
+        coalesce(tpn.n, 0) AS patch_l2updates, g.first_us, g.last_us, {", ".join(f"{x}.gaps_{i} AS {s}_count_{i}, {x}.max_{i} AS {s}_max_seconds_{i}" for x, s in (("p", "primary"), ("g", "merged")) for i in range(3))}
+        FROM (SELECT * FROM tms WHERE stream = 'primary') AS p JOIN (SELECT * FROM tms WHERE stream = 'merged') AS g USING (d) LEFT JOIN tgn USING (d) LEFT JOIN tbk USING (d) LEFT JOIN tin USING (d) LEFT JOIN tch USING (d) LEFT JOIN tkc USING (d) LEFT JOIN tpn USING (d)""",
     "dedup_latest": f"WITH {ctes('m')} SELECT CAST(d AS VARCHAR) AS d, us, k, max(arrival) AS arrival, arg_max(value, arrival) AS value FROM m WHERE source = 'coinbase_backup' GROUP BY d, us, k",
     "gap_candidates": SEQ + "SELECT CAST(d AS VARCHAR) AS d, missing_from, missing_to, first_id, last_id, us FROM cand",
     "chain_cover": SEQ + "SELECT CAST(d AS VARCHAR) AS d, missing_from, missing_to, CAST(step AS INTEGER) AS step, first_id, last_id, us FROM ch WHERE kept",

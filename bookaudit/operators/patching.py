@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.intervals import CELL, overlapping
-from ..functions.scalars import seconds
+from ..functions.scalars import seconds, threshold_count
 from ..functions.sliced import ARRIVALS, MICROS, run_steps, running_max
+from .continuity import gap_stats, seq_gaps_by_id, time_gaps_sorted
+
+#: Thresholds of the gap counts in a report of a patch by ids and of one by time, in seconds.
+ID_THRESHOLDS, TIME_THRESHOLDS = [0.5, 1.0, 2.0, 5.0, 10.0], [1.0, 2.0, 5.0, 10.0, 30.0, 60.0]
 
 
 def dedup_latest(records: DataFrame, key: list[str], order: str = "arrival") -> DataFrame:
@@ -57,6 +61,89 @@ def gap_reports(gaps: DataFrame, chained: DataFrame, keys: list[str]) -> DataFra
     return out.select(*gap, "prev_us", "next_us", F.coalesce("complete", F.col("missing_from") > F.col("missing_to")).alias("complete"), zero("patch_records"), zero("candidate_records"))
 
 
+def stream_measures(streams: DataFrame, thresholds: list[float], keys: list[str]) -> DataFrame:
+    """Each stream of a key by name, measured on its own rows: records, updates, bounds, sequence gaps and gaps in time.
+
+    streams: stream, the keys, msg, arrival, us, first_id, last_id. temporal_gaps is a map from thresholds as text.
+    """
+    key = ["stream", *keys]
+    updates = streams.where("msg = 'update'")
+    totals = streams.groupBy(*key).agg(F.count("*").alias("records"), F.count_if(F.col("msg") == "update").alias("updates"), F.count_if(F.col("msg") == "json_error").alias("json_errors"), F.min("us").alias("first_us"), F.max("us").alias("last_us"))
+    sequence = seq_gaps_by_id(updates, key).groupBy(*key).agg(F.count("*").alias("sequence_gaps"))
+    label = F.regexp_replace(F.col("threshold").cast("string"), r"\.0$", "")
+    found = gap_stats(time_gaps_sorted(updates, key), streams, thresholds, key)
+    found = found.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct(label, F.struct(F.col("gaps").alias("count"), "total_seconds", "max_seconds")))).alias("temporal_gaps"))  # one a threshold
+    return totals.join(sequence, key, "left").join(found, key).withColumn("sequence_gaps", F.coalesce("sequence_gaps", F.lit(0)).cast("long"))
+
+
+def _side_by_side(measures: DataFrame, keys: list[str], names: list[str], columns: list[str]) -> DataFrame:
+    """A struct column for each stream of the measures."""
+    pick = lambda n: F.first(F.when(F.col("stream") == n, F.struct(*columns)), ignorenulls=True).alias(n)
+    return measures.groupBy(*keys).agg(*map(pick, names))
+
+
+def _first(rows: DataFrame, keys: list[str], order: list[str], columns: list[str], n: int) -> DataFrame:
+    """The first n rows of each key as a list, and how many there are."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    some = rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", F.struct(*columns).alias("x")))), lambda x: x["x"]).alias("examples"))
+    return rows.groupBy(*keys).agg(F.count("*").alias("count")).join(some, keys)
+
+
+def id_patch_report(primary: DataFrame, backup: DataFrame, merged: DataFrame, gaps: DataFrame, chained: DataFrame, keys: list[str], thresholds: list[float] | None = None, examples: int = 20) -> DataFrame:
+    """Report of a patch by ids, one row a key: primary, backup and merged measured alike, and what was done about the gaps.
+
+    primary, backup, merged: keys, msg, arrival, us, first_id, last_id. patch lists the first gaps, and counts all.
+    """
+    cols = [*keys, "msg", "arrival", "us", "first_id", "last_id"]
+    names = ["primary", "backup", "merged"]
+    every = [df.select(F.lit(n).alias("stream"), *cols) for n, df in zip(names, (primary, backup, merged))]
+    measures = stream_measures(every[0].unionByName(every[1]).unionByName(every[2]), thresholds or ID_THRESHOLDS, keys)
+    out = _side_by_side(measures, keys, names, ["records", F.col("updates").alias("depth_updates"), "json_errors", "sequence_gaps", "temporal_gaps"])
+    done = gap_reports(gaps, chained, keys)
+    sums = done.groupBy(*keys).agg(F.count("*").alias("primary_sequence_gaps_detected"), F.count_if("complete").alias("complete"), F.sum("patch_records").alias("backup_patch_records"))
+    listed = _first(done, keys, ["missing_from", "missing_to"], ["missing_from", "missing_to", "prev_us", "next_us", "complete", "patch_records", "candidate_records"], examples)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+    patch = F.struct(zero("primary_sequence_gaps_detected"), zero("complete"), zero("backup_patch_records"), F.col("examples").alias("gaps")).alias("patch")
+    return out.join(sums, keys, "left").join(listed.drop("count"), keys, "left").select(*keys, "primary", "backup", patch, "merged")
+
+
+def time_patch_report(primary: DataFrame, backup: DataFrame, gaps: DataFrame, inside: DataFrame, kept: DataFrame, patches: DataFrame, keys: list[str], thresholds: list[float] | None = None, examples: int = 20) -> DataFrame:
+    """Report of a patch by time, one row a key of the primary.
+
+    primary, backup: keys, arrival, us of updates. gaps: keys, gap_seq, start_us, end_us. inside: changes of the backup in
+    gaps (keys, arrival, parts); kept: those left by dedup_changes; patches: the messages rebuilt of these.
+    """
+    none = F.lit(None).cast("long")
+    row = lambda n, df: df.select(F.lit(n).alias("stream"), *keys, F.lit("update").alias("msg"), "arrival", "us", none.alias("first_id"), none.alias("last_id"))
+    every = row("primary", primary).unionByName(row("merged", primary)).unionByName(row("merged", patches))
+    measures = stream_measures(every, thresholds or TIME_THRESHOLDS, keys)
+    out = _side_by_side(measures, keys, ["primary", "merged"], ["records", "updates", "first_us", "last_us", "temporal_gaps"])
+    listed = _first(gaps.withColumn("seconds", gap_seconds("start_us", "end_us")), keys, ["gap_seq"], ["start_us", "end_us", "seconds"], examples)
+    count = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
+    in_gaps = inside.groupBy(*keys).agg(F.count("*").alias("changes_seen"), F.count_if(F.col("parts") >= 3).alias("changes_valid"))
+    for part in (listed.withColumnRenamed("count", "gaps_detected"), count(backup, "l2updates_seen"), count(in_gap(backup, gaps, keys), "l2updates_inside_primary_gaps"), in_gaps, count(kept, "changes_kept"), count(patches, "patch_l2updates")):
+        out = out.join(part, keys, "left")
+    zero = lambda c, name=None: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(name or c)
+    return out.select(
+        *keys,
+        F.struct("primary.records", F.col("primary.updates").alias("l2updates"), zero("gaps_detected"), F.col("examples").alias("gaps"), F.col("primary.temporal_gaps").alias("gap_stats")).alias("primary"),
+        F.struct(zero("l2updates_seen"), zero("l2updates_inside_primary_gaps"), zero("changes_seen", "changes_seen_inside_gaps"), zero("changes_kept", "changes_kept_inside_gaps"), (zero("changes_valid") - zero("changes_kept")).alias("changes_deduped_inside_gaps")).alias("backup"),
+        F.struct("merged.records", F.col("primary.records").alias("primary_records"), zero("patch_l2updates", "backup_patch_records"), F.col("merged.updates").alias("l2updates"), zero("patch_l2updates"), "merged.first_us", "merged.last_us", F.col("merged.temporal_gaps").alias("gap_stats")).alias("merged"),
+    )
+
+
+def report_counts(name: Column, id_reports: DataFrame | None, time_reports: DataFrame | None, keys: list[str], threshold: str = "2") -> DataFrame:
+    """What grading and summaries read of the reports: name, records, gaps left, patch records, updates inside gaps."""
+    none = F.lit(None).cast("long")
+    left = lambda c: threshold_count(F.transform_values(c, lambda _, v: v["count"]), threshold)
+    parts = []
+    if id_reports is not None:
+        parts.append(id_reports.select(*keys, F.concat(F.lit("binance_"), name).alias("name"), "merged.records", "merged.sequence_gaps", left("merged.temporal_gaps").alias("time_gaps"), F.col("patch.backup_patch_records").alias("patch_records"), none.alias("patch_l2updates"), none.alias("backup_inside_gaps")))
+    if time_reports is not None:
+        parts.append(time_reports.select(*keys, F.concat(F.lit("coinbase_"), name).alias("name"), "merged.records", none.alias("sequence_gaps"), left("merged.gap_stats").alias("time_gaps"), F.col("merged.backup_patch_records").alias("patch_records"), "merged.patch_l2updates", F.col("backup.l2updates_inside_primary_gaps").alias("backup_inside_gaps")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def with_merge_meta(df: DataFrame, source: str, sources: list[str], filled: Column, extra: dict[str, Column] | None = None, meta: Column | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """Adds merge_meta, the provenance struct, and drops helper columns."""
     parts = [F.lit(source).alias("source"), F.array(*map(F.lit, sources)).alias("sources"), filled.alias("gap_filled")]
