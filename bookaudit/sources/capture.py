@@ -56,9 +56,9 @@ def read_trades(lines: DataFrame) -> DataFrame:
     )
 
 
-def write_stream(df: DataFrame, order: list[Column], path: str, partitions: int = 200) -> None:
-    """A merged stream as gzip JSON lines in merge order: files and their rows are ranges of the order."""
-    keyed = df.withColumns({f"_o{i}": c for i, c in enumerate(order)}) if all(isinstance(c, Column) for c in order) else df
+def write_stream(df: DataFrame, order: list[Column | str], path: str, partitions: int = 200) -> None:
+    """A merged stream as gzip JSON lines in merge order: files and their rows are ranges of the order (names or columns, nulls first)."""
+    keyed = df.withColumns({f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)})
     names = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(order))]
     rows = keyed.repartitionByRange(partitions, *names).sortWithinPartitions(*names)
     rows.select(F.to_json(F.struct(*df.columns)).alias("value")).write.option("compression", "gzip").text(path)
