@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -98,6 +99,11 @@ def text_tokenizer(path: str) -> TextTokenizer:
     return _TOKENIZERS[path]
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    """A document's ids and its end as little-endian 16-bit numbers."""
+    return struct.pack(f"<{len(ids) + 1}H", *ids, END)
+
+
 def _tokenized(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -105,7 +111,7 @@ def _tokenized(path: str):
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                ids = [np.array([*ids_of(t or ""), END], "<u2").tobytes() for t in part.column(1).to_pylist()]
+                ids = [as_bytes(ids_of(t or "")) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return run
@@ -117,11 +123,28 @@ def token_ids(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_tokenized(tokenizer or default_tokenizer()), f"doc_id {kind}, ids binary")
 
 
+_PLACES = np.zeros(1 << 16, np.int32)
+
+
+def distinct(ids: np.ndarray) -> np.ndarray:
+    """The different ids of a document, in the order of their last occurrences; no sort."""
+    places, at = ids.astype(np.intp), np.arange(len(ids), dtype=np.int32)
+    _PLACES[places] = at
+    return ids[_PLACES[places] == at]
+
+
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different ids, occurrences of each)."""
+    terms = distinct(ids)
+    _PLACES[terms] = np.arange(len(terms))
+    return terms, np.bincount(_PLACES[ids], minlength=len(terms))
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df = np.zeros(VOCABULARY, np.int64)
     for b in batches:
-        for ids in b.column(0).to_pylist():
-            df[np.unique(np.frombuffer(ids, "<u2"))] += 1
+        for ids in b.column(0):
+            df[distinct(np.frombuffer(ids.as_buffer(), "<u2"))] += 1
     some = np.flatnonzero(df)
     yield pa.RecordBatch.from_pydict({"id": pa.array(some), "df": pa.array(df[some])})
 
@@ -135,7 +158,7 @@ def projected(docs: list[np.ndarray], idf: np.ndarray, mean: float) -> np.ndarra
         _PROJECTION.append(np.random.default_rng(20240608).standard_normal((VOCABULARY, DIMENSIONS), np.float32))
     out = np.zeros((len(docs), DIMENSIONS), np.float32)
     for i, ids in enumerate(docs):
-        terms, tf = np.unique(ids, return_counts=True)
+        terms, tf = counted(ids)
         weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
         out[i] = weight.astype(np.float32) @ _PROJECTION[0][terms]
     return out
@@ -240,8 +263,8 @@ class Shard:
 
     def nearest(self, ids: np.ndarray, used: np.ndarray) -> list[int]:
         """Unused documents with the best BM25 score for the rarest terms of ids that unused documents have."""
-        terms = np.unique(ids)
-        terms = terms[np.argsort(-self.idf[terms], kind="stable")]
+        terms = distinct(ids)
+        terms = terms[np.lexsort((terms, -self.idf[terms]))]
         chosen = []
         for t in terms.tolist():
             span = slice(self.start[t], self.start[t + 1])
