@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import continuity as C
 from ..operators import quality as Q
+from ..operators import report as R
 from ..sources.fixtures import ctes, fixture
 
 #: Thresholds in seconds that suit the fixture's cadence.
@@ -48,9 +49,12 @@ def capture_totals(spark: SparkSession, d: str) -> DataFrame:
     return _text_day(Q.capture_totals(_cap(spark, d), start=RANGE[0], end=RANGE[1]))
 
 
+def _half() -> Column:
+    return F.floor(F.pmod(F.col("us"), F.lit(86_400_000_000)) / F.lit(43_200_000_000))
+
+
 def file_totals(spark: SparkSession, d: str) -> DataFrame:
-    half = F.floor(F.pmod(F.col("us"), F.lit(86_400_000_000)) / F.lit(43_200_000_000))
-    return _text_day(Q.file_totals(_cap(spark, d).withColumn("half", half), ["source", "d", "half"]))
+    return _text_day(Q.file_totals(_cap(spark, d).withColumn("half", _half()), ["source", "d", "half"]).drop("subscriptions", "bytes", "min_us", "max_us"))
 
 
 def control_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -120,7 +124,9 @@ def status_line(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
-    return _text_day(Q.quality_report(_graded(spark, d)))
+    path = F.concat("source", F.lit("/"), F.col("d").cast("string"), F.lit("_"), _half().cast("string"))
+    cap = _cap(spark, d).withColumn("path", path).withColumn("line", F.col("arrival"))
+    return _text_day(R.quality_report(R.source_reports(cap, THRESHOLD, STEPS)))
 
 
 def iso_times(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +176,39 @@ BYID = """w2 AS (SELECT source, CAST(d AS VARCHAR) AS d, prev_last_id + 1 AS mis
   (SELECT *, lag(last_id) OVER w AS prev_last_id, lag(us) OVER w AS prev_us FROM cap WHERE msg = 'update' AND first_id IS NOT NULL AND last_id IS NOT NULL WINDOW w AS (PARTITION BY source, d ORDER BY first_id, last_id, arrival))
   WHERE first_id <> prev_last_id + 1)"""
 
+
+def _iso(us: str) -> str:
+    return f"strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%S') || CASE WHEN {us} % 1000000 <> 0 THEN '.' || lpad(CAST({us} % 1000000 AS VARCHAR), 6, '0') ELSE '' END || 'Z'"
+
+
+def _report_sql() -> str:
+    step = lambda t: f"""'{t:g}': {{'count': count(*) FILTER (seconds >= {t}), 'total_seconds': coalesce(sum(us - prev_us) FILTER (seconds >= {t}), 0) / 1e6, 'max_seconds': coalesce(max(us - prev_us) FILTER (seconds >= {t}), 0) / 1e6}}"""
+    zero = ", ".join(f"'{t:g}': {{'count': CAST(0 AS BIGINT), 'total_seconds': CAST(0 AS DOUBLE), 'max_seconds': CAST(0 AS DOUBLE)}}" for t in STEPS)
+    rules = ", ".join(f"'{k}': '{v}'" for k, v in R.STATUS_RULES.items())
+    return f"""WITH {ctes('cap')}, capf AS (SELECT *, CAST(d AS VARCHAR) AS day, source || '/' || CAST(d AS VARCHAR) || '_' || CAST(us % 86400000000 // 43200000000 AS VARCHAR) AS path FROM cap),
+{SEG.replace('FROM cap ', 'FROM capf ')}, {SEGMENTS}, {SORTED}, {GRADED},
+pf AS (SELECT source, day AS d, path, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) AS lines, count(*) FILTER (msg = 'json_error') AS json_errors, count(*) FILTER (msg = 'update') AS updates, count(*) FILTER (msg = 'snapshot') AS snapshots,
+  count(*) FILTER (msg = 'control') AS control_events, arg_min(us, arrival) FILTER (msg = 'update') AS first_us, arg_max(us, arrival) FILTER (msg = 'update') AS last_us FROM capf GROUP BY ALL),
+fl AS (SELECT source, d, list({{'path': path, 'bytes': bytes, 'lines': lines, 'json_errors': json_errors, 'updates': updates, 'snapshots': snapshots, 'control_events': control_events, 'time_first': {_iso('first_us')}, 'time_last': {_iso('last_us')}}} ORDER BY path) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM pf GROUP BY ALL),
+cn AS (SELECT source, day AS d, coalesce(ctl, 'unknown') AS event, count(*) AS n FROM capf WHERE msg = 'control' GROUP BY ALL),
+cl AS (SELECT source, d, map_from_entries(list((event, n) ORDER BY event)) AS controls FROM cn GROUP BY ALL),
+th AS (SELECT source, d, {{{', '.join(map(step, STEPS))}}} AS thresholds FROM w3 WHERE seconds >= {min(STEPS)} GROUP BY ALL),
+tx AS (SELECT source, d, list({{'seconds': seconds, 'from': {_iso('prev_us')}, 'to': {_iso('us')}}} ORDER BY us) AS shown FROM (SELECT *, row_number() OVER (PARTITION BY source, d ORDER BY us) AS r FROM w3 WHERE seconds >= {THRESHOLD}) WHERE r <= 20 GROUP BY ALL),
+nm AS (SELECT source, day AS d, count(*) FILTER (us - p < -1000) AS nonmonotone FROM (SELECT *, lag(us) OVER (PARTITION BY source, d ORDER BY arrival) AS p FROM capf WHERE msg = 'update') GROUP BY ALL),
+jx AS (SELECT source, day AS d, list(json_object('prev_u', prev_last_id, 'next_U', first_id, 'next_u', last_id, 'missing', first_id - prev_last_id - 1, 'time', {_iso('us')}, 'previous_time', {_iso('prev_us')}, 'file', path, 'line', arrival) ORDER BY arrival) AS jumps
+  FROM (SELECT *, row_number() OVER (PARTITION BY source, d ORDER BY arrival) AS r FROM lagged WHERE msg = 'update' AND first_id <> prev_last_id + 1) WHERE r <= 20 GROUP BY ALL),
+sx AS (SELECT s.source, s.d, s.segment AS num, s.bridges_snapshot = false OR s.sequence_gaps > 0 AS bad, {{'snapshot_file': p.path, 'snapshot_line': p.arrival, 'snapshot_time': {_iso('snapshot_us')}, 'snapshot_id': s.snap_id, 'updates': s.updates, 'bridges_snapshot': s.bridges_snapshot, 'sequence_gaps': s.sequence_gaps}} AS x
+  FROM segments s JOIN seg p ON p.msg = 'snapshot' AND p.source = s.source AND p.day = s.d AND p.segment = s.segment),
+sl AS (SELECT source, d, list(x ORDER BY num) AS segments, coalesce(list(x ORDER BY num) FILTER (bad), []) AS bad_list FROM sx GROUP BY ALL),
+rep AS (SELECT g.source, g.d, CAST(to_json({{'files': files, 'totals': {{'lines': g.lines, 'json_errors': json_errors, 'updates': updates, 'snapshots': snapshots, 'control_events': control_events, 'subscriptions': CAST(0 AS BIGINT), 'bytes': bytes}},
+  'controls': coalesce(controls, MAP {{}}), 'time_first': {_iso('first_us')}, 'time_last': {_iso('last_us')}, 'temporal_gaps': {{'thresholds': coalesce(thresholds, {{{zero}}}), 'examples_ge_{THRESHOLD:g}s': coalesce(shown, []), 'nonmonotone': coalesce(nonmonotone, 0)}},
+  'sequence_gaps': {{'count': seq_gaps, 'examples': coalesce(jumps, [])}}, 'segments': coalesce(sl.segments, []), 'bad_segments': coalesce(bad_list, []), 'status': status}}) AS VARCHAR) AS report
+  FROM graded g JOIN fl USING (source, d) LEFT JOIN cl USING (source, d) LEFT JOIN th USING (source, d) LEFT JOIN tx USING (source, d) LEFT JOIN nm USING (source, d) LEFT JOIN jx USING (source, d) LEFT JOIN sl USING (source, d))
+SELECT d, '{{"date":"' || d || '","sources":{{' || string_agg('"' || source || '":' || report, ',' ORDER BY source) || '}},"status_rules":' || CAST(to_json({{{rules}}}) AS VARCHAR) || '}}' AS value FROM rep GROUP BY d"""
+
+
 ORACLE = {
+    "quality_report": _report_sql(),
     "event_time": f"WITH {ctes('raw')} SELECT id, source, {EVENT_US} AS event_us FROM raw",
     "classify_message": f"""WITH {ctes('raw')} SELECT id, source, CASE WHEN kind = 'control_event' THEN 'control' WHEN type = 'subscriptions' THEN 'subscription'
         WHEN source LIKE 'binance%' AND kind = 'rest_snapshot' THEN 'snapshot' WHEN source LIKE 'binance%' AND (kind = 'ws_depth_update' OR e_type = 'depthUpdate') THEN 'update'

@@ -16,9 +16,9 @@ from ..functions.sliced import ARRIVALS, MICROS, previous, running, running_sum
 KEY = ["source", "d"]
 
 
-def followed(messages: DataFrame, keys: list[str] = KEY, width: int = ARRIVALS) -> DataFrame:
-    """Snapshots and updates with their segment, the last id-bearing row since the segment's snapshot, and is_gap."""
-    rows = messages.where("msg IN ('update', 'snapshot')").select(*keys, "msg", "arrival", "us", "first_id", "last_id", "snap_id")
+def followed(messages: DataFrame, keys: list[str] = KEY, width: int = ARRIVALS, extra: list[str] = []) -> DataFrame:
+    """Snapshots and updates with their segment, the last id-bearing row since the segment's snapshot, and is_gap; extra columns stay."""
+    rows = messages.where("msg IN ('update', 'snapshot')").select(*keys, "msg", "arrival", "us", "first_id", "last_id", "snap_id", *extra)
     snapshot = F.col("msg") == "snapshot"
     none = F.lit(None).cast("long")
     seen = F.when(snapshot, F.struct(none.alias("last_id"), none.alias("us"))).when(F.col("last_id").isNotNull(), F.struct("last_id", "us"))
@@ -104,13 +104,18 @@ def segment_summary(messages: DataFrame, keys: list[str] = KEY, width: int = ARR
 
 def summed_segments(rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """segment_summary of rows that are followed(), with segment 0 for what comes before the first snapshot."""
+    return segment_rows(rows, keys, [])
+
+
+def segment_rows(rows: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
+    """The same with extra columns of the snapshots."""
     with_ids = (F.col("msg") == "update") & F.col("first_id").isNotNull() & F.col("last_id").isNotNull()
     first = F.min_by(F.struct("first_id", "last_id"), F.when(with_ids, F.col("arrival")))
     of_snapshot = lambda c: F.max(F.when(F.col("msg") == "snapshot", F.col(c)))
-    out = rows.groupBy(*keys, "segment").agg(of_snapshot("us").alias("snapshot_us"), of_snapshot("snap_id").alias("snap_id"), F.count_if(with_ids).alias("updates"), first.alias("f"), F.count_if("is_gap").alias("sequence_gaps"))
+    out = rows.groupBy(*keys, "segment").agg(of_snapshot("us").alias("snapshot_us"), of_snapshot("snap_id").alias("snap_id"), F.count_if(with_ids).alias("updates"), first.alias("f"), F.count_if("is_gap").alias("sequence_gaps"), *[of_snapshot(c).alias(c) for c in extra])
     target = F.col("snap_id") + 1
     bridge = F.when(F.col("updates") > 0, F.coalesce((F.col("f.first_id") <= target) & (target <= F.col("f.last_id")), F.lit(False)))
-    return out.select(*keys, "segment", "snapshot_us", "snap_id", "updates", bridge.alias("bridges_snapshot"), "sequence_gaps")
+    return out.select(*keys, "segment", "snapshot_us", "snap_id", "updates", bridge.alias("bridges_snapshot"), "sequence_gaps", *extra)
 
 
 def bad_segments(segments: DataFrame) -> DataFrame:

@@ -52,12 +52,13 @@ def capture_totals(messages: DataFrame, keys: list[str] = KEY, start: int | None
 
 
 def file_totals(messages: DataFrame, keys: list[str]) -> DataFrame:
-    """The same per file; first and last time by arrival among updates with a time."""
+    """The same per file; first and last time by arrival among updates with a time, and the smallest and largest."""
     timed = F.when((F.col("msg") == "update") & F.col("us").isNotNull(), F.col("arrival"))
     count = lambda m: F.count_if(F.col("msg") == m)
     return messages.groupBy(*keys).agg(
         F.count("*").alias("lines"), count("json_error").alias("json_errors"), count("update").alias("updates"), count("snapshot").alias("snapshots"), count("control").alias("control_events"),
-        F.min_by("us", timed).alias("first_us"), F.max_by("us", timed).alias("last_us"),
+        F.min_by("us", timed).alias("first_us"), F.max_by("us", timed).alias("last_us"), count("subscription").alias("subscriptions"), F.sum("bytes").alias("bytes"),
+        F.min(F.when(F.col("msg") == "update", F.col("us"))).alias("min_us"), F.max(F.when(F.col("msg") == "update", F.col("us"))).alias("max_us"),
     )
 
 
@@ -92,13 +93,6 @@ def compact_report(graded: DataFrame) -> DataFrame:
     return graded.select("source", "d", "status", "updates", "snapshots", "json_errors", "first_us", "last_us", F.col("time_gaps").alias("gaps_ge"), F.when(ids, F.col("seq_gaps")).alias("sequence_gaps"))
 
 
-def quality_report(graded: DataFrame) -> DataFrame:
-    """One nested JSON document a day, sources by name."""
-    body = F.struct(*[c for c in graded.columns if c not in ("source", "d")])
-    day = graded.groupBy("d").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", body)))).alias("sources"))
-    return day.select("d", F.to_json(F.struct(F.col("d").cast("string").alias("date"), "sources")).alias("value"))
-
-
 def status_line(graded: DataFrame) -> DataFrame:
     """One text line a source and day."""
     seq = F.when(F.col("source").startswith("binance"), F.col("seq_gaps").cast("string")).otherwise("n/a")
