@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 PATH = r"/([^/]+)/([^/]+)/[^/]+$"
 
@@ -64,8 +67,47 @@ def write_stream(df: DataFrame, order: list[Column | str], path: str, partitions
     rows.select(F.to_json(F.struct(*df.columns)).alias("value")).write.option("compression", "gzip").text(path)
 
 
-def write_features(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+def write_partitions(df: DataFrame, order: list[str], path: str, keys: list[str] = ["source", "d"], partitions: int = 200) -> None:
+    """The same as Parquet, a folder a source and day; in each, files and their rows are ranges of the order, nulls first.
+
+    Only the folders that df has rows for are replaced, so a batch that is written again doesn't double its rows.
+    """
+    by = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    rows = df.repartitionByRange(partitions, *by).sortWithinPartitions(*by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def partition_manifest(spark: SparkSession, path: str, order: list[str], keys: list[str] = ["source", "d"]) -> DataFrame:
+    """Each file of write_partitions: its keys, place in its folder (from 1), rows, and first and last row of the order."""
+    at = F.struct(*order)
+    files = spark.read.parquet(path).select(*keys, F.col("_metadata.file_path").alias("path"), at.alias("at"))
+    files = files.groupBy(*keys, "path").agg(F.count("*").alias("rows"), F.min("at").alias("first"), F.max("at").alias("last"))
+    return files.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("first", "path")))
+
+
+def feature_columns(n: int = 10) -> list[str]:
+    """Names and order of a feature table's columns, with n levels a side."""
+    levels = [f"{side}_{what}_{i}" for i in range(1, n + 1) for side in ("bid", "ask") for what in ("px", "sz")]
+    return [
+        "ts", "segment_id", "segment_start_time", "segment_start_reason", "gap_from_previous_segment", "row_quality", "updates", "changed_buy_levels", "changed_sell_levels", "removed_buy_levels", "removed_sell_levels",
+        "gap_flag", "gap_seconds", "best_bid", "best_ask", "best_bid_size", "best_ask_size", "mid", "spread", "microprice", f"bid_depth_top{n}", f"ask_depth_top{n}", f"imbalance_top{n}", *levels,
+    ]
+
+
+def write_features(df: DataFrame, path: str, n: int = 10, keys: list[str] = ["source", "segment", "bar"], partitions: int = 200) -> None:
+    """CSV with a header: the keys that df has, then those of feature_columns(n) that it has, in that order.
+
+    Files and their rows are ranges of the keys. A column that is neither raises ValueError.
+    """
+    own, fixed = [k for k in keys if k in df.columns], feature_columns(n)
+    other = [c for c in df.columns if c not in own and c not in fixed]
+    if other:
+        raise ValueError(f"not columns of a feature table: {other}")
+    rows = df.select(*own, *[c for c in fixed if c in df.columns])
+    by = own or [c for c in ("ts",) if c in df.columns]
+    if by:
+        rows = rows.repartitionByRange(partitions, *by).sortWithinPartitions(*by)
+    rows.write.option("header", True).csv(path)
 
 
 def read_audit(spark: SparkSession, pattern: str) -> DataFrame:
@@ -74,25 +116,46 @@ def read_audit(spark: SparkSession, pattern: str) -> DataFrame:
     return files.select("path", (~is_json_object(F.col("value"))).alias("corrupt"), F.when(is_json_object(F.col("value")), F.try_parse_json("value")).alias("report"))
 
 
-def file_catalog(spark: SparkSession, pattern: str, role: str, with_hash: bool = True) -> DataFrame:
-    """role, path, bytes, mtime and sha256 of files of up to 2 GB; hash_files takes larger ones."""
+def file_catalog(spark: SparkSession, pattern: str, role: str, with_hash: bool = True, whole: int = 1 << 26, opened: Callable[[str], BinaryIO] | None = None) -> DataFrame:
+    """role, path, bytes, mtime and sha256 of files of any size; those over `whole` bytes are hashed block by block.
+
+    Spark's reader passes over empty files, so they have no row; hash_files takes them.
+    """
     files = spark.read.format("binaryFile").load(pattern)
     cols = [F.lit(role).alias("role"), "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("mtime_utc")]
-    return files.select(*cols, F.sha2("content", 256).alias("sha256")) if with_hash else files.select(*cols)
+    if not with_hash:
+        return files.select(*cols)
+    small = files.where(F.col("length") <= whole).select(*cols, F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole).select(*cols)  # the content isn't read here
+    return small.unionByName(_hashed(large, 1 << 22, opened or open_stream))
 
 
-def hash_files(paths: DataFrame, block: int = 1 << 22) -> DataFrame:
-    """(path, sha256) of files on a file system that executors mount, read block by block."""
+def open_stream(path: str) -> BinaryIO:
+    """A stream of a file's bytes: a path or file: name as it is, any other scheme by pyarrow's file systems (hdfs, s3, gs, abfs)."""
+    if path.startswith("file:") or ":" not in path.split("/")[0]:
+        path = path.removeprefix("file:")
+        return open("/" + path.lstrip("/") if path.startswith("/") else path, "rb")
+    system, at = FileSystem.from_uri(path)
+    return system.open_input_stream(at)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+
+def _hashed(files: DataFrame, block: int, opened: Callable[[str], BinaryIO]) -> DataFrame:
+    """files with sha256."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
             out = []
-            for path in pdf["path"]:
+            for path in b.column("path").to_pylist():
                 h = hashlib.sha256()
-                with open(path.removeprefix("file://").removeprefix("file:"), "rb") as f:
+                with opened(path) as f:
                     while part := f.read(block):
                         h.update(part)
                 out.append(h.hexdigest())
-            yield pd.DataFrame({"path": pdf["path"], "sha256": out})
+            yield b.append_column("sha256", pa.array(out, pa.string()))
+
+    return files.mapInArrow(run, StructType([*files.schema.fields, StructField("sha256", StringType())]))
+
 
-    return paths.select("path").mapInPandas(run, "path string, sha256 string")
+def hash_files(paths: DataFrame, block: int = 1 << 22, opened: Callable[[str], BinaryIO] = open_stream) -> DataFrame:
+    """(path, sha256) of files that executors reach, read block by block; opened: opens further schemes."""
+    return _hashed(paths.select("path"), block, opened)
