@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions.staging import staged_path
 from ..operators import continuity as C
+from ..operators import incremental as I
 from ..operators import quality as Q
 from ..operators import report as R
 from ..sources.fixtures import ctes, fixture
@@ -115,6 +117,15 @@ def grade_capture(spark: SparkSession, d: str) -> DataFrame:
     return _text_day(_graded(spark, d))
 
 
+def regrade_files(spark: SparkSession, d: str) -> DataFrame:
+    """grade_capture from partial results: every second file of 500 messages first, then the others, merged."""
+    files = _cap(spark, d).withColumn("file", F.floor(F.col("arrival") / 2000))
+    store = staged_path(spark, "partials")
+    for turn in (1, 0):
+        I.add_files(files.where(F.pmod("file", F.lit(2)) == turn), store, THRESHOLD)
+    return _text_day(I.stored_grades(files, store, THRESHOLD))
+
+
 def compact_report(spark: SparkSession, d: str) -> DataFrame:
     return _text_day(Q.compact_report(_graded(spark, d)))
 
@@ -144,7 +155,7 @@ def rotation_window(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = [
     event_time, classify_message, in_time_range, capture_totals, file_totals, control_counts, time_bounds, time_gaps_sorted, time_gaps_arrival, gap_stats, gap_examples,
-    nonmonotone_arrival, seq_gaps_arrival, seq_gaps_by_id, segment_summary, bad_segments, snapshot_bridge, grade_capture, compact_report, status_line, quality_report, iso_times, rotation_window,
+    nonmonotone_arrival, seq_gaps_arrival, seq_gaps_by_id, segment_summary, bad_segments, snapshot_bridge, grade_capture, regrade_files, compact_report, status_line, quality_report, iso_times, rotation_window,
 ]
 
 EVENT_US = "coalesce(CASE WHEN source LIKE 'binance%' THEN event_ms * 1000 ELSE data_us END, recv_us)"
@@ -244,6 +255,7 @@ ORACLE = {
         CASE WHEN f.arrival IS NULL THEN 'none' WHEN coalesce(f.first_id <= sn.snap_id + 1 AND sn.snap_id + 1 <= f.last_id, false) THEN 'ok' ELSE 'gap' END AS bridge_status
         FROM sn LEFT JOIN f USING (source, d, segment)""",
     "grade_capture": ALL_GRADED + "SELECT * FROM graded",
+    "regrade_files": ALL_GRADED + "SELECT * FROM graded",
     "compact_report": ALL_GRADED + "SELECT source, d, status, updates, snapshots, json_errors, first_us, last_us, time_gaps AS gaps_ge, CASE WHEN source LIKE 'binance%' THEN seq_gaps END AS sequence_gaps FROM graded",
     "status_line": ALL_GRADED + """SELECT source, d, '- ' || source || ': ' || status || ' | updates=' || updates || ' | snapshots=' || snapshots || ' | json_errors=' || json_errors || ' | gaps>=2s=' || time_gaps || ' | seq_gaps='
         || CASE WHEN source LIKE 'binance%' THEN CAST(seq_gaps AS VARCHAR) ELSE 'n/a' END AS line FROM graded""",

@@ -77,10 +77,18 @@ def grade_capture(messages: DataFrame, threshold: float = 2.0, keys: list[str] =
     # Micros are summed as integers and divided once, as in gap_stats.
     over = time_gaps_sorted(updates, keys).where(F.col("seconds") >= threshold).withColumn("gap", F.round(F.col("seconds") * 1e6).cast("long"))
     gaps = over.groupBy(*keys).agg(F.count("*").alias("time_gaps"), F.sum("gap").alias("_sum"), F.max("gap").alias("_max"))
-    bad = (F.col("segment") > 0) & (~F.col("bridges_snapshot") | (F.col("sequence_gaps") > 0))
-    segments = summed_segments(followed(messages, keys), keys).groupBy(*keys).agg(F.sum("sequence_gaps").alias("seq_gaps"), F.count_if(bad).alias("bad_segments"))
+    segments = summed_segments(followed(messages, keys), keys).groupBy(*keys).agg(F.sum("sequence_gaps").alias("seq_gaps"), F.count_if(bad_segment()).alias("bad_segments"))
+    return graded(totals.join(gaps, keys, "left").join(segments, keys, "left").join(time_bounds(updates, keys), keys, "left"), keys)
+
+
+def bad_segment() -> Column:
+    """Segments of a snapshot (not what comes before the first) that doesn't bridge or has a gap."""
+    return (F.col("segment") > 0) & (~F.col("bridges_snapshot") | (F.col("sequence_gaps") > 0))
+
+
+def graded(out: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """The graded row of totals, gaps (time_gaps, _sum and _max in micros) and segments; what is missing counts as zero."""
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    out = totals.join(gaps, keys, "left").join(segments, keys, "left").join(time_bounds(updates, keys), keys, "left")
     out = out.select(
         *keys, "lines", "json_errors", "updates", "snapshots", "control_events", "first_us", "last_us", zero("time_gaps").alias("time_gaps"), seconds(zero("_sum")).alias("gap_seconds"),
         seconds(zero("_max")).alias("max_gap_seconds"), zero("seq_gaps").alias("seq_gaps"), zero("bad_segments").alias("bad_segments"),
