@@ -16,11 +16,17 @@ PATH = r"/([^/]+)/([^/]+)/[^/]+$"
 
 
 def read_capture(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(source, symbol, path, line, value) of plain or gzip JSON lines; lines count from 1 in each file.
+    """(source, symbol, path, line, value) of plain or gzip JSON lines; lines count from 1 in each file."""
+    return number_lines(spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")))
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Lines (value, path, block: where their split of the file begins), as read, with their source, symbol and line number.
 
     A file's splits are counted apart; each line number is the place in its split plus the lines of the splits before.
+    A batch of a stream may be numbered too, as it holds whole files.
     """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_id"))
+    lines = lines.select("value", "path", "block", F.monotonically_increasing_id().alias("_id"))
     splits = lines.groupBy("path", "block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     numbered = lines.join(splits.withColumn("_before", before), ["path", "block"]).withColumn("line", F.col("_id") - F.col("_first") + F.col("_before") + 1)

@@ -6,7 +6,7 @@ Only closed files are streamed (they appear whole); a trigger of availableNow dr
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +35,12 @@ def rocksdb(spark: SparkSession):
 
 
 def stream_capture(spark: SparkSession, folder: str, glob: str = "*", files: int = 16) -> DataFrame:
-    """Lines of closed capture files as they appear, with their path; at most `files` a trigger, the oldest first."""
-    return spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", files).text(folder).select("value", F.col("_metadata.file_path").alias("path"))
+    """Lines of closed capture files as they appear, with their path and block; at most `files` a trigger, the oldest first.
+
+    A file comes whole in one trigger, so each batch's lines can be numbered in it: `drained(..., each=number_lines)`.
+    """
+    lines = spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", files).text(folder)
+    return lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def rotation_counts(stream: DataFrame, hours: int = 12, late: str = "1 hour") -> DataFrame:
@@ -96,10 +100,10 @@ def close(spark: SparkSession, folder: str) -> None:
     spark.sql(f"SELECT TIMESTAMP'{MARK}' AS closes").write.mode("append").json(folder)
 
 
-def drained(result: DataFrame, mode: str, marks: str | None = None) -> DataFrame:
+def drained(result: DataFrame, mode: str, marks: str | None = None, each: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> DataFrame:
     """Runs the stream over all that is there and reads the result back: the last state for complete, all rows for append.
 
-    marks: the folder of `marked`; the stream is closed once it is drained. Each batch has a folder of its own, so one
+    marks: the folder of `marked`; the stream is closed once it is drained. each: what is done with a batch. Each batch has a folder of its own, so one
     that is run again replaces its rows.
     """
     spark = result.sparkSession
@@ -107,7 +111,7 @@ def drained(result: DataFrame, mode: str, marks: str | None = None) -> DataFrame
     part = (lambda i: "") if mode == "complete" else (lambda i: f"/stream_batch={i}")
 
     def run() -> None:
-        write = lambda df, i: df.write.mode("overwrite").parquet(f"{path}/out{part(i)}")
+        write = lambda df, i: each(df).write.mode("overwrite").parquet(f"{path}/out{part(i)}")
         result.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
 
     run()
@@ -116,4 +120,5 @@ def drained(result: DataFrame, mode: str, marks: str | None = None) -> DataFrame
         # Keys that are never null in the data may be so in a mark; that alone is no other state.
         with _setting(spark, "spark.sql.streaming.stateStore.stateSchemaCheck", "false"):
             run()
-    return spark.read.schema(result.schema).parquet(f"{path}/out").select(*result.columns)
+    schema = each(spark.createDataFrame([], result.schema)).schema
+    return spark.read.schema(schema).parquet(f"{path}/out").select(*schema.names)

@@ -7,7 +7,7 @@ from pyspark.sql import Row
 import __spark_entry__ as entry
 
 DATA = "/root/testdata/sf0.001"
-NAMES = ["grade_capture", "regrade_files", "quality_report", "file_totals", "gap_stats", "segment_summary", "snapshot_bridge", "chain_cover", "merge_order_by_id", "interleave_patches", "merge_streams", "flag_bar_gaps", "book_features", "build_alerts", "parse_capture", "read_trades", "stream_sessions", "payload_hash", "patch_decisions", "run_summary", "summary_lines", "stream_book_bars", "stream_seq_gaps", "in_gap"]
+NAMES = ["grade_capture", "regrade_files", "quality_report", "file_totals", "gap_stats", "segment_summary", "snapshot_bridge", "chain_cover", "merge_order_by_id", "interleave_patches", "merge_streams", "flag_bar_gaps", "book_features", "build_alerts", "parse_capture", "read_trades", "read_capture", "stream_capture", "file_catalog", "write_stream", "partition_manifest", "read_audit", "stream_sessions", "payload_hash", "patch_decisions", "run_summary", "summary_lines", "stream_book_bars", "stream_seq_gaps", "in_gap"]
 
 
 def plain(v):

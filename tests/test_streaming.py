@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from bookaudit.operators import book as B
 from bookaudit.operators import merging as G
+from bookaudit.sources import capture
 from bookaudit.streaming import stateful
 from bookaudit.streaming import windows as W
 from bookaudit.streaming.book import stream_book_bars
@@ -169,3 +170,20 @@ def test_capture_lines_arrive_with_their_path(spark, tmp_path):
     (tmp_path / "b.part").write_text("open\n")
     got = W.drained(W.stream_capture(spark, str(tmp_path), "*.jsonl", 1), "append").collect()
     assert sorted(r["value"] for r in got) == ['{"a": 1}', '{"a": 2}'] and all(r["path"].endswith("/a.jsonl") for r in got)
+
+
+@pytest.mark.parametrize("split", ["64", "100m"])
+def test_lines_are_numbered_over_triggers_and_splits(spark, tmp_path, split):
+    """A file's splits are read by several tasks, and a trigger takes some of the files."""
+    folder, want = tmp_path / "raw_done" / "binance" / "BTC", set()
+    folder.mkdir(parents=True)
+    for f in range(5):
+        lines = [f"file {f} line {i} " + "x" * (i * 7 % 50) for i in range(1, 41)]
+        (folder / f"{f}.jsonl").write_text("\n".join(lines) + "\n")
+        want |= {("binance", "BTC", f"{f}.jsonl", i, x) for i, x in enumerate(lines, 1)}
+    with W._setting(spark, "spark.sql.files.maxPartitionBytes", split), W._setting(spark, "spark.sql.files.openCostInBytes", "0"):
+        stream = W.stream_capture(spark, str(folder), "*.jsonl", 2)
+        got = W.drained(stream, "append", each=capture.number_lines).collect()
+        batch = capture.read_capture(spark, str(folder)).collect()
+    for rows in (got, batch):
+        assert len(rows) == len(want) and {(r["source"], r["symbol"], r["path"].rsplit("/", 1)[1], r["line"], r["value"]) for r in rows} == want
