@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, staged, table, text_or_empty, unused_name
+from .common import ascii_lower, staged, table, text_or_empty, unused_name, with_flag
 
 #: A run holds about this many fingerprints; at least so many quotients.
 PER_RUN, MIN_RUNS = 500_000, 1024
@@ -107,12 +107,15 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         "exact-digests",
     )
     repeated = staged(repeated_fingerprints(digests.select("fp"), digests.count()), "exact-repeated")
-    # Byte verification: one row for each different text, counted where it lies before it is sent.
-    texts = docs.select(norm.alias("norm")).withColumn("fp", F.xxhash64("norm")).join(repeated, "fp").withColumn("text_sha256", F.sha2(F.col("norm").cast("binary"), 256))
-    texts = texts.groupBy("text_sha256", "norm").agg(F.count("*").alias("n")).groupBy("text_sha256").agg(F.count("*").alias("texts"))
+    # Byte verification: texts that can't be repeated stay where they are; of the others one row for each different text of a
+    # partition is sent, once. A text that the bitmap lets through without need is alone in its group and does no harm.
+    texts = with_flag(docs.select(norm.alias("norm")).withColumn("fp", F.xxhash64("norm")), ["fp"], repeated, "_may").where("_may")
+    texts = texts.select(F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), "norm").groupBy("text_sha256", "norm").agg(F.count("*").alias("n"))
+    texts = texts.groupBy("text_sha256").agg(F.count("*").alias("texts"))
     texts = texts.select("text_sha256", F.when(F.col("texts") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("two texts with one SHA-256"))).alias("verified"))
     row = F.struct(F.col("doc_id").isNotNull(), "doc_id", "uid")
-    groups = digests.join(repeated, "fp").groupBy("text_sha256").agg(F.max(row).alias("last"), F.count("*").alias("n"))
+    groups = with_flag(digests, ["fp"], repeated, "_may").where("_may").groupBy("fp", "text_sha256").agg(F.max(row).alias("last"), F.count("*").alias("n"))
+    groups = groups.join(repeated.select("fp"), "fp")
     groups = groups.join(texts, "text_sha256").where("verified").where("n > 1").select("text_sha256", "last", "n")
     # Written first, so that both sides of the join are plain shuffles and a hot digest's rows can be split.
     out = digests.join(staged(groups, "exact-classes"), "text_sha256", "left")
