@@ -121,6 +121,27 @@ def topic_centers(vectors: DataFrame) -> np.ndarray:
     return centers
 
 
+def nearest_center(centers: np.ndarray):
+    """Arrow function: the place of the centre nearest to each vector, the last of equally near ones; -1 without a vector.
+
+    Not a column expression: with a term a number of each centre, its plans fill the driver's memory.
+    """
+    half = np.array([c @ c / 2 for c in centers])
+
+    @F.arrow_udf(T.IntegerType())
+    def nearest(vector: pa.Array) -> pa.Array:
+        # All vectors have length 1, so it is the centre with the largest product less half its square.
+        x = np.asarray(vector.flatten(), np.float64).reshape(-1, DIMENSIONS)
+        fit = x[:, :1] * centers[:, 0]
+        for i in range(1, DIMENSIONS):  # added in order, so that equal centres fit equally
+            fit += x[:, i : i + 1] * centers[:, i]
+        out = np.full(len(vector), -1, np.int32)
+        out[np.asarray(vector.is_valid())] = len(centers) - 1 - (fit - half)[:, ::-1].argmax(1)
+        return pa.array(out)
+
+    return nearest
+
+
 def celled(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, the document's cell, its tokens and its place in [0, 1); further columns as they are."""
     cell = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("source", "lang")]
@@ -129,12 +150,7 @@ def celled(docs: DataFrame, *more: str) -> DataFrame:
     worded = rows.select("vector").where("vector IS NOT NULL")
     topic = F.lit(-1)
     if worded.limit(1).count():
-        # The nearest centre: all vectors have length 1, so the one with the largest product less half its square.
-        near = []
-        for k, c in enumerate(topic_centers(worded)):
-            terms = [F.get("vector", F.lit(i)) * float(x) for i, x in enumerate(c)]
-            near.append(F.struct((sum(terms[1:], terms[0]) - float(c @ c) / 2).alias("fit"), F.lit(k).alias("k")))
-        topic = F.when(F.col("vector").isNotNull(), F.array_max(F.array(*near))["k"]).otherwise(-1)
+        topic = nearest_center(topic_centers(worded))("vector")
     return rows.select("doc_id", "source", "lang", topic.cast("string").alias("topic"), "tokens", "place", *more)
 
 
@@ -219,7 +235,7 @@ def _raked_in_spark(cells: DataFrame, targets: dict | None, temper: float, keep_
 
 def _fitted(rows: DataFrame, targets: dict | None, keep_share: float, temper: float, small_cells: int) -> DataFrame:
     """rows of celled() with weight, probability and kept."""
-    cells = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
+    cells = staged(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
     n = cells.count()
     if n <= small_cells:
         table_ = cells.toPandas().sort_values(list(MARGINS), ignore_index=True)
@@ -231,7 +247,7 @@ def _fitted(rows: DataFrame, targets: dict | None, keep_share: float, temper: fl
             table_["weight"], table_["probability"] = 1.0, keep_share
         fitted = F.broadcast(rows.sparkSession.createDataFrame(table_[[*MARGINS, "weight", "probability"]], ", ".join(f"{m} string" for m in MARGINS) + ", weight double, probability double"))
     else:
-        fitted = _raked_in_spark(staged(cells, "mix-cells"), targets, temper, keep_share)
+        fitted = _raked_in_spark(cells, targets, temper, keep_share)
     out = rows.join(fitted, list(MARGINS), "left").withColumns({"weight": F.coalesce("weight", F.lit(1.0)), "probability": F.coalesce("probability", F.lit(keep_share))})
     return out.withColumn("kept", F.col("place") < F.col("probability"))
 
