@@ -43,7 +43,8 @@ def overlapping(few: DataFrame, many: DataFrame, keys: list[str], few_span: tupl
     Columns: those of few, and those of many but the keys. few is written once as its cover. A row of many stands under
     one node for each level that covers of its keys have (mostly one: that of the cells), and one that is longer than a
     cell is covered too, for rows of few that begin inside it. A node over very many rows is one key; its rows are all
-    part of the result, and skewed joins are split by Spark.
+    part of the result, and skewed joins are split by Spark. The cover is many rows in a small file (millions in a few
+    MB), and Spark would take the file's size for the table's and broadcast it, so the join is told to sort and merge.
     """
     names = [c for c in many.columns if c not in keys]
     levels = 63 - bits  # a shift by 64 would be none
@@ -62,4 +63,4 @@ def overlapping(few: DataFrame, many: DataFrame, keys: list[str], few_span: tupl
     own = F.transform("_levels", lambda k: key(0, k, over(low, k)))
     long = F.when(low < high, covered(1, low + 1, high)).otherwise(F.array().cast("array<struct<_kind: int, _level: int, _node: bigint>>"))
     placed = rows.join(used, keys).select(*keys, "_many", F.inline(F.concat(own, long)))
-    return nodes.join(placed, [*keys, "_kind", "_level", "_node"]).select(*keys, "_few.*", "_many.*")
+    return nodes.hint("merge").join(placed, [*keys, "_kind", "_level", "_node"]).select(*keys, "_few.*", "_many.*")
