@@ -91,14 +91,17 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str) ->
 
 
 def run_steps(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    """Adds step (the row's place in its key by the order) and before (the value of the row before it), range by range."""
+    """Adds step (the row's place in its key by the order) and before (the value of the row before it), range by range.
+
+    Keys may be many here, and so are the ends of ranges (one a key and range at least): they aren't broadcast.
+    """
     cut = by_range(df, [F.col(c) for c in [*keys, *order]])
     w = Window.partitionBy(*keys, "_slice").orderBy(*order)
     rows = cut.withColumns({"_local": F.row_number().over(w), "_lag": F.lag(value).over(w)})
     ends = cut.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"), F.max_by(value, F.struct(*order)).alias("_end"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = F.struct(F.sum("_n").over(earlier).alias("n"), F.last("_end").over(earlier).alias("end"))
-    out = _joined(rows, ends.select(*keys, "_slice", carry.alias("_before")), keys)
+    out = _joined(rows, ends.select(*keys, "_slice", carry.alias("_before")).hint("merge"), keys)
     first = F.col("_local") == 1
     out = out.withColumns({"step": F.col("_local") + F.coalesce("_before.n", F.lit(0)), "before": F.when(first, F.col("_before.end")).otherwise(F.col("_lag"))})
     return out.drop("_local", "_lag", "_before", "_slice")

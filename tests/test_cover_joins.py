@@ -16,3 +16,12 @@ def test_covers_are_not_broadcast(spark):
     joins = joins_of_covers(found)
     assert joins and all("SortMergeJoin" in x for x in joins)
     assert found.count() == 100
+
+
+def test_ends_of_runs_are_not_broadcast(spark):
+    """A row a gap at least."""
+    rows = [(1, 10 * i, 10 * i + 5, 10 * i, 10 * i + 5, i, i) for i in range(100)]
+    found = P.chain_cover(spark.createDataFrame(rows, "d int, missing_from long, missing_to long, first_id long, last_id long, arrival long, us long"), ["d"])
+    joins = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "_slice" in line]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+    assert found.where("kept").count() == 100
