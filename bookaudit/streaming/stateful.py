@@ -3,7 +3,8 @@
 Files may come in any order. Messages of a source wait in its state until the latest event time seen is `late` beyond
 theirs, and are released in the order of arrival, so what comes out equals the batch forms as long as no message is
 further behind than that. One that is isn't dropped: it is taken when it comes. State: the messages of the last
-`late` of each source, and a few numbers a day. A stream that is closed (see `windows.marked`) releases what waits and
+`late` of each source, in blocks (see `waiting`), and a few numbers a day; messages are read, held and released in parts,
+so that a trigger of any size fits. A stream that is closed (see `windows.marked`) releases what waits and
 answers what is open, by a timer set for that time. Needs the RocksDB state store.
 """
 
@@ -12,14 +13,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from .waiting import Waiting
 from .windows import CLOSE_MS, with_close
 
 INPUT = ["msg", "arrival", "us", "first_id", "last_id", "snap_id"]
-WAITING = "d string, msg string, arrival long, us long, first_id long, last_id long, snap_id long"
+WAITING = pa.schema([("d", pa.string()), ("msg", pa.string()), *((c, pa.int64()) for c in INPUT[1:])])
 GAPS = "source string, d string, segment long, arrival long, prev_last_id long, first_id long, last_id long, missing long, prev_us long, us long"
 GAP_STATE = "segment long, last_id long, us long"
 BRIDGES = "source string, d string, segment long, snap_id long, bridge_status string"
@@ -46,29 +49,25 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", WAITING)
+        self.waiting = Waiting(handle, WAITING)
         self.high = handle.getValueState("high", "us long")
         self.days = handle.getMapState("days", "d string", self.state)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows))[["d", *INPUT]]
         if key[0] is None:  # a mark that closes the stream
             return
-        every = pd.concat([self._held(), _typed(new)]).sort_values("arrival", kind="stable", ignore_index=True)
         seen = [self.high.get()[0]] if self.high.exists() else []
-        seen += [] if every["us"].isna().all() else [int(every["us"].max())]
+        latest = self.waiting.add(rows)
+        seen += [] if latest is None else [latest]
         if seen:
             self.high.update((max(seen),))
-        young = (every["us"] > max(seen) - self.late).fillna(False).astype(bool) if seen else pd.Series(False, index=every.index)
-        ready = (every["arrival"] < every.loc[young, "arrival"].min()) if young.any() else pd.Series(True, index=every.index)
-        self._hold(every[~ready])
         self.handle.registerTimer(CLOSE_MS)
-        yield from self._stepped(key, every[ready])
+        for ready in self.waiting.taken(max(seen) - self.late if seen else None):
+            yield from self._stepped(key, ready)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        rest = self._held()
-        self._hold(rest[:0])
-        yield from self._stepped(key, rest.sort_values("arrival", kind="stable", ignore_index=True))
+        for rest in self.waiting.taken():
+            yield from self._stepped(key, rest)
         if self.end is not None:
             for (d,), state in list(self.days.iterator()):
                 found, after = self.end(tuple(state))
@@ -78,28 +77,14 @@ class InOrder(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _held(self) -> pd.DataFrame:
-        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        return _typed(pd.DataFrame(rows, columns=["d", *INPUT]))
-
-    def _hold(self, rows: pd.DataFrame) -> None:
-        if len(rows):
-            self.waiting.put([(r[0], r[1], *_plain(r[2:])) for r in rows.itertuples(index=False, name=None)])
-        else:
-            self.waiting.clear()
-
-    def _stepped(self, key: tuple, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        for d, part in rows.groupby("d", sort=True):
+    def _stepped(self, key: tuple, rows: pa.Table) -> Iterator[pd.DataFrame]:
+        for d, part in rows.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get).groupby("d", sort=True):
             state = tuple(self.days.getValue((d,))) if self.days.containsKey((d,)) else None
             found, after = self.step(part, state)
             self.days.updateValue((d,), after)
             yield found.assign(source=key[0], d=d)[self.names]
 
 
-def _typed(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.astype({c: "Int64" for c in INPUT[1:]})
-
-
 def _gaps(messages: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple]:
     segment, last, last_us = state or (0, None, None)
     rows = _segmented(messages, segment)
