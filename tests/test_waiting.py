@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 
-from bookaudit.streaming import stateful, waiting
+from bookaudit.streaming import book, stateful, waiting
 
 
 class States:
@@ -97,3 +97,33 @@ def test_equal_arrivals_keep_the_order_of_runs():
         w.add(frames([("a", "update", i // 9, None, run, None, None) for i in range(30)], 30))
     out = [(r["arrival"], r["first_id"]) for t in w.taken() for r in t.to_pylist()]
     assert out == sorted(out) and len(out) == 150
+
+
+def test_book_bars_come_in_parts(monkeypatch):
+    """Bars leave as they are made, as one list of the sorted messages makes them."""
+    monkeypatch.setattr(book, "BARS", 5)
+    rng, rows = random.Random(2), []
+    for i in range(600):
+        sides = ["buy", "sell"] if i % 200 == 0 else [rng.choice(["buy", "sell"])]
+        rows.append((i, 700_000 * i, i % 200 == 0, sides, [99.0 - i % 3 if s == "buy" else 101.0 + i % 3 for s in sides], [1.0 + i % 5] * len(sides)))
+    rows.append((600, None, False, None, None, None))
+    columns = book.MESSAGES.names
+    p = book.BookBars(1, 3)
+    p.init(States())
+    mixed = rng.sample(rows, len(rows))
+    got = list(p.handleInputRows(("x",), iter([pd.DataFrame(mixed[i : i + 17], columns=columns) for i in range(0, len(mixed), 17)]), None))
+    live, segment, bar, want = book.Book(3), 0, None, []
+    for _, us, is_snapshot, *levels in rows:
+        if is_snapshot:
+            segment, bar = segment + 1, None
+            live.clear()
+        elif us is not None:
+            at = us - us % 1_000_000
+            while bar is not None and bar < at:
+                want.append(("x", segment, bar, *(live.top() or ())))
+                bar += 1_000_000
+            bar = at if bar is None else bar
+        for level in zip(*levels) if levels[0] else ():
+            live.set(*level)
+    assert [tuple(r) for part in got for r in part.itertuples(index=False)] == [w for w in want if len(w) == 5]
+    assert len(got) > 10 and p.waiting.blocks == {}
