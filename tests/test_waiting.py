@@ -7,6 +7,8 @@ import pytest
 
 from bookaudit.streaming import book, stateful, waiting
 
+from .test_streaming import capture_rows, walked
+
 
 class States:
     """Stands for a processor's handle."""
@@ -127,3 +129,17 @@ def test_book_bars_come_in_parts(monkeypatch):
             live.set(*level)
     assert [tuple(r) for part in got for r in part.itertuples(index=False)] == [w for w in want if len(w) == 5]
     assert len(got) > 10 and p.waiting.blocks == {}
+
+
+def test_gaps_and_bridges_in_parts():
+    """As message by message, whatever the parts."""
+    rows = capture_rows()
+    got = []
+    for step, schema, state, end in ((stateful._gaps, stateful.GAPS, stateful.GAP_STATE, None), (stateful._bridges, stateful.BRIDGES, stateful.BRIDGE_STATE, stateful._unanswered)):
+        p = stateful.InOrder(step, schema, state, 30.0, end)
+        p.init(States())
+        mixed = [(str(r[1]), *r[2:]) for r in random.Random(4).sample(rows, len(rows))]
+        out = [*p.handleInputRows(("x",), frames(mixed, 11), None), *p.handleExpiredTimer(("x",), None, None)]
+        got.append(sorted((tuple(None if pd.isna(v) else v for v in r) for part in out for r in part.astype(object).itertuples(index=False)), key=repr))
+    want = [sorted(((r[0], str(r[1]), *r[2:]) for r in x), key=repr) for x in walked(rows)]
+    assert got == want and all(want)
