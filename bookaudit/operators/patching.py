@@ -41,6 +41,7 @@ def chain_cover(candidates: DataFrame, keys: list[str]) -> DataFrame:
 
     Adds step (place in the run), complete and kept; a gap is filled as a whole or not at all. A gap of a whole day is
     worked on in ranges; what is put together is one row a gap: its first break and the first step that reaches its end.
+    Gaps may be millions, so that isn't broadcast.
     """
     gap = [*keys, "missing_from", "missing_to"]
     rows = run_steps(candidates, gap, ["first_id", "last_id"], "last_id")
@@ -48,7 +49,7 @@ def chain_cover(candidates: DataFrame, keys: list[str]) -> DataFrame:
     reaches = F.col("last_id") >= F.col("missing_to")
     verdict = rows.groupBy(*gap).agg(F.min(F.when(breaks, F.col("step"))).alias("_broken"), F.min(F.when(reaches, F.col("step"))).alias("_reached"))
     complete = F.coalesce(F.col("_reached") < F.coalesce("_broken", F.col("_reached") + 1), F.lit(False))
-    out = rows.join(verdict, gap).withColumn("complete", complete)
+    out = rows.join(verdict.hint("merge"), gap).withColumn("complete", complete)
     return out.withColumn("kept", F.col("complete") & (F.col("step") <= F.col("_reached"))).select(*candidates.columns, "step", "complete", "kept")
 
 
@@ -56,7 +57,7 @@ def gap_reports(gaps: DataFrame, chained: DataFrame, keys: list[str]) -> DataFra
     """Per gap: complete, patch and candidate records. A gap of no ids that no candidate touches counts as complete."""
     gap = [*keys, "missing_from", "missing_to"]
     found = chained.groupBy(*gap).agg(F.bool_or("complete").alias("complete"), F.count_if("kept").alias("patch_records"), F.count("*").alias("candidate_records"))
-    out = gaps.select(*gap, "prev_us", "next_us").join(found, gap, "left")
+    out = gaps.select(*gap, "prev_us", "next_us").join(found.hint("merge"), gap, "left")  # both a row a gap: too many to broadcast
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     return out.select(*gap, "prev_us", "next_us", F.coalesce("complete", F.col("missing_from") > F.col("missing_to")).alias("complete"), zero("patch_records"), zero("candidate_records"))
 

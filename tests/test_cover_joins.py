@@ -25,3 +25,14 @@ def test_ends_of_runs_are_not_broadcast(spark):
     joins = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "_slice" in line]
     assert joins and all("SortMergeJoin" in x for x in joins)
     assert found.where("kept").count() == 100
+
+
+def test_verdicts_of_gaps_are_not_broadcast(spark):
+    """A row a gap, in the chains and in the reports."""
+    rows = [(1, 10 * i, 10 * i + 5, 10 * i, 10 * i + 5, i, i) for i in range(100)]
+    chained = P.chain_cover(spark.createDataFrame(rows, "d int, missing_from long, missing_to long, first_id long, last_id long, arrival long, us long"), ["d"])
+    gaps = spark.createDataFrame([(1, 10 * i, 10 * i + 5, i, i) for i in range(101)], "d int, missing_from long, missing_to long, prev_us long, next_us long")
+    reports = P.gap_reports(gaps, chained, ["d"])
+    assert sum(r["complete"] for r in reports.collect()) == 100
+    joins = [line for line in reports._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]  # as it ran
+    assert joins and all("SortMergeJoin" in x for x in joins)
