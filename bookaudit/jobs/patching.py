@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sliced import numbered
+from ..functions.staging import staged
 from ..operators import continuity as C
 from ..operators import merging as G
 from ..operators import patching as P
@@ -36,9 +37,10 @@ def gap_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _chained(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Both streams, the gaps and their chains; gaps and chains are written once, as several steps read them."""
     primary, backup = _streams(spark, d)
-    gaps = _gaps(primary)
-    return primary, backup, gaps, P.chain_cover(P.gap_candidates(gaps, backup, DAY), DAY)
+    gaps = staged(_gaps(primary), "gaps")
+    return primary, backup, gaps, staged(P.chain_cover(P.gap_candidates(gaps, backup, DAY), DAY), "chains")
 
 
 def chain_cover(spark: SparkSession, d: str) -> DataFrame:
@@ -51,31 +53,35 @@ def gap_reports(spark: SparkSession, d: str) -> DataFrame:
     return _text_day(P.gap_reports(gaps, chained, DAY))
 
 
-def _patched(spark: SparkSession, d: str) -> DataFrame:
-    primary, _, _, chained = _chained(spark, d)
+def _patched(primary: DataFrame, chained: DataFrame) -> DataFrame:
     patches = chained.where("kept").drop("step", "complete", "kept").withColumns({"msg": F.lit("update"), "source": F.lit("binance")})
     return P.apply_patches(primary, patches)
 
 
+def _patched_of(spark: SparkSession, d: str) -> DataFrame:
+    primary, _, _, chained = _chained(spark, d)
+    return _patched(primary, chained)
+
+
 def with_merge_meta(spark: SparkSession, d: str) -> DataFrame:
-    out = _patched(spark, d).select("d", "first_id", "last_id", "arrival", "merge_meta.*")
+    out = _patched_of(spark, d).select("d", "first_id", "last_id", "arrival", "merge_meta.*")
     return _text_day(out).withColumn("sources", F.array_join("sources", ","))
 
 
 def apply_patches(spark: SparkSession, d: str) -> DataFrame:
-    return _patched(spark, d).groupBy(F.col("d").cast("string").alias("d"), "merge_meta.source").agg(F.count("*").alias("n"), F.sum("first_id").alias("ids"), F.max("last_id").alias("top"))
+    return _patched_of(spark, d).groupBy(F.col("d").cast("string").alias("d"), "merge_meta.source").agg(F.count("*").alias("n"), F.sum("first_id").alias("ids"), F.max("last_id").alias("top"))
 
 
 def merge_order_by_id(spark: SparkSession, d: str) -> DataFrame:
-    patched = _patched(spark, d)
+    patched = _patched_of(spark, d)
     return _text_day(numbered(patched.withColumn("origin", F.col("merge_meta.source")).drop("merge_meta"), DAY, P.merge_order_by_id(patched), "place")).select("d", "first_id", "last_id", "arrival", "us", F.col("origin").alias("source"), "place")
 
 
 def patch_stats(spark: SparkSession, d: str) -> DataFrame:
     """Sequence and time gaps of the primary, the backup and the patched stream, measured anew."""
-    primary, backup, _, _ = _chained(spark, d)
+    primary, backup, _, chained = _chained(spark, d)
     cols = ["d", "msg", "arrival", "us", "first_id", "last_id"]
-    streams = [("primary", primary), ("backup", backup), ("merged", _patched(spark, d))]
+    streams = [("primary", primary), ("backup", backup), ("merged", _patched(primary, chained))]
     every = None
     for name, df in streams:
         df = df.select(F.lit(name).alias("stream"), *cols)
@@ -91,35 +97,38 @@ def patch_stats(spark: SparkSession, d: str) -> DataFrame:
 REPORT_STEPS = [THRESHOLD / 10, float(THRESHOLD), 4.0 * THRESHOLD]
 
 
-def _reports(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Reports of the patches of every day, by ids and by time."""
+def _id_report(spark: SparkSession, d: str) -> DataFrame:
+    """Report of the patches of every day by ids."""
     primary, backup, gaps, chained = _chained(spark, d)
-    by_id = P.id_patch_report(primary, backup, _patched(spark, d), gaps, chained, DAY, REPORT_STEPS)
+    return P.id_patch_report(primary, backup, _patched(primary, chained), gaps, chained, DAY, REPORT_STEPS)
+
+
+def _time_report(spark: SparkSession, d: str) -> DataFrame:
+    """The same by time."""
     m = fixture(spark, d, "m").select("source", "d", "arrival", "us")
     inside, timed = _gap_changes(spark, d), _time_gaps(spark, d)
     kept = P.dedup_changes(P.valid_change(inside), DAY)
     side = lambda s: m.where(F.col("source") == s).drop("source")
-    by_time = P.time_patch_report(side("coinbase"), side("coinbase_backup"), timed, inside, kept, P.rebuilt_messages(kept, DAY), DAY, REPORT_STEPS)
-    return by_id, by_time
+    return P.time_patch_report(side("coinbase"), side("coinbase_backup"), timed, inside, kept, P.rebuilt_messages(kept, DAY), DAY, REPORT_STEPS)
 
 
 def id_patch_report(spark: SparkSession, d: str) -> DataFrame:
-    r = _reports(spark, d)[0]
+    r = _id_report(spark, d)
     stats = lambda s: [F.col(f"{s}.{c}").alias(f"{s}_{c}") for c in ("records", "depth_updates", "json_errors", "sequence_gaps")] + [F.col(f"{s}.temporal_gaps")[f"{t:g}"]["count"].alias(f"{s}_gaps_{i}") for i, t in enumerate(REPORT_STEPS)]
     gaps = F.array_join(F.transform("patch.gaps", lambda g: F.concat_ws("-", g["missing_from"], g["missing_to"], g["patch_records"])), ",")
     return _text_day(r.select("d", *stats("primary"), *stats("backup"), *stats("merged"), "patch.primary_sequence_gaps_detected", "patch.backup_patch_records", F.coalesce(gaps, F.lit("")).alias("gaps")))
 
 
 def time_patch_report(spark: SparkSession, d: str) -> DataFrame:
-    r = _reports(spark, d)[1]
+    r = _time_report(spark, d)
     stat = lambda s, i, c: F.col(f"{s}.gap_stats")[f"{REPORT_STEPS[i]:g}"][c].alias(f"{s}_{c}_{i}")
     stats = [stat(s, i, c) for s in ("primary", "merged") for i in range(3) for c in ("count", "max_seconds")]
     return _text_day(r.select("d", "primary.gaps_detected", F.col("primary.records").alias("before"), "backup.*", *[f"merged.{c}" for c in ("records", "primary_records", "backup_patch_records", "patch_l2updates", "first_us", "last_us")], *stats))
 
 
 def patch_counts(spark: SparkSession, d: str) -> DataFrame:
-    """What grading reads of both kinds of reports."""
-    return P.report_counts(F.col("d").cast("string"), *_reports(spark, d), DAY, f"{THRESHOLD:g}")
+    """What grading reads of both kinds of reports, each a plan of its own and written once."""
+    return P.report_counts(F.col("d").cast("string"), staged(_id_report(spark, d), "id_report"), staged(_time_report(spark, d), "time_report"), DAY, f"{THRESHOLD:g}")
 
 
 def pair_quality(spark: SparkSession, d: str) -> DataFrame:

@@ -1,5 +1,9 @@
 """Covers are many rows in a small file: no plan may broadcast them."""
 
+import pytest
+
+import __spark_entry__ as entry
+from bookaudit.functions import intervals
 from bookaudit.operators import patching as P
 
 
@@ -36,3 +40,13 @@ def test_verdicts_of_gaps_are_not_broadcast(spark):
     assert sum(r["complete"] for r in reports.collect()) == 100
     joins = [line for line in reports._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]  # as it ran
     assert joins and all("SortMergeJoin" in x for x in joins)
+
+
+@pytest.mark.parametrize("name,covers", [("patch_stats", 1), ("id_patch_report", 1), ("time_patch_report", 0)])
+def test_chains_are_worked_out_once(spark, monkeypatch, name, covers):
+    """And not at all for a report by time."""
+    made = []
+    staged = intervals.staged
+    monkeypatch.setattr(intervals, "staged", lambda df, what: made.append(what) or staged(df, what))
+    entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert made == ["cover"] * covers
